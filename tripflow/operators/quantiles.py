@@ -1,0 +1,189 @@
+"""Exact discrete quantiles with bounded memory, for any number of rows.
+
+``percentile_approx`` is exact only when its sketch can hold about
+1/accuracy entries per task and per quantile; at high accuracy that is
+tens of megabytes of JVM objects per sketch, and its answer still moves
+with the partitioning.  Here each quantile is *selected* instead:
+
+1. count the rows of the target (its filter, non-null values) -> rank k;
+2. while the candidate window holds more than ``collect_limit`` rows,
+   narrow it with a small ``percentile_approx`` sketch over the window
+   (error 1/accuracy, so each round shrinks the window ~accuracy/4 times)
+   and recount; a window that misses rank k is widened again, so sketch
+   error can never change the answer;
+3. collect the (value, count) histogram of the window - at most
+   ``collect_limit`` rows by construction - and walk it to rank k.
+
+All targets advance together: one aggregate job per round evaluates every
+target's counts or sketches, so many quantiles (several columns,
+several filters) cost the same number of scans as one.  Small inputs
+finish in two jobs; 10^12 rows need about six.
+
+Rank follows the inverse-CDF ("discrete") definition: the smallest value
+whose cumulative count reaches ``max(1, ceil(p * n))``.  Nulls are
+ignored; NaN sorts above every number, as in Spark.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Hashable, Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_ACCURACY = 10_000
+DEFAULT_COLLECT_LIMIT = 100_000
+
+
+@dataclass
+class QuantileTarget:
+    key: Hashable
+    column: str
+    prob: float
+    where: Column | None = field(default=None, compare=False)
+
+    # search state
+    n: int | None = None
+    k: int | None = None
+    lo: float | None = None
+    hi: float | None = None
+    below: int = 0
+    window: int | None = None
+    value: float | None = None
+    done: bool = False
+    stalled: bool = False
+
+    def valid(self) -> Column:
+        x = F.col(self.column)
+        pred = x.isNotNull()
+        return pred if self.where is None else pred & F.coalesce(self.where, F.lit(False))
+
+    def in_window(self) -> Column:
+        x = F.col(self.column)
+        pred = self.valid()
+        if self.lo is not None:
+            pred = pred & (x >= F.lit(self.lo))
+        if self.hi is not None:
+            pred = pred & (x <= F.lit(self.hi))
+        return pred
+
+    def below_window(self) -> Column:
+        if self.lo is None:
+            return F.lit(False)
+        return self.valid() & (F.col(self.column) < F.lit(self.lo))
+
+
+def discrete_rank(n: int, prob: float) -> int:
+    """1-based rank of the ``prob`` quantile among ``n`` sorted values."""
+    return max(1, n - math.floor(n - n * prob))
+
+
+def _count_round(df: DataFrame, targets: Sequence[QuantileTarget]) -> None:
+    aggs = []
+    for i, t in enumerate(targets):
+        aggs.append(F.count_if(t.in_window()).alias(f"w{i}"))
+        aggs.append(F.count_if(t.below_window()).alias(f"b{i}"))
+    row = df.agg(*aggs).first()
+    for i, t in enumerate(targets):
+        w, b = int(row[f"w{i}"]), int(row[f"b{i}"])
+        if t.n is None:  # first round: the window is everything
+            t.n = w
+            if w == 0:
+                t.done, t.value = True, None
+                continue
+            t.k = discrete_rank(w, t.prob)
+        rank_in = t.k - b
+        if rank_in < 1:  # sketch overshot: reopen the low side
+            t.lo, t.below, t.window = None, 0, None
+        elif rank_in > w:  # undershot: reopen the high side
+            t.hi, t.window = None, None
+        else:
+            t.below, t.window = b, w
+
+
+def _sketch_round(df: DataFrame, targets: Sequence[QuantileTarget], accuracy: int) -> None:
+    slack = 3.0 / accuracy
+    aggs = []
+    for i, t in enumerate(targets):
+        rel = (t.k - t.below) / t.window
+        probs = [max(0.0, rel - slack), min(1.0, rel + slack)]
+        aggs.append(
+            F.percentile_approx(F.when(t.in_window(), F.col(t.column)), probs, accuracy).alias(f"s{i}")
+        )
+    row = df.agg(*aggs).first()
+    for i, t in enumerate(targets):
+        lo, hi = row[f"s{i}"]
+        t.lo = lo if lo is not None and not math.isnan(lo) else t.lo
+        t.hi = hi if hi is not None and not math.isnan(hi) else t.hi
+
+
+def _histogram_round(df: DataFrame, targets: Sequence[QuantileTarget]) -> None:
+    """Collect the window histograms (each at most the collect limit) and select."""
+    by_column: dict[str, list[int]] = {}
+    for i, t in enumerate(targets):
+        by_column.setdefault(t.column, []).append(i)
+    for column, idx in by_column.items():
+        sub = [targets[i] for i in idx]
+        cond = None
+        for t in sub:
+            cond = t.in_window() if cond is None else cond | t.in_window()
+        hist = (
+            df.filter(cond)
+            .groupBy(F.col(column).alias("x"))
+            .agg(*[F.count_if(t.in_window()).alias(f"c{j}") for j, t in enumerate(sub)])
+            .orderBy("x")
+            .collect()
+        )
+        for j, t in enumerate(sub):
+            need, seen = t.k - t.below, 0
+            for r in hist:
+                seen += r[f"c{j}"]
+                if seen >= need:
+                    t.value = float(r["x"])
+                    break
+            t.done = True
+
+
+def exact_quantiles(
+    df: DataFrame,
+    targets: Sequence[QuantileTarget],
+    accuracy: int = DEFAULT_ACCURACY,
+    collect_limit: int = DEFAULT_COLLECT_LIMIT,
+    max_rounds: int = 64,
+) -> dict[Hashable, float | None]:
+    """Exact discrete quantiles for every target; ``None`` when it has no rows."""
+    targets = list(targets)
+    for _ in range(max_rounds):
+        open_ = [t for t in targets if not t.done]
+        if not open_:
+            break
+        stale = [t for t in open_ if t.window is None]
+        if stale:
+            _count_round(df, stale)
+        open_ = [t for t in open_ if not t.done and t.window is not None]
+        for t in open_:
+            if t.lo is not None and t.lo == t.hi:  # one value left in the window
+                t.value, t.done = float(t.lo), True
+        small = [t for t in open_ if not t.done and (t.window <= collect_limit or t.stalled)]
+        if small:
+            _histogram_round(df, small)
+        large = [t for t in open_ if not t.done]
+        if large:
+            before = {id(t): (t.lo, t.hi) for t in large}
+            _sketch_round(df, large, accuracy)
+            for t in large:
+                # a window the sketch cannot split holds few distinct values
+                t.stalled = (t.lo, t.hi) == before[id(t)]
+                t.window = None
+    else:
+        raise RuntimeError("quantile selection did not converge")
+    return {t.key: t.value for t in targets}
+
+
+def approx_quantiles(
+    df: DataFrame, column: str, probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY
+) -> Column:
+    """Single-pass sketch (``percentile_approx``): rank error <= n / accuracy."""
+    return F.percentile_approx(F.col(column), list(probs), accuracy)
