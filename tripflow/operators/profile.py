@@ -230,28 +230,34 @@ def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int = 50)
     default): ``bins`` bins, the last one closed; a single distinct value
     gets edges value +/- 0.5.  Bin assignment repeats numpy's rule
     exactly, including its edge corrections.  Empty bins are reported
-    with count 0.  Min and max are scalar subqueries, so the whole
-    operator is one lazy query.
+    with count 0.  Two jobs: min/max (two numbers to the driver), then a
+    group-by with at most ``bins`` groups.
     """
     x = F.col(column)
     inside = df.filter(x.between(lo, hi)).select(x.cast("double").alias("x"))
-    stats = inside.agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
-    mn0, mx0 = stats.select("mn").scalar(), stats.select("mx").scalar()
-    mn0 = F.coalesce(mn0, F.lit(0.0))
-    mx0 = F.coalesce(mx0, F.lit(1.0))
-    mn = F.when(mn0 == mx0, mn0 - 0.5).otherwise(mn0)
-    mx = F.when(mn0 == mx0, mx0 + 0.5).otherwise(mx0)
+    stats = inside.agg(F.min("x").alias("mn"), F.max("x").alias("mx")).first()
+    mn, mx = (0.0, 1.0) if stats["mn"] is None else (float(stats["mn"]), float(stats["mx"]))
+    if mn == mx:
+        mn, mx = mn - 0.5, mx + 0.5
     step = (mx - mn) / bins
 
     def edge(i: Column) -> Column:
-        return F.when(i == bins, mx).otherwise(i.cast("double") * step + mn)
+        return F.when(i == bins, F.lit(mx)).otherwise(i.cast("double") * F.lit(step) + F.lit(mn))
 
     xv = F.col("x")
-    raw = ((xv - mn) / (mx - mn) * bins).cast("int")
-    i1 = F.when(raw == bins, F.lit(bins - 1)).otherwise(raw)
-    i2 = F.when(xv < edge(i1), i1 - 1).otherwise(i1)
-    i3 = F.when((xv >= edge(i2 + 1)) & (i2 != bins - 1), i2 + 1).otherwise(i2)
-    counts = inside.groupBy(i3.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    # one column per step, so no expression is copied into the next
+    staged = (
+        inside.withColumn("raw", ((xv - F.lit(mn)) / F.lit(mx - mn) * bins).cast("int"))
+        .withColumn("i1", F.when(F.col("raw") == bins, F.lit(bins - 1)).otherwise(F.col("raw")))
+        .withColumn("i2", F.when(xv < edge(F.col("i1")), F.col("i1") - 1).otherwise(F.col("i1")))
+        .withColumn(
+            "bin",
+            F.when((xv >= edge(F.col("i2") + 1)) & (F.col("i2") != bins - 1), F.col("i2") + 1).otherwise(
+                F.col("i2")
+            ),
+        )
+    )
+    counts = staged.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     b = F.col("bin")
     # ``counts`` has at most ``bins`` rows (one per bin index): a proven bound

@@ -40,6 +40,7 @@ def get_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.parquet.filterPushdown": "true",
     }
     if shuffle_partitions is not None:
