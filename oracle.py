@@ -390,6 +390,7 @@ def _gold_report(body: str, *needs: str) -> str:
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["scan_trips"] = _with(TRIPS, "SELECT * FROM trips")
+    q["land_stream"] = q["scan_trips"]
     q["land_report"] = _with(
         TRIPS,
         "SELECT 'landed' AS status, count(*) AS rows_read, count(*) AS rows_written, 13 AS columns FROM trips",

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tripflow.operators.outliers import iqr_candidates, iqr_filter
-from tripflow.operators.quantiles import QuantileTarget, discrete_rank, exact_quantiles
+from tripflow.operators.quantile_select import QuantileTarget, discrete_rank, exact_quantiles
 from tripflow.operators.rules import dedupe, funnel
 from tripflow.plans import specs
 

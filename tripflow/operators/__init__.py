@@ -23,7 +23,7 @@ from tripflow.operators.profile import (
     shape,
     value_ranges,
 )
-from tripflow.operators.quantiles import QuantileTarget, exact_quantiles
+from tripflow.operators.quantile_select import QuantileTarget, exact_quantiles
 from tripflow.operators.report import layer_report, pivot_matrix, share
 from tripflow.operators.rules import (
     Rule,

@@ -11,7 +11,7 @@ quartiles of every multiplier are selected together, each restricted by
 that multiplier's earlier bounds, so the cost is one quantile selection
 per column (two jobs on small data) plus one counting job - not one job
 per multiplier and column.  Quartiles are exact
-(:mod:`tripflow.operators.quantiles`); ``method="approx"`` uses a single
+(:mod:`tripflow.operators.quantile_select`); ``method="approx"`` uses a single
 ``percentile_approx`` sketch per quartile instead.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.operators.quantiles import DEFAULT_ACCURACY, QuantileTarget, exact_quantiles
+from tripflow.operators.quantile_select import DEFAULT_ACCURACY, QuantileTarget, exact_quantiles
 
 QUARTILES = (0.25, 0.75)
 

@@ -18,70 +18,111 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.functions.expr import count_if, is_float_type, rnd
-from tripflow.operators.quantiles import DEFAULT_ACCURACY, QuantileTarget, exact_quantiles
+from tripflow.operators.quantile_select import DEFAULT_ACCURACY, QuantileTarget, exact_quantiles
 
 
 def _maybe_round(c: Column, digits: int | None) -> Column:
     return rnd(c, digits) if digits is not None else c
 
 
-def shape(df: DataFrame) -> DataFrame:
-    """Rows and columns."""
-    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
+@dataclass(frozen=True)
+class Figure:
+    """A profile figure that is a function of one aggregate row.
 
+    ``aggs`` are aliased aggregate expressions (names unique per figure);
+    ``reshape`` turns the one-row frame holding them into the result.
+    Several figures share one scan with :func:`one_pass`.
+    """
 
-def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
-    """count / mean / sample stddev / min / max per column, as numbers.
+    aggs: tuple[Column, ...] = field(compare=False)
+    reshape: object = field(compare=False)  # Callable[[DataFrame], DataFrame]
 
-    One aggregate for all columns; ``digits`` rounds mean and stddev.
+
+def run(df: DataFrame, fig: Figure) -> DataFrame:
+    return fig.reshape(df.agg(*fig.aggs))
+
+
+def one_pass(df: DataFrame, figures: dict[str, Figure]) -> dict[str, DataFrame]:
+    """All figures from ONE aggregate over ``df``.
+
+    The single result row is checkpointed (reliable, tiny), so every
+    figure reads it instead of scanning ``df`` again.
     """
+    aggs = [a for fig in figures.values() for a in fig.aggs]
+    row = df.agg(*aggs).checkpoint(eager=True)
+    return {name: fig.reshape(row) for name, fig in figures.items()}
+
+
+def shape_figure(df: DataFrame, prefix: str = "sh_") -> Figure:
+    n = len(df.columns)
+    return Figure(
+        (F.count(F.lit(1)).alias(f"{prefix}rows"),),
+        lambda r: r.select(F.col(f"{prefix}rows").alias("rows"), F.lit(n).alias("columns")),
+    )
+
+
+def shape(df: DataFrame) -> DataFrame:
+    """Rows and columns."""
+    return run(df, shape_figure(df))
+
+
+def describe_figure(columns: Sequence[str], digits: int | None = None, prefix: str = "ds_") -> Figure:
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
         aggs += [
-            F.count(x).alias(f"n{i}"),
-            F.avg(x).alias(f"a{i}"),
-            F.stddev_samp(x).alias(f"s{i}"),
-            F.min(x).alias(f"lo{i}"),
-            F.max(x).alias(f"hi{i}"),
+            F.count(x).alias(f"{prefix}n{i}"),
+            F.avg(x).alias(f"{prefix}a{i}"),
+            F.stddev_samp(x).alias(f"{prefix}s{i}"),
+            F.min(x).alias(f"{prefix}lo{i}"),
+            F.max(x).alias(f"{prefix}hi{i}"),
         ]
-    row = df.agg(*aggs)
     items = [
         F.struct(
             F.lit(i).alias("position"),
             F.lit(c).alias("column"),
-            F.col(f"n{i}").alias("count"),
-            _maybe_round(F.col(f"a{i}"), digits).alias("mean"),
-            _maybe_round(F.col(f"s{i}"), digits).alias("stddev"),
-            F.col(f"lo{i}").alias("min"),
-            F.col(f"hi{i}").alias("max"),
+            F.col(f"{prefix}n{i}").alias("count"),
+            _maybe_round(F.col(f"{prefix}a{i}"), digits).alias("mean"),
+            _maybe_round(F.col(f"{prefix}s{i}"), digits).alias("stddev"),
+            F.col(f"{prefix}lo{i}").alias("min"),
+            F.col(f"{prefix}hi{i}").alias("max"),
         )
         for i, c in enumerate(columns)
     ]
-    return row.select(F.inline(F.array(*items)))
+    return Figure(tuple(aggs), lambda r: r.select(F.inline(F.array(*items))))
 
 
-def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Nulls per column, and NaNs for floating columns, in one pass."""
+def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
+    """count / mean / sample stddev / min / max per column, as numbers.
+
+    One aggregate for all columns; ``digits`` rounds mean and stddev.
+    """
+    return run(df, describe_figure(columns, digits))
+
+
+def null_figure(df: DataFrame, columns: Sequence[str] | None = None, prefix: str = "nl_") -> Figure:
     columns = list(columns or df.columns)
     aggs = []
     for i, c in enumerate(columns):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"n{i}"))
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"{prefix}n{i}"))
         if is_float_type(df.schema[c].dataType):
-            aggs.append(F.count_if(F.isnan(F.col(c))).alias(f"x{i}"))
-        else:
-            aggs.append(F.lit(0).cast("bigint").alias(f"x{i}"))
-    row = df.agg(*aggs)
+            aggs.append(F.count_if(F.isnan(F.col(c))).alias(f"{prefix}x{i}"))
+    floats = {i for i, c in enumerate(columns) if is_float_type(df.schema[c].dataType)}
     items = [
         F.struct(
             F.lit(i).alias("position"),
             F.lit(c).alias("column"),
-            F.col(f"n{i}").alias("nulls"),
-            F.col(f"x{i}").alias("nans"),
+            F.col(f"{prefix}n{i}").alias("nulls"),
+            (F.col(f"{prefix}x{i}") if i in floats else F.lit(0).cast("bigint")).alias("nans"),
         )
         for i, c in enumerate(columns)
     ]
-    return row.select(F.inline(F.array(*items)))
+    return Figure(tuple(aggs), lambda r: r.select(F.inline(F.array(*items))))
+
+
+def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Nulls per column, and NaNs for floating columns, in one pass."""
+    return run(df, null_figure(df, columns))
 
 
 def duplicate_stats(df: DataFrame) -> DataFrame:
@@ -125,24 +166,32 @@ def distribution(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
     )
 
 
-def value_ranges(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
-    """min, max and mean per column (one aggregate)."""
+def ranges_figure(columns: Sequence[str], digits: int | None = None, prefix: str = "rg_") -> Figure:
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.avg(x).alias(f"a{i}")]
-    row = df.agg(*aggs)
+        aggs += [F.min(x).alias(f"{prefix}lo{i}"), F.max(x).alias(f"{prefix}hi{i}"), F.avg(x).alias(f"{prefix}a{i}")]
     items = [
         F.struct(
             F.lit(i).alias("position"),
             F.lit(c).alias("column"),
-            F.col(f"lo{i}").alias("min"),
-            F.col(f"hi{i}").alias("max"),
-            _maybe_round(F.col(f"a{i}"), digits).alias("avg"),
+            F.col(f"{prefix}lo{i}").alias("min"),
+            F.col(f"{prefix}hi{i}").alias("max"),
+            _maybe_round(F.col(f"{prefix}a{i}"), digits).alias("avg"),
         )
         for i, c in enumerate(columns)
     ]
-    return row.select(F.inline(F.array(*items)))
+    return Figure(tuple(aggs), lambda r: r.select(F.inline(F.array(*items))))
+
+
+def value_ranges(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
+    """min, max and mean per column (one aggregate)."""
+    return run(df, ranges_figure(columns, digits))
+
+
+def count_figure(name: str, flag: Column, prefix: str = "ct_") -> Figure:
+    """Rows where ``flag`` is true, as a one-column frame ``name``."""
+    return Figure((count_if(flag).alias(f"{prefix}{name}"),), lambda r: r.select(F.col(f"{prefix}{name}").alias(name)))
 
 
 QUANTILE_SCHEMA = T.StructType(
@@ -192,6 +241,35 @@ class Check:
     flag: Column = field(compare=False)
 
 
+def checks_figure(checks: Sequence[Check], prefix: str = "ck_") -> Figure:
+    aggs = tuple(count_if(ch.flag).alias(f"{prefix}{i}") for i, ch in enumerate(checks))
+    items = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(ch.name).alias("issue"),
+            F.lit(ch.kind).alias("kind"),
+            F.col(f"{prefix}{i}").alias("rows"),
+        )
+        for i, ch in enumerate(checks)
+    ]
+    return Figure(aggs, lambda r: r.select(F.inline(F.array(*items))))
+
+
+def with_duplicates(
+    counted: DataFrame, df: DataFrame, position: int, only_found: bool = True, stats: DataFrame | None = None
+) -> DataFrame:
+    """Append the duplicate-row issue (``stats``: a precomputed
+    :func:`duplicate_stats` frame, to avoid a second shuffle)."""
+    dups = (duplicate_stats(df) if stats is None else stats).select(
+        F.lit(position).alias("position"),
+        F.lit("duplicate rows").alias("issue"),
+        F.lit("duplicate").alias("kind"),
+        F.col("duplicates").alias("rows"),
+    )
+    out = counted.unionByName(dups)
+    return out.filter(F.col("rows") > 0) if only_found else out
+
+
 def issues(
     df: DataFrame,
     checks: Sequence[Check],
@@ -201,26 +279,10 @@ def issues(
     """(position, issue, kind, rows): every check counted in one aggregate,
     plus whole-row duplicates (one shuffle); only checks with rows > 0
     unless ``only_found`` is false."""
-    row = df.agg(*[count_if(ch.flag).alias(f"c{i}") for i, ch in enumerate(checks)])
-    items = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(ch.name).alias("issue"),
-            F.lit(ch.kind).alias("kind"),
-            F.col(f"c{i}").alias("rows"),
-        )
-        for i, ch in enumerate(checks)
-    ]
-    out = row.select(F.inline(F.array(*items)))
+    counted = run(df, checks_figure(checks))
     if include_duplicates:
-        dups = duplicate_stats(df).select(
-            F.lit(len(checks)).alias("position"),
-            F.lit("duplicate rows").alias("issue"),
-            F.lit("duplicate").alias("kind"),
-            F.col("duplicates").alias("rows"),
-        )
-        out = out.unionByName(dups)
-    return out.filter(F.col("rows") > 0) if only_found else out
+        return with_duplicates(counted, df, len(checks), only_found)
+    return counted.filter(F.col("rows") > 0) if only_found else counted
 
 
 def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int = 50) -> DataFrame:

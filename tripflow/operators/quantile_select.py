@@ -54,6 +54,8 @@ class QuantileTarget:
     value: float | None = None
     done: bool = False
     stalled: bool = False
+    scanned: int | None = None  # rows the last sketch saw
+    reopened: bool = False
 
     def valid(self) -> Column:
         x = F.col(self.column)
@@ -104,19 +106,30 @@ def _count_round(df: DataFrame, targets: Sequence[QuantileTarget]) -> None:
 
 
 def _sketch_round(df: DataFrame, targets: Sequence[QuantileTarget], accuracy: int) -> None:
+    """Narrow every window with a sketch; targets that share column, filter
+    and window share one sketch (e.g. all quantiles of a column at first)."""
     slack = 3.0 / accuracy
-    aggs = []
-    for i, t in enumerate(targets):
+    groups: dict[tuple, list[tuple[QuantileTarget, float, float]]] = {}
+    for t in targets:
         rel = (t.k - t.below) / t.window
-        probs = [max(0.0, rel - slack), min(1.0, rel + slack)]
-        aggs.append(
-            F.percentile_approx(F.when(t.in_window(), F.col(t.column)), probs, accuracy).alias(f"s{i}")
-        )
+        key = (t.column, None if t.where is None else str(t.where), t.lo, t.hi)
+        groups.setdefault(key, []).append((t, max(0.0, rel - slack), min(1.0, rel + slack)))
+    aggs, plan = [], []
+    for i, members in enumerate(groups.values()):
+        probs = sorted({p for _, lo, hi in members for p in (lo, hi)})
+        t0 = members[0][0]
+        aggs.append(F.percentile_approx(F.when(t0.in_window(), F.col(t0.column)), probs, accuracy).alias(f"s{i}"))
+        plan.append((members, probs))
     row = df.agg(*aggs).first()
-    for i, t in enumerate(targets):
-        lo, hi = row[f"s{i}"]
-        t.lo = lo if lo is not None and not math.isnan(lo) else t.lo
-        t.hi = hi if hi is not None and not math.isnan(hi) else t.hi
+    for i, (members, probs) in enumerate(plan):
+        values = row[f"s{i}"]
+        if values is None:
+            continue
+        at = dict(zip(probs, values))
+        for t, plo, phi in members:
+            lo, hi = at[plo], at[phi]
+            t.lo = lo if lo is not None and not math.isnan(lo) else t.lo
+            t.hi = hi if hi is not None and not math.isnan(hi) else t.hi
 
 
 def _histogram_round(df: DataFrame, targets: Sequence[QuantileTarget]) -> None:
@@ -146,6 +159,84 @@ def _histogram_round(df: DataFrame, targets: Sequence[QuantileTarget]) -> None:
             t.done = True
 
 
+def _first_round(df: DataFrame, targets: Sequence[QuantileTarget], accuracy: int) -> None:
+    """One job: every target's row count, and one sketch per (column,
+    filter) with all its targets' probabilities +/- the sketch error."""
+    slack = 3.0 / accuracy
+    groups: dict[tuple, list[QuantileTarget]] = {}
+    for t in targets:
+        groups.setdefault((t.column, None if t.where is None else str(t.where)), []).append(t)
+    aggs = [F.count_if(t.valid()).alias(f"n{i}") for i, t in enumerate(targets)]
+    plan = []
+    for g, members in enumerate(groups.values()):
+        probs = sorted({q for t in members for q in (max(0.0, t.prob - slack), min(1.0, t.prob + slack))})
+        t0 = members[0]
+        aggs.append(F.percentile_approx(F.when(t0.valid(), F.col(t0.column)), probs, accuracy).alias(f"s{g}"))
+        plan.append((members, probs))
+    row = df.agg(*aggs).first()
+    for i, t in enumerate(targets):
+        t.n = int(row[f"n{i}"])
+        if t.n == 0:
+            t.done, t.value = True, None
+        else:
+            t.k = discrete_rank(t.n, t.prob)
+            t.scanned = t.n
+    for g, (members, probs) in enumerate(plan):
+        at = dict(zip(probs, row[f"s{g}"] or [None] * len(probs)))
+        for t in members:
+            if t.done:
+                continue
+            lo, hi = at[max(0.0, t.prob - slack)], at[min(1.0, t.prob + slack)]
+            t.lo = lo if lo is not None and not math.isnan(lo) else None
+            t.hi = hi if hi is not None and not math.isnan(hi) else None
+
+
+def _window_round(df: DataFrame, targets: Sequence[QuantileTarget], collect_limit: int) -> None:
+    """One job per column: the histogram of every target's window plus
+    the exact count of its rows below the window.  Rows outside all
+    windows fall into one null-keyed group, so the result is at most the
+    windows' distinct values + 1 rows; more than ``collect_limit`` means
+    the windows were too wide and the targets go back to narrowing."""
+    by_column: dict[str, list[QuantileTarget]] = {}
+    for t in targets:
+        by_column.setdefault(t.column, []).append(t)
+    for column, sub in by_column.items():
+        anyw = None
+        for t in sub:
+            anyw = t.in_window() if anyw is None else anyw | t.in_window()
+        hist = (
+            df.groupBy(F.when(anyw, F.col(column)).alias("x"))
+            .agg(
+                *[F.count_if(t.in_window()).alias(f"c{j}") for j, t in enumerate(sub)],
+                *[F.count_if(t.below_window()).alias(f"d{j}") for j, t in enumerate(sub)],
+            )
+            .orderBy(F.col("x").asc_nulls_first())
+            .limit(collect_limit + 2)
+            .collect()
+        )
+        if len(hist) > collect_limit + 1:
+            for t in sub:
+                t.window = None  # too wide: count and narrow instead
+            continue
+        for j, t in enumerate(sub):
+            below = sum(r[f"d{j}"] for r in hist)
+            width = sum(r[f"c{j}"] for r in hist)
+            need = t.k - below
+            if need < 1:
+                t.lo, t.window = None, None
+            elif need > width:
+                t.hi, t.window = None, None
+            else:
+                seen = 0
+                for r in hist:
+                    if r["x"] is None:
+                        continue
+                    seen += r[f"c{j}"]
+                    if seen >= need:
+                        t.value, t.done = float(r["x"]), True
+                        break
+
+
 def exact_quantiles(
     df: DataFrame,
     targets: Sequence[QuantileTarget],
@@ -153,12 +244,32 @@ def exact_quantiles(
     collect_limit: int = DEFAULT_COLLECT_LIMIT,
     max_rounds: int = 64,
 ) -> dict[Hashable, float | None]:
-    """Exact discrete quantiles for every target; ``None`` when it has no rows."""
+    """Exact discrete quantiles for every target; ``None`` when it has no rows.
+
+    Up to about ``collect_limit * accuracy / 6`` rows per target this is
+    two jobs; beyond, windows are narrowed by further count + sketch
+    rounds first.
+    """
     targets = list(targets)
+    if not targets:
+        return {}
+    _first_round(df, targets, accuracy)
     for _ in range(max_rounds):
         open_ = [t for t in targets if not t.done]
         if not open_:
             break
+        # windows a sketch over ``scanned`` rows left narrow enough to collect
+        narrow = [
+            t for t in open_
+            if t.window is None and t.scanned is not None and 6.0 * t.scanned / accuracy + 2 <= collect_limit
+            and not t.reopened
+        ]
+        if narrow:
+            _window_round(df, narrow, collect_limit)
+            for t in narrow:
+                if not t.done:
+                    t.reopened = True  # counted from now on
+            continue
         stale = [t for t in open_ if t.window is None]
         if stale:
             _count_round(df, stale)
@@ -176,7 +287,7 @@ def exact_quantiles(
             for t in large:
                 # a window the sketch cannot split holds few distinct values
                 t.stalled = (t.lo, t.hi) == before[id(t)]
-                t.window = None
+                t.scanned, t.window, t.reopened = t.window, None, t.stalled
     else:
         raise RuntimeError("quantile selection did not converge")
     return {t.key: t.value for t in targets}

@@ -12,14 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.columns import TRIP, TripColumns
-from tripflow.functions.expr import count_if
 from tripflow.operators import profile as P
-from tripflow.operators.quantiles import DEFAULT_ACCURACY
+from tripflow.operators.quantile_select import DEFAULT_ACCURACY
 from tripflow.plans import specs
 
 
 def out_of_month_rows(df: DataFrame, c: TripColumns = TRIP) -> DataFrame:
-    return df.agg(count_if(specs.out_of_month(c)).alias("rows"))
+    return P.run(df, P.count_figure("rows", specs.out_of_month(c)))
 
 
 def profile(
@@ -29,19 +28,36 @@ def profile(
     accuracy: int = DEFAULT_ACCURACY,
     digits: int = 6,
 ) -> dict[str, DataFrame]:
+    """Every profile figure.  Shape, statistics, nulls, ranges, the
+    out-of-month count and all rule checks come from ONE aggregate job;
+    duplicates are one shuffle, shared by two figures through
+    a checkpoint of its one-row result."""
     lo, hi, bins = specs.FARE_HISTOGRAM
+    checks = specs.profile_checks(c)
+    single = P.one_pass(
+        df,
+        {
+            "shape": P.shape_figure(df),
+            "describe": P.describe_figure(specs.describe_columns(c), digits),
+            "nulls": P.null_figure(df),
+            "ranges": P.ranges_figure(specs.range_columns(c), digits),
+            "out_of_month": P.count_figure("rows", specs.out_of_month(c)),
+            "checks": P.checks_figure(checks),
+        },
+    )
+    dups = P.duplicate_stats(df).checkpoint(eager=True)
     return {
-        "shape": P.shape(df),
-        "describe": P.describe_numeric(df, specs.describe_columns(c), digits),
-        "nulls": P.null_counts(df),
-        "duplicates": P.duplicate_stats(df),
+        "shape": single["shape"],
+        "describe": single["describe"],
+        "nulls": single["nulls"],
+        "duplicates": dups,
         "by_date": P.count_by(df, F.to_date(c.pickup), c.date),
         "by_hour": P.count_by(df, F.hour(c.pickup), c.hour),
         "vendor_dist": P.distribution(df, c.vendor),
         "payment_dist": P.distribution(df, c.payment),
-        "ranges": P.value_ranges(df, specs.range_columns(c), digits),
+        "ranges": single["ranges"],
         "quantiles": P.quantiles(df, specs.quantile_columns(c), specs.QUANTILE_PROBS, quantile_method, accuracy),
-        "out_of_month": out_of_month_rows(df, c),
-        "issues": P.issues(df, specs.profile_checks(c)),
+        "out_of_month": single["out_of_month"],
+        "issues": P.with_duplicates(single["checks"], df, len(checks), stats=dups),
         "fare_histogram": P.histogram(df, c.fare, lo, hi, bins),
     }

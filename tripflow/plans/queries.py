@@ -29,6 +29,7 @@ from tripflow.plans.silver import SilverBuild, build_silver
 from tripflow.session import scratch_path
 from tripflow.sources.fixture import LINEITEM_COLUMNS, trips_from_lineitem
 from tripflow.sources.io import land, read_layer, schema_table, write_layer
+from tripflow.streaming.landing import land_incrementally
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,6 +94,15 @@ def _land_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("status", "rows_read", "rows_written", "columns")
 
 
+def _land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files landed by the incremental (streaming) path, read back."""
+    raw = scratch_path(spark, "raw")
+    write_layer(trips(spark, sf_dir), raw)
+    target = scratch_path(spark, "bronze-stream")
+    land_incrementally(spark, raw, target, scratch_path(spark, "bronze-stream-ckpt"))
+    return spark.read.parquet(target)
+
+
 def _silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "silver-copy")
     write_layer(silver(spark, sf_dir), path)
@@ -142,6 +152,7 @@ def registry() -> dict[str, Query]:
         # sources / sinks
         "scan_trips": trips,
         "land_report": _land_report,
+        "land_stream": _land_stream,
         "schema_table": lambda spark, sf_dir: schema_table(trips(spark, sf_dir)),
         # profile
         "profile_shape": _profile(P.shape),

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tripflow.columns import TRIP, TripColumns
 from tripflow.functions.features import add_features
 from tripflow.operators.outliers import Tuning, bounds_table, choose_multiplier, iqr_candidates
-from tripflow.operators.quantiles import DEFAULT_ACCURACY
+from tripflow.operators.quantile_select import DEFAULT_ACCURACY
 from tripflow.operators.rules import (
     COPIES,
     TAG,

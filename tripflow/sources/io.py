@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,12 +114,16 @@ def land(
     target: str,
     if_exists: str = "skip",
     partition_by: Sequence[str] = (),
+    files: int | None = None,
 ) -> DataFrame:
     """Land raw data into the bronze layer and verify it.
 
     ``if_exists="skip"`` leaves an existing target untouched (status
-    ``skipped``); ``"replace"`` rewrites it.  The report has one row:
-    target, status, rows read from the source, rows read back, columns.
+    ``skipped``); ``"replace"`` rewrites it.  ``files`` spreads the rows
+    evenly over that many files (a round-robin shuffle: only worth it when
+    the source arrives as a few large unsplittable files).  The report has
+    one row: target, status, rows read from the source, rows read back,
+    columns.
     """
     if if_exists not in ("skip", "replace"):
         raise ValueError("if_exists must be 'skip' or 'replace'")
@@ -128,13 +132,17 @@ def land(
         row = (target, "skipped", None, back.count(), len(back.columns))
         return spark.createDataFrame([row], LAND_SCHEMA)
     src = spark.read.parquet(source) if isinstance(source, str) else source
-    write_layer(src, target, partition_by=partition_by)
+    if files:
+        src = src.repartition(files)
+    # Count the rows as they are written: the observed metric sits in the
+    # write's final (result) stage, where Spark merges each partition's
+    # update exactly once even when tasks are retried, so the source is
+    # not read a second time just to be counted.
+    seen = Observation("land")
+    write_layer(src.observe(seen, F.count(F.lit(1)).alias("rows")), target, partition_by=partition_by)
+    read = int(seen.get["rows"])
     back = spark.read.parquet(target)
-    written = back.count()
-    # The source count is taken after the write so a source that is a
-    # plain file costs a footer read; for a derived source it is one
-    # more narrow pass.
-    read = src.count()
+    written = back.count()  # Parquet footers only
     if read != written:
         raise IOError(f"{target}: source has {read} rows, landed {written}")
     return spark.createDataFrame([(target, "landed", read, written, len(back.columns))], LAND_SCHEMA)

@@ -1,0 +1,5 @@
+"""Streaming entry points (incremental landing into bronze)."""
+
+from tripflow.streaming.landing import land_incrementally
+
+__all__ = ["land_incrementally"]
