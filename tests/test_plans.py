@@ -89,3 +89,31 @@ def test_schema_check_lists_problems(spark, bronze):
     with pytest.raises(SchemaError, match="missing column 'nope'.*fare_amount"):
         check_schema(bronze, {"nope": (T.DoubleType,), "fare_amount": (T.StringType,)})
     assert read_layer(spark, bronze.inputFiles()[0].rsplit("/", 1)[0], {"fare_amount": (T.DoubleType,)})
+
+
+def test_profile_job_equals_single_operators(spark, bronze):
+    from pyspark.sql import functions as F
+
+    from tripflow.columns import TRIP as C
+    from tripflow.operators import profile as P
+    from tripflow.plans.profile_job import out_of_month_rows, profile
+
+    got = profile(bronze)
+    lo, hi, bins = specs.FARE_HISTOGRAM
+    want = {
+        "shape": P.shape(bronze),
+        "describe": P.describe_numeric(bronze, specs.describe_columns(), 6),
+        "nulls": P.null_counts(bronze),
+        "duplicates": P.duplicate_stats(bronze),
+        "by_date": P.count_by(bronze, F.to_date(C.pickup), C.date),
+        "by_hour": P.count_by(bronze, F.hour(C.pickup), C.hour),
+        "vendor_dist": P.distribution(bronze, C.vendor),
+        "payment_dist": P.distribution(bronze, C.payment),
+        "ranges": P.value_ranges(bronze, specs.range_columns(), 6),
+        "out_of_month": out_of_month_rows(bronze),
+        "issues": P.issues(bronze, specs.profile_checks()),
+        "fare_histogram": P.histogram(bronze, C.fare, lo, hi, bins),
+    }
+    for name, frame in want.items():
+        assert got[name].columns == frame.columns, name
+        assert sorted(map(tuple, got[name].collect()), key=repr) == sorted(map(tuple, frame.collect()), key=repr), name

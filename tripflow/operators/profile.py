@@ -285,51 +285,86 @@ def issues(
     return counted.filter(F.col("rows") > 0) if only_found else counted
 
 
-def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int = 50) -> DataFrame:
-    """Equal-width histogram of the values in ``[lo, hi]``.
+def histogram_range_figure(column: str, lo: float, hi: float, prefix: str = "hg_") -> Figure:
+    """min and max of the values of ``column`` inside ``[lo, hi]``."""
+    x = F.when(F.col(column).between(lo, hi), F.col(column).cast("double"))
+    return Figure(
+        (F.min(x).alias(f"{prefix}mn"), F.max(x).alias(f"{prefix}mx")),
+        lambda r: r.select(F.col(f"{prefix}mn").alias("mn"), F.col(f"{prefix}mx").alias("mx")),
+    )
 
-    Bin edges span the *observed* min..max of those values (the numpy
-    default): ``bins`` bins, the last one closed; a single distinct value
-    gets edges value +/- 0.5.  Bin assignment repeats numpy's rule
-    exactly, including its edge corrections.  Empty bins are reported
-    with count 0.  Two jobs: min/max (two numbers to the driver), then a
-    group-by with at most ``bins`` groups.
-    """
-    x = F.col(column)
-    inside = df.filter(x.between(lo, hi)).select(x.cast("double").alias("x"))
-    stats = inside.agg(F.min("x").alias("mn"), F.max("x").alias("mx")).first()
-    mn, mx = (0.0, 1.0) if stats["mn"] is None else (float(stats["mn"]), float(stats["mx"]))
-    if mn == mx:
-        mn, mx = mn - 0.5, mx + 0.5
+
+def histogram_edges(mn: float | None, mx: float | None) -> tuple[float, float]:
+    """numpy's range rule: observed min..max; +/- 0.5 around a single value."""
+    if mn is None:
+        return 0.0, 1.0
+    mn, mx = float(mn), float(mx)
+    return (mn - 0.5, mx + 0.5) if mn == mx else (mn, mx)
+
+
+def _edge(i: Column, mn: float, mx: float, bins: int) -> Column:
     step = (mx - mn) / bins
+    return F.when(i == bins, F.lit(mx)).otherwise(i.cast("double") * F.lit(step) + F.lit(mn))
+
 
-    def edge(i: Column) -> Column:
-        return F.when(i == bins, F.lit(mx)).otherwise(i.cast("double") * F.lit(step) + F.lit(mn))
+def with_bin(
+    df: DataFrame, column: str, lo: float, hi: float, mn: float, mx: float, bins: int, name: str = "bin"
+) -> DataFrame:
+    """Add the numpy bin index of ``column`` (null outside ``[lo, hi]``).
 
-    xv = F.col("x")
+    numpy's rule: index = trunc((x - mn) / (mx - mn) * bins), the top edge
+    folded into the last bin, then corrected against the computed edges.
+    """
+    x = F.col(column).cast("double")
+    raw, i1, i2 = f"_{name}_raw", f"_{name}_i1", f"_{name}_i2"
     # one column per step, so no expression is copied into the next
-    staged = (
-        inside.withColumn("raw", ((xv - F.lit(mn)) / F.lit(mx - mn) * bins).cast("int"))
-        .withColumn("i1", F.when(F.col("raw") == bins, F.lit(bins - 1)).otherwise(F.col("raw")))
-        .withColumn("i2", F.when(xv < edge(F.col("i1")), F.col("i1") - 1).otherwise(F.col("i1")))
+    return (
+        df.withColumn(raw, F.when(F.col(column).between(lo, hi), ((x - F.lit(mn)) / F.lit(mx - mn) * bins).cast("int")))
+        .withColumn(i1, F.when(F.col(raw) == bins, F.lit(bins - 1)).otherwise(F.col(raw)))
+        .withColumn(i2, F.when(x < _edge(F.col(i1), mn, mx, bins), F.col(i1) - 1).otherwise(F.col(i1)))
         .withColumn(
-            "bin",
-            F.when((xv >= edge(F.col("i2") + 1)) & (F.col("i2") != bins - 1), F.col("i2") + 1).otherwise(
-                F.col("i2")
-            ),
+            name,
+            F.when(
+                (x >= _edge(F.col(i2) + 1, mn, mx, bins)) & (F.col(i2) != bins - 1), F.col(i2) + 1
+            ).otherwise(F.col(i2)),
         )
+        .drop(raw, i1, i2)
     )
-    counts = staged.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-    all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+
+
+def bins_table(counts: DataFrame, mn: float, mx: float, bins: int, bin_col: str = "bin") -> DataFrame:
+    """Every bin with its edges and count (0 when empty) from (bin, count) rows.
+
+    ``counts`` has at most ``bins`` rows (one per bin index): a proven
+    bound, so it is broadcast to the generated list of bins.
+    """
+    all_bins = counts.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    counts = counts.select(F.col(bin_col).alias("bin"), "count")
     b = F.col("bin")
-    # ``counts`` has at most ``bins`` rows (one per bin index): a proven bound
     return (
         all_bins.join(F.broadcast(counts), "bin", "left")
         .select(
             b,
-            edge(b).alias("bin_lo"),
-            edge(b + 1).alias("bin_hi"),
+            _edge(b, mn, mx, bins).alias("bin_lo"),
+            _edge(b + 1, mn, mx, bins).alias("bin_hi"),
             F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
         )
         .orderBy("bin")
     )
+
+
+def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int = 50) -> DataFrame:
+    """Equal-width histogram of the values in ``[lo, hi]``.
+
+    Bin edges span the *observed* min..max of those values (the numpy
+    default): ``bins`` bins, the last one closed; a single distinct value
+    gets edges value +/- 0.5.  Bin assignment repeats numpy's rule
+    exactly, including its edge corrections.  Empty bins are reported
+    with count 0.  Two jobs: min/max (two numbers to the driver), then a
+    group-by with at most ``bins`` groups.
+    """
+    r = run(df, histogram_range_figure(column, lo, hi)).first()
+    mn, mx = histogram_edges(r["mn"], r["mx"])
+    binned = with_bin(df.select(column), column, lo, hi, mn, mx, bins)
+    counts = binned.filter(F.col("bin").isNotNull()).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+    return bins_table(counts, mn, mx, bins)

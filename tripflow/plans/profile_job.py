@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tripflow.columns import TRIP, TripColumns
 from tripflow.operators import profile as P
 from tripflow.operators.quantile_select import DEFAULT_ACCURACY
+from tripflow.operators.summarise import Measure, Summary, summarise_many
 from tripflow.plans import specs
 
 
@@ -28,10 +29,18 @@ def profile(
     accuracy: int = DEFAULT_ACCURACY,
     digits: int = 6,
 ) -> dict[str, DataFrame]:
-    """Every profile figure.  Shape, statistics, nulls, ranges, the
-    out-of-month count and all rule checks come from ONE aggregate job;
-    duplicates are one shuffle, shared by two figures through
-    a checkpoint of its one-row result."""
+    """Every profile figure in five scans of ``df``:
+
+    1. one aggregate: shape, statistics, nulls, ranges, out-of-month,
+       every rule check, and the fare range for the histogram;
+    2. one GROUPING SETS aggregate: rows by date, by hour, by vendor, by
+       payment type and by fare bin (partial aggregation, so only group
+       rows are shuffled);
+    3. whole-row duplicates (one shuffle);
+    4-5. exact quantiles (count + sketch, then window histograms).
+
+    Small results are checkpointed once and every figure reads them.
+    """
     lo, hi, bins = specs.FARE_HISTOGRAM
     checks = specs.profile_checks(c)
     single = P.one_pass(
@@ -43,21 +52,50 @@ def profile(
             "ranges": P.ranges_figure(specs.range_columns(c), digits),
             "out_of_month": P.count_figure("rows", specs.out_of_month(c)),
             "checks": P.checks_figure(checks),
+            "fare_range": P.histogram_range_figure(c.fare, lo, hi),
         },
     )
+    total = single["shape"].first()["rows"]
+    r = single["fare_range"].first()
+    mn, mx = P.histogram_edges(r["mn"], r["mx"])
+
+    fare_bin = "_fare_bin"
+    keyed = P.with_bin(
+        df.select(c.pickup, c.vendor, c.payment, c.fare).withColumns(
+            {c.date: F.to_date(c.pickup), c.hour: F.hour(c.pickup)}
+        ),
+        c.fare, lo, hi, mn, mx, bins, fare_bin,
+    )
+    n = Measure("count", "count")
+    breakdowns = [
+        Summary("by_date", (c.date,), (n,), order=((c.date, True),)),
+        Summary("by_hour", (c.hour,), (n,), order=((c.hour, True),)),
+        Summary("vendor_dist", (c.vendor,), (n,), order=((c.vendor, True),)),
+        Summary("payment_dist", (c.payment,), (n,), order=((c.payment, True),)),
+        Summary("fare_bins", (fare_bin,), (n,)),
+    ]
+    combined, makers = summarise_many(keyed, breakdowns)
+    combined = combined.checkpoint(eager=True)
+    grouped = {name: make(combined) for name, make in makers.items()}
+
+    def pct(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("pct", F.round(F.col("count") / F.lit(total) * 100, 2))
+
     dups = P.duplicate_stats(df).checkpoint(eager=True)
     return {
         "shape": single["shape"],
         "describe": single["describe"],
         "nulls": single["nulls"],
         "duplicates": dups,
-        "by_date": P.count_by(df, F.to_date(c.pickup), c.date),
-        "by_hour": P.count_by(df, F.hour(c.pickup), c.hour),
-        "vendor_dist": P.distribution(df, c.vendor),
-        "payment_dist": P.distribution(df, c.payment),
+        "by_date": grouped["by_date"],
+        "by_hour": grouped["by_hour"],
+        "vendor_dist": pct(grouped["vendor_dist"]),
+        "payment_dist": pct(grouped["payment_dist"]),
         "ranges": single["ranges"],
         "quantiles": P.quantiles(df, specs.quantile_columns(c), specs.QUANTILE_PROBS, quantile_method, accuracy),
         "out_of_month": single["out_of_month"],
         "issues": P.with_duplicates(single["checks"], df, len(checks), stats=dups),
-        "fare_histogram": P.histogram(df, c.fare, lo, hi, bins),
+        "fare_histogram": P.bins_table(
+            grouped["fare_bins"].filter(F.col(fare_bin).isNotNull()), mn, mx, bins, bin_col=fare_bin
+        ),
     }
