@@ -132,7 +132,7 @@ def _sketch_round(df: DataFrame, targets: Sequence[QuantileTarget], accuracy: in
             t.hi = hi if hi is not None and not math.isnan(hi) else t.hi
 
 
-def _histogram_round(df: DataFrame, targets: Sequence[QuantileTarget]) -> None:
+def _histogram_round(df: DataFrame, targets: Sequence[QuantileTarget], limit: int) -> None:
     """Collect the window histograms (each at most the collect limit) and select."""
     by_column: dict[str, list[int]] = {}
     for i, t in enumerate(targets):
@@ -147,8 +147,14 @@ def _histogram_round(df: DataFrame, targets: Sequence[QuantileTarget]) -> None:
             .groupBy(F.col(column).alias("x"))
             .agg(*[F.count_if(t.in_window()).alias(f"c{j}") for j, t in enumerate(sub)])
             .orderBy("x")
+            .limit(limit + 1)
             .collect()
         )
+        if len(hist) > limit:
+            raise RuntimeError(
+                f"quantile window of {column!r} holds more than {limit} distinct values; "
+                "raise collect_limit or accuracy"
+            )
         for j, t in enumerate(sub):
             need, seen = t.k - t.below, 0
             for r in hist:
@@ -279,7 +285,7 @@ def exact_quantiles(
                 t.value, t.done = float(t.lo), True
         small = [t for t in open_ if not t.done and (t.window <= collect_limit or t.stalled)]
         if small:
-            _histogram_round(df, small)
+            _histogram_round(df, small, collect_limit)
         large = [t for t in open_ if not t.done]
         if large:
             before = {id(t): (t.lo, t.hi) for t in large}
