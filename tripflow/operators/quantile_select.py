@@ -133,36 +133,44 @@ def _sketch_round(df: DataFrame, targets: Sequence[QuantileTarget], accuracy: in
 
 
 def _histogram_round(df: DataFrame, targets: Sequence[QuantileTarget], limit: int) -> None:
-    """Collect the window histograms (each at most the collect limit) and select."""
-    by_column: dict[str, list[int]] = {}
-    for i, t in enumerate(targets):
-        by_column.setdefault(t.column, []).append(i)
-    for column, idx in by_column.items():
-        sub = [targets[i] for i in idx]
+    """Walk the window histograms in pages of at most ``limit`` distinct
+    values (a top-k, so the driver never receives more).  A page that
+    ends before a target's rank moves that target's window up to the
+    page's next value; this is how windows the sketch cannot split (few
+    but heavy values) are finished."""
+    sub = [t for t in targets if not t.done]
+    while sub:
+        column = sub[0].column
+        page = [t for t in sub if t.column == column]
         cond = None
-        for t in sub:
+        for t in page:
             cond = t.in_window() if cond is None else cond | t.in_window()
         hist = (
             df.filter(cond)
             .groupBy(F.col(column).alias("x"))
-            .agg(*[F.count_if(t.in_window()).alias(f"c{j}") for j, t in enumerate(sub)])
+            .agg(*[F.count_if(t.in_window()).alias(f"c{j}") for j, t in enumerate(page)])
             .orderBy("x")
             .limit(limit + 1)
             .collect()
         )
-        if len(hist) > limit:
-            raise RuntimeError(
-                f"quantile window of {column!r} holds more than {limit} distinct values; "
-                "raise collect_limit or accuracy"
-            )
-        for j, t in enumerate(sub):
+        full, nxt = hist[:limit], (hist[limit] if len(hist) > limit else None)
+        for j, t in enumerate(page):
             need, seen = t.k - t.below, 0
-            for r in hist:
+            for r in full:
                 seen += r[f"c{j}"]
                 if seen >= need:
-                    t.value = float(r["x"])
+                    t.value, t.done = float(r["x"]), True
                     break
-            t.done = True
+            if t.done:
+                continue
+            if nxt is None:  # window ran out below the rank: recount it
+                t.lo, t.hi, t.below, t.window = None, None, 0, None
+                t.done = False
+            else:
+                t.below += seen
+                t.window -= seen
+                t.lo = float(nxt["x"])
+        sub = [t for t in sub if not t.done and t.window is not None]
 
 
 def _first_round(df: DataFrame, targets: Sequence[QuantileTarget], accuracy: int) -> None:
