@@ -36,7 +36,7 @@ from tripflow.plans.gold import build_gold, write_gold  # noqa: E402
 from tripflow.plans.profile_job import profile  # noqa: E402
 from tripflow.plans.report_job import report  # noqa: E402
 from tripflow.plans.silver import build_silver  # noqa: E402
-from tripflow.session import get_session  # noqa: E402
+from tripflow.session import get_session, scratch_root  # noqa: E402
 from tripflow.sources.fixture import load_trips  # noqa: E402
 from tripflow.sources.io import land  # noqa: E402
 from tripflow.sources.layout import Layout  # noqa: E402
@@ -110,9 +110,7 @@ def main() -> None:
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")},
     )
     work = tempfile.mkdtemp(prefix="tripflow-bench-")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", f"{work}/scratch")
-        spark.sparkContext.setCheckpointDir(f"{work}/scratch")
+    scratch_root(spark)  # spark.checkpoint.dir, or a private folder when unset
     layout = Layout(work)
     q: dict[str, float] = {}
 

@@ -1,21 +1,17 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tripflow.session import get_session  # noqa: E402
+from tripflow.session import get_session, scratch_root  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = get_session("local[2]", app_name="tripflow-tests", shuffle_partitions=4)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        root = tempfile.mkdtemp(prefix="tripflow-tests-")
-        session.conf.set("spark.checkpoint.dir", root)
-        session.sparkContext.setCheckpointDir(root)
+    scratch_root(session)  # a private folder only when the setting is absent
     yield session
     session.stop()
 

@@ -48,12 +48,16 @@ class Bounds:
     def upper(self) -> float | None:
         return None if self.iqr is None else self.q3 + self.multiplier * self.iqr
 
-    def keep(self) -> Column:
-        """``lower <= x <= upper``; no bounds (no values) keeps every row."""
+    def keep_sql(self) -> str:
+        """``lower <= x <= upper`` as SQL; no bounds (no values) keeps every row."""
         if self.lower is None:
-            return F.lit(True)
-        x = F.col(self.column)
-        return (x >= F.lit(self.lower)) & (x <= F.lit(self.upper))
+            return "TRUE"
+        x = "`" + self.column.replace("`", "``") + "`"
+        return f"({x} >= {float(self.lower)!r}D AND {x} <= {float(self.upper)!r}D)"
+
+    def keep(self) -> Column:
+        # one JVM call per predicate (tuning builds dozens of them)
+        return F.expr(self.keep_sql())
 
 
 BOUNDS_SCHEMA = T.StructType(
@@ -195,23 +199,18 @@ def iqr_candidates(
     for c in columns:
         wanted = []
         for m in ms:
-            keep = None
-            for b in bounds[m]:
-                keep = b.keep() if keep is None else keep & b.keep()
+            keep = F.expr(" AND ".join(b.keep_sql() for b in bounds[m])) if bounds[m] else None
             wanted.append((m, c, keep))
         qs = _quartiles(df, wanted, method, accuracy)
         for m in ms:
             bounds[m].append(Bounds(c, *qs[m], m))
 
     def keep_all(m: float) -> Column:
-        pred = F.lit(True)
-        for b in bounds[m]:
-            pred = pred & b.keep()
-        return pred
+        return F.expr("count_if(coalesce(" + " AND ".join(["TRUE", *(b.keep_sql() for b in bounds[m])]) + ", FALSE))")
 
     counts = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.coalesce(keep_all(m), F.lit(False))).alias(f"k{i}") for i, m in enumerate(ms)],
+        *[keep_all(m).alias(f"k{i}") for i, m in enumerate(ms)],
     )
     n = F.col("n")
     rows = [

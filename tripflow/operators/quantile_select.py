@@ -1,31 +1,37 @@
 """Exact discrete quantiles with bounded memory, for any number of rows.
 
 ``percentile_approx`` is exact only when its sketch can hold about
-1/accuracy entries per task and per quantile; at high accuracy that is
-tens of megabytes of JVM objects per sketch, and its answer still moves
-with the partitioning.  Here each quantile is *selected* instead:
-
-1. count the rows of the target (its filter, non-null values) -> rank k;
-2. while the candidate window holds more than ``collect_limit`` rows,
-   narrow it with a small ``percentile_approx`` sketch over the window
-   (error 1/accuracy, so each round shrinks the window ~accuracy/4 times)
-   and recount; a window that misses rank k is widened again, so sketch
-   error can never change the answer;
-3. collect the (value, count) histogram of the window - at most
-   ``collect_limit`` rows by construction - and walk it to rank k.
-
-All targets advance together: one aggregate job per round evaluates every
-target's counts or sketches, so many quantiles (several columns,
-several filters) cost the same number of scans as one.  Small inputs
-finish in two jobs; 10^12 rows need about six.
+1/accuracy entries per task and per quantile, its answer moves with the
+partitioning, and it is an object-based aggregate (several times slower
+per row than a plain count).  Here each quantile is *selected* with plain
+hash aggregates instead:
+
+1. one aggregate gives each column's finite min and max;
+2. a *bucket round* splits a window ``[lo, hi]`` into ``B`` equal-width
+   buckets and returns, per bucket, the row count of every target's
+   filter plus the bucket's observed min and max - at most ``B + 3``
+   small rows.  The bucket index is monotone in the value, so walking the
+   buckets gives the exact rank of every bucket edge; the target's window
+   becomes the observed ``[min, max]`` of the bucket holding its rank;
+3. once a window holds at most ``collect_limit`` rows, a *window round*
+   collects its (value, count) histogram (a top-k, so never more than the
+   limit) and walks it to the rank.
+
+A bucket round always splits a window of two or more distinct values, so
+the search ends; on real data it takes one or two bucket rounds.  All
+targets advance together: targets sharing a column and window share one
+bucket job, and every round is a hash aggregate with map-side partial
+aggregation, so a value repeated by a third of all rows collapses in each
+task before the shuffle.  NaN sorts above +inf (as in Spark) and both
+infinities have their own buckets; nulls are ignored.
 
 Rank follows the inverse-CDF ("discrete") definition: the smallest value
-whose cumulative count reaches ``max(1, ceil(p * n))``.  Nulls are
-ignored; NaN sorts above every number, as in Spark.
+whose cumulative count reaches ``max(1, ceil(p * n))``.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Hashable, Sequence
 from dataclasses import dataclass, field
@@ -33,7 +39,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 10_000
+DEFAULT_BUCKETS = 4096
+DEFAULT_ACCURACY = 10_000  # sketch accuracy of the approximate method
 DEFAULT_COLLECT_LIMIT = 100_000
 
 
@@ -47,34 +54,15 @@ class QuantileTarget:
     # search state
     n: int | None = None
     k: int | None = None
-    lo: float | None = None
+    lo: float | None = None  # current window, finite, inclusive
     hi: float | None = None
-    below: int = 0
-    window: int | None = None
+    below: int = 0  # rows of the target under the window
+    rows: int | None = None  # rows of the target inside the window
     value: float | None = None
     done: bool = False
-    stalled: bool = False
-    scanned: int | None = None  # rows the last sketch saw
-    reopened: bool = False
-
-    def valid(self) -> Column:
-        x = F.col(self.column)
-        pred = x.isNotNull()
-        return pred if self.where is None else pred & F.coalesce(self.where, F.lit(False))
-
-    def in_window(self) -> Column:
-        x = F.col(self.column)
-        pred = self.valid()
-        if self.lo is not None:
-            pred = pred & (x >= F.lit(self.lo))
-        if self.hi is not None:
-            pred = pred & (x <= F.lit(self.hi))
-        return pred
-
-    def below_window(self) -> Column:
-        if self.lo is None:
-            return F.lit(False)
-        return self.valid() & (F.col(self.column) < F.lit(self.lo))
+
+    def filter_key(self) -> str | None:
+        return None if self.where is None else str(self.where)
 
 
 def discrete_rank(n: int, prob: float) -> int:
@@ -82,226 +70,242 @@ def discrete_rank(n: int, prob: float) -> int:
     return max(1, n - math.floor(n - n * prob))
 
 
-def _count_round(df: DataFrame, targets: Sequence[QuantileTarget]) -> None:
-    aggs = []
-    for i, t in enumerate(targets):
-        aggs.append(F.count_if(t.in_window()).alias(f"w{i}"))
-        aggs.append(F.count_if(t.below_window()).alias(f"b{i}"))
-    row = df.agg(*aggs).first()
-    for i, t in enumerate(targets):
-        w, b = int(row[f"w{i}"]), int(row[f"b{i}"])
-        if t.n is None:  # first round: the window is everything
-            t.n = w
-            if w == 0:
-                t.done, t.value = True, None
-                continue
-            t.k = discrete_rank(w, t.prob)
-        rank_in = t.k - b
-        if rank_in < 1:  # sketch overshot: reopen the low side
-            t.lo, t.below, t.window = None, 0, None
-        elif rank_in > w:  # undershot: reopen the high side
-            t.hi, t.window = None, None
-        else:
-            t.below, t.window = b, w
+# Expressions are written as SQL text (one JVM call each): these rounds
+# build many small predicates, and building them call by call costs more
+# driver time than the jobs themselves on small inputs.
 
 
-def _sketch_round(df: DataFrame, targets: Sequence[QuantileTarget], accuracy: int) -> None:
-    """Narrow every window with a sketch; targets that share column, filter
-    and window share one sketch (e.g. all quantiles of a column at first)."""
-    slack = 3.0 / accuracy
-    groups: dict[tuple, list[tuple[QuantileTarget, float, float]]] = {}
-    for t in targets:
-        rel = (t.k - t.below) / t.window
-        key = (t.column, None if t.where is None else str(t.where), t.lo, t.hi)
-        groups.setdefault(key, []).append((t, max(0.0, rel - slack), min(1.0, rel + slack)))
-    aggs, plan = [], []
-    for i, members in enumerate(groups.values()):
-        probs = sorted({p for _, lo, hi in members for p in (lo, hi)})
-        t0 = members[0][0]
-        aggs.append(F.percentile_approx(F.when(t0.in_window(), F.col(t0.column)), probs, accuracy).alias(f"s{i}"))
-        plan.append((members, probs))
-    row = df.agg(*aggs).first()
-    for i, (members, probs) in enumerate(plan):
-        values = row[f"s{i}"]
-        if values is None:
-            continue
-        at = dict(zip(probs, values))
-        for t, plo, phi in members:
-            lo, hi = at[plo], at[phi]
-            t.lo = lo if lo is not None and not math.isnan(lo) else t.lo
-            t.hi = hi if hi is not None and not math.isnan(hi) else t.hi
-
-
-def _histogram_round(df: DataFrame, targets: Sequence[QuantileTarget], limit: int) -> None:
-    """Walk the window histograms in pages of at most ``limit`` distinct
-    values (a top-k, so the driver never receives more).  A page that
-    ends before a target's rank moves that target's window up to the
-    page's next value; this is how windows the sketch cannot split (few
-    but heavy values) are finished."""
-    sub = [t for t in targets if not t.done]
-    while sub:
-        column = sub[0].column
-        page = [t for t in sub if t.column == column]
-        cond = None
-        for t in page:
-            cond = t.in_window() if cond is None else cond | t.in_window()
-        hist = (
-            df.filter(cond)
-            .groupBy(F.col(column).alias("x"))
-            .agg(*[F.count_if(t.in_window()).alias(f"c{j}") for j, t in enumerate(page)])
-            .orderBy("x")
-            .limit(limit + 1)
-            .collect()
+def _q(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _d(v: float) -> str:
+    """A finite float as an exact SQL double literal."""
+    return f"{float(v)!r}D"
+
+
+def _equal_width(x: str, lo: float, hi: float, buckets: int) -> str:
+    """Bucket 0..B-1 of a finite ``x`` in ``[lo, hi]``; monotone in ``x``.
+    Halves keep ``hi - lo`` finite for any finite bounds."""
+    if lo == hi:
+        return "0"
+    scaled = f"(({x} / 2D - {_d(lo / 2)}) / {_d(hi / 2 - lo / 2)} * {buckets}D)"
+    return f"CAST(least(floor({scaled}), {buckets - 1}) AS INT)"
+
+
+def _in_range(column: str, lo: float, hi: float) -> str:
+    c = _q(column)
+    return f"({c} >= {_d(lo)} AND {c} <= {_d(hi)})"
+
+
+@dataclass
+class _Window:
+    """One bucket job input: a column, its window and the targets in it."""
+
+    column: str
+    lo: float | None  # None: the column's whole finite range (first round)
+    hi: float | None
+    first: bool
+    targets: list[QuantileTarget]
+
+    def bucket(self, buckets: int) -> str:
+        x = f"CAST({_q(self.column)} AS DOUBLE)"
+        if not self.first:
+            return f"CASE WHEN {_in_range(self.column, self.lo, self.hi)} THEN {_equal_width(x, self.lo, self.hi, buckets)} END"
+        finite = "CAST(NULL AS INT)" if self.lo is None else _equal_width(x, self.lo, self.hi, buckets)
+        return (
+            f"CASE WHEN {x} IS NULL THEN CAST(NULL AS INT) WHEN isnan({x}) THEN {buckets + 1} "
+            f"WHEN {x} = double('inf') THEN {buckets} WHEN {x} = double('-inf') THEN -1 ELSE {finite} END"
         )
-        full, nxt = hist[:limit], (hist[limit] if len(hist) > limit else None)
-        for j, t in enumerate(page):
-            need, seen = t.k - t.below, 0
-            for r in full:
-                seen += r[f"c{j}"]
-                if seen >= need:
-                    t.value, t.done = float(r["x"]), True
-                    break
-            if t.done:
-                continue
-            if nxt is None:  # window ran out below the rank: recount it
-                t.lo, t.hi, t.below, t.window = None, None, 0, None
-                t.done = False
-            else:
-                t.below += seen
-                t.window -= seen
-                t.lo = float(nxt["x"])
-        sub = [t for t in sub if not t.done and t.window is not None]
+
+    def pushdown(self) -> str:
+        if self.first:
+            return f"{_q(self.column)} IS NOT NULL"
+        return _in_range(self.column, self.lo, self.hi)
 
 
-def _first_round(df: DataFrame, targets: Sequence[QuantileTarget], accuracy: int) -> None:
-    """One job: every target's row count, and one sketch per (column,
-    filter) with all its targets' probabilities +/- the sketch error."""
-    slack = 3.0 / accuracy
-    groups: dict[tuple, list[QuantileTarget]] = {}
+def _with_filters(df: DataFrame, columns: Sequence[str], targets: Sequence[QuantileTarget]) -> tuple[DataFrame, dict]:
+    """``df`` pruned to ``columns`` plus one boolean column per distinct
+    target filter (null -> false); returns the frame and filter-key -> SQL
+    name (``TRUE`` for no filter)."""
+    names: dict[str | None, str] = {}
+    cols = [F.col(c) for c in dict.fromkeys(columns)]
     for t in targets:
-        groups.setdefault((t.column, None if t.where is None else str(t.where)), []).append(t)
-    aggs = [F.count_if(t.valid()).alias(f"n{i}") for i, t in enumerate(targets)]
-    plan = []
-    for g, members in enumerate(groups.values()):
-        probs = sorted({q for t in members for q in (max(0.0, t.prob - slack), min(1.0, t.prob + slack))})
-        t0 = members[0]
-        aggs.append(F.percentile_approx(F.when(t0.valid(), F.col(t0.column)), probs, accuracy).alias(f"s{g}"))
-        plan.append((members, probs))
-    row = df.agg(*aggs).first()
-    for i, t in enumerate(targets):
-        t.n = int(row[f"n{i}"])
-        if t.n == 0:
-            t.done, t.value = True, None
+        key = t.filter_key()
+        if key in names:
+            continue
+        if t.where is None:
+            names[key] = "TRUE"
         else:
-            t.k = discrete_rank(t.n, t.prob)
-            t.scanned = t.n
-    for g, (members, probs) in enumerate(plan):
-        at = dict(zip(probs, row[f"s{g}"] or [None] * len(probs)))
-        for t in members:
-            if t.done:
-                continue
-            lo, hi = at[max(0.0, t.prob - slack)], at[min(1.0, t.prob + slack)]
-            t.lo = lo if lo is not None and not math.isnan(lo) else None
-            t.hi = hi if hi is not None and not math.isnan(hi) else None
-
-
-def _window_round(df: DataFrame, targets: Sequence[QuantileTarget], collect_limit: int) -> None:
-    """One job per column: the histogram of every target's window plus
-    the exact count of its rows below the window.  Rows outside all
-    windows fall into one null-keyed group, so the result is at most the
-    windows' distinct values + 1 rows; more than ``collect_limit`` means
-    the windows were too wide and the targets go back to narrowing."""
+            names[key] = f"_f{len(cols)}"
+            cols.append(F.coalesce(t.where, F.lit(False)).alias(names[key]))
+    return df.select(*cols), names
+
+
+def _column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Finite min and max of every column, one aggregate."""
+    aggs = []
+    for i, c in enumerate(columns):
+        x = f"CAST({_q(c)} AS DOUBLE)"
+        fx = f"CASE WHEN NOT isnan({x}) AND abs({x}) != double('inf') THEN {x} END"
+        aggs += [F.expr(f"min({fx})").alias(f"lo{i}"), F.expr(f"max({fx})").alias(f"hi{i}")]
+    row = tuple(df.agg(*aggs).first())
+    return {c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(columns)}
+
+
+def _bucket_round(df: DataFrame, windows: Sequence[_Window], buckets: int) -> None:
+    """One job for all windows: per (window, bucket) the count of each
+    distinct target filter and the bucket's min / max; then every target
+    moves to the bucket that holds its rank."""
+    targets = [t for w in windows for t in w.targets]
+    base, names = _with_filters(df, [w.column for w in windows], targets)
+    fsql = list(dict.fromkeys(names.values()))
+    counts = [F.expr("count(1)" if f == "TRUE" else f"count_if({f})").alias(f"c{i}") for i, f in enumerate(fsql)]
+    if len(windows) == 1:
+        w = windows[0]
+        rows = base.where(F.expr(w.pushdown())).select(
+            F.lit(0).alias("_w"), F.expr(w.bucket(buckets)).alias("_b"),
+            F.expr(f"CAST({_q(w.column)} AS DOUBLE)").alias("_x"), *[F.col(f) for f in fsql if f != "TRUE"],
+        )
+    else:
+        # a row may fall in several windows: one (window, bucket) pair each
+        pairs = ", ".join(
+            f"named_struct('w', {i}, 'b', {w.bucket(buckets)}, 'x', CAST({_q(w.column)} AS DOUBLE))"
+            for i, w in enumerate(windows)
+        )
+        rows = base.select(F.expr(f"inline(array({pairs}))").alias("_w", "_b", "_x"), *[F.col(f) for f in fsql if f != "TRUE"])
+    hist = [
+        tuple(r)
+        for r in rows.where(F.col("_b").isNotNull())
+        .groupBy("_w", "_b")
+        .agg(F.min("_x").alias("mn"), F.max("_x").alias("mx"), *counts)
+        .collect()  # at most len(windows) * (buckets + 3) rows
+    ]
+    by_window: dict[int, list[tuple]] = {}
+    for r in hist:
+        by_window.setdefault(r[0], []).append(r)
+    for i, w in enumerate(windows):
+        ordered = sorted(by_window.get(i, []), key=lambda r: r[1])
+        # cumulative counts per filter: bisect instead of a walk per target
+        cum: dict[int, list[int]] = {}
+        for t in w.targets:
+            j = fsql.index(names[t.filter_key()])
+            if j not in cum:
+                acc, run = [], 0
+                for r in ordered:
+                    run += r[4 + j]
+                    acc.append(run)
+                cum[j] = acc
+            acc = cum[j]
+            if w.first:
+                t.n = acc[-1] if acc else 0
+                if t.n == 0:
+                    t.value, t.done = None, True
+                    continue
+                t.k = discrete_rank(t.n, t.prob)
+            need = t.k - t.below
+            pos = bisect.bisect_left(acc, need)
+            if pos == len(acc):  # cannot happen with exact counts
+                raise RuntimeError(f"quantile rank {t.k} of {t.column!r} not found in its window")
+            seen = acc[pos - 1] if pos else 0
+            _enter_bucket(t, ordered[pos], seen, acc[pos] - seen, buckets)
+
+
+def _enter_bucket(t: QuantileTarget, r: tuple, seen: int, count: int, buckets: int) -> None:
+    b, mn, mx = r[1], r[2], r[3]
+    if b == -1:
+        t.value, t.done = float("-inf"), True
+    elif b == buckets:
+        t.value, t.done = float("inf"), True
+    elif b == buckets + 1:
+        t.value, t.done = float("nan"), True
+    elif mn == mx:
+        t.value, t.done = float(mn), True
+    else:
+        t.lo, t.hi = float(mn), float(mx)
+        t.below += seen
+        t.rows = count
+
+
+def _window_round(df: DataFrame, targets: Sequence[QuantileTarget], limit: int) -> None:
+    """One job per column: the (value, count) histogram of the targets'
+    windows, whose rows add up to at most ``limit`` (so do their values)."""
     by_column: dict[str, list[QuantileTarget]] = {}
     for t in targets:
         by_column.setdefault(t.column, []).append(t)
     for column, sub in by_column.items():
-        anyw = None
-        for t in sub:
-            anyw = t.in_window() if anyw is None else anyw | t.in_window()
-        hist = (
-            df.groupBy(F.when(anyw, F.col(column)).alias("x"))
-            .agg(
-                *[F.count_if(t.in_window()).alias(f"c{j}") for j, t in enumerate(sub)],
-                *[F.count_if(t.below_window()).alias(f"d{j}") for j, t in enumerate(sub)],
-            )
-            .orderBy(F.col("x").asc_nulls_first())
-            .limit(collect_limit + 2)
+        base, names = _with_filters(df, [column], sub)
+        preds = [f"({_in_range(column, t.lo, t.hi)} AND {names[t.filter_key()]})" for t in sub]
+        anyw = " OR ".join(dict.fromkeys(_in_range(column, t.lo, t.hi) for t in sub))
+        hist = [
+            tuple(r)
+            for r in base.where(F.expr(anyw))
+            .groupBy(F.col(column).alias("x"))
+            .agg(*[F.expr(f"count_if({p})").alias(f"c{j}") for j, p in enumerate(preds)])
+            .orderBy("x")
+            .limit(limit + 1)
             .collect()
-        )
-        if len(hist) > collect_limit + 1:
-            for t in sub:
-                t.window = None  # too wide: count and narrow instead
-            continue
+        ]
+        if len(hist) > limit:  # cannot happen: windows hold at most ``limit`` rows
+            raise RuntimeError(f"quantile windows of {column!r} exceed {limit} values")
         for j, t in enumerate(sub):
-            below = sum(r[f"d{j}"] for r in hist)
-            width = sum(r[f"c{j}"] for r in hist)
-            need = t.k - below
-            if need < 1:
-                t.lo, t.window = None, None
-            elif need > width:
-                t.hi, t.window = None, None
+            need, seen = t.k - t.below, 0
+            for r in hist:
+                seen += r[1 + j]
+                if seen >= need:
+                    t.value, t.done = float(r[0]), True
+                    break
             else:
-                seen = 0
-                for r in hist:
-                    if r["x"] is None:
-                        continue
-                    seen += r[f"c{j}"]
-                    if seen >= need:
-                        t.value, t.done = float(r["x"]), True
-                        break
+                raise RuntimeError(f"quantile rank {t.k} of {column!r} not found in its window")
 
 
 def exact_quantiles(
     df: DataFrame,
     targets: Sequence[QuantileTarget],
-    accuracy: int = DEFAULT_ACCURACY,
+    accuracy: int = DEFAULT_BUCKETS,
     collect_limit: int = DEFAULT_COLLECT_LIMIT,
-    max_rounds: int = 64,
+    max_rounds: int = 1000,
 ) -> dict[Hashable, float | None]:
     """Exact discrete quantiles for every target; ``None`` when it has no rows.
 
-    Up to about ``collect_limit * accuracy / 6`` rows per target this is
-    two jobs; beyond, windows are narrowed by further count + sketch
-    rounds first.
+    ``accuracy`` is the number of buckets a round splits a window into
+    (each bucket job returns at most that many rows per window).  Jobs:
+    one for the ranges, one per bucket round (usually one or two), one
+    per column for the final window histograms.
     """
     targets = list(targets)
     if not targets:
         return {}
-    _first_round(df, targets, accuracy)
+    buckets = max(2, int(accuracy))
+    columns = list(dict.fromkeys(t.column for t in targets))
+    ranges = _column_ranges(df, columns)
+    first = []
+    for c in columns:
+        lo, hi = ranges[c]
+        members = [t for t in targets if t.column == c]
+        first.append(_Window(c, None if lo is None else float(lo), None if hi is None else float(hi), True, members))
+    _bucket_round(df, first, buckets)
     for _ in range(max_rounds):
         open_ = [t for t in targets if not t.done]
         if not open_:
             break
-        # windows a sketch over ``scanned`` rows left narrow enough to collect
-        narrow = [
-            t for t in open_
-            if t.window is None and t.scanned is not None and 6.0 * t.scanned / accuracy + 2 <= collect_limit
-            and not t.reopened
-        ]
-        if narrow:
-            _window_round(df, narrow, collect_limit)
-            for t in narrow:
-                if not t.done:
-                    t.reopened = True  # counted from now on
+        # windows small enough to collect, up to the limit per column
+        ready, room = [], {}
+        for t in sorted(open_, key=lambda t: t.rows):
+            used = room.get(t.column, 0)
+            if used + t.rows <= collect_limit:
+                ready.append(t)
+                room[t.column] = used + t.rows
+        if ready:
+            _window_round(df, ready, collect_limit)
             continue
-        stale = [t for t in open_ if t.window is None]
-        if stale:
-            _count_round(df, stale)
-        open_ = [t for t in open_ if not t.done and t.window is not None]
+        windows: dict[tuple, _Window] = {}
         for t in open_:
-            if t.lo is not None and t.lo == t.hi:  # one value left in the window
-                t.value, t.done = float(t.lo), True
-        small = [t for t in open_ if not t.done and (t.window <= collect_limit or t.stalled)]
-        if small:
-            _histogram_round(df, small, collect_limit)
-        large = [t for t in open_ if not t.done]
-        if large:
-            before = {id(t): (t.lo, t.hi) for t in large}
-            _sketch_round(df, large, accuracy)
-            for t in large:
-                # a window the sketch cannot split holds few distinct values
-                t.stalled = (t.lo, t.hi) == before[id(t)]
-                t.scanned, t.window, t.reopened = t.window, None, t.stalled
+            key = (t.column, t.lo, t.hi)
+            if key not in windows:
+                windows[key] = _Window(t.column, t.lo, t.hi, False, [])
+            windows[key].targets.append(t)
+        _bucket_round(df, list(windows.values()), buckets)
     else:
         raise RuntimeError("quantile selection did not converge")
     return {t.key: t.value for t in targets}

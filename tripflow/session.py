@@ -74,10 +74,10 @@ def scratch_root(spark: SparkSession) -> str:
             f"{CHECKPOINT_CONF} is not set; point it at shared storage "
             "(e.g. hdfs:///tmp/tripflow) so staged tables survive executor loss"
         )
-    root = tempfile.mkdtemp(prefix="tripflow-scratch-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    # spark.checkpoint.dir is a core setting (read-only once the session
+    # runs), so the private folder goes to the context only
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tripflow-scratch-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
