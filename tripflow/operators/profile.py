@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tripflow.functions.expr import count_if, is_float_type, rnd
 from tripflow.operators.quantile_select import DEFAULT_ACCURACY, QuantileTarget, exact_quantiles
+from tripflow.sources.io import small_result
 
 
 def _maybe_round(c: Column, digits: int | None) -> Column:
@@ -45,11 +46,11 @@ def run(df: DataFrame, fig: Figure) -> DataFrame:
 def one_pass(df: DataFrame, figures: dict[str, Figure]) -> dict[str, DataFrame]:
     """All figures from ONE aggregate over ``df``.
 
-    The single result row is checkpointed (reliable, tiny), so every
-    figure reads it instead of scanning ``df`` again.
+    The single result row is kept as a local frame (one row, so a proven
+    bound), so every figure reads it instead of scanning ``df`` again.
     """
     aggs = [a for fig in figures.values() for a in fig.aggs]
-    row = df.agg(*aggs).checkpoint(eager=True)
+    row = small_result(df.agg(*aggs), 1)
     return {name: fig.reshape(row) for name, fig in figures.items()}
 
 

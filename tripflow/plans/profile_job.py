@@ -16,6 +16,8 @@ from tripflow.operators import profile as P
 from tripflow.operators.quantile_select import DEFAULT_ACCURACY
 from tripflow.operators.summarise import Measure, Summary, summarise_many
 from tripflow.plans import specs
+from tripflow.session import scratch_path
+from tripflow.sources.io import small_result, write_layer
 
 
 def out_of_month_rows(df: DataFrame, c: TripColumns = TRIP) -> DataFrame:
@@ -39,7 +41,8 @@ def profile(
     3. whole-row duplicates (one shuffle);
     4-5. exact quantiles (count + sketch, then window histograms).
 
-    Small results are checkpointed once and every figure reads them.
+    Small results are materialised once (one-row aggregates as local
+    frames, the breakdowns as a scratch table) and every figure reads them.
     """
     lo, hi, bins = specs.FARE_HISTOGRAM
     checks = specs.profile_checks(c)
@@ -75,13 +78,17 @@ def profile(
         Summary("fare_bins", (fare_bin,), (n,)),
     ]
     combined, makers = summarise_many(keyed, breakdowns)
-    combined = combined.checkpoint(eager=True)
+    # group rows only (dates + 24 hours + codes + bins): written once to
+    # the shared scratch folder, read by each breakdown
+    path = scratch_path(df.sparkSession, "profile-breakdowns")
+    write_layer(combined, path)
+    combined = df.sparkSession.read.parquet(path)
     grouped = {name: make(combined) for name, make in makers.items()}
 
     def pct(frame: DataFrame) -> DataFrame:
         return frame.withColumn("pct", F.round(F.col("count") / F.lit(total) * 100, 2))
 
-    dups = P.duplicate_stats(df).checkpoint(eager=True)
+    dups = small_result(P.duplicate_stats(df), 1)
     return {
         "shape": single["shape"],
         "describe": single["describe"],

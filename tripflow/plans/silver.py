@@ -42,7 +42,7 @@ from tripflow.operators.rules import (
 )
 from tripflow.plans import specs
 from tripflow.session import scratch_path
-from tripflow.sources.io import write_layer
+from tripflow.sources.io import small_result, write_layer
 
 
 @dataclass
@@ -101,9 +101,9 @@ def build_silver(
 
     threshold = specs.min_retain_ratio() if min_retain_ratio is None else min_retain_ratio
     tuning = iqr_candidates(passing, specs.iqr_columns(c), multipliers, method, accuracy)
-    # the candidate table is tiny: keep it in the checkpoint folder so
-    # reading it again (report, pick) never re-runs the counting job
-    tuning.table = tuning.table.checkpoint(eager=True)
+    # one row per multiplier: kept as a local frame so reading it again
+    # (report, pick) never re-runs the counting job
+    tuning.table = small_result(tuning.table, len(multipliers))
     chosen = choose_multiplier(tuning.table, threshold)
     outlier_rules = tuple(Rule(f"iqr {b.column}", b.keep(), "outlier") for b in tuning.bounds[chosen])
     all_steps = [*steps, Step("outliers", outlier_rules)]

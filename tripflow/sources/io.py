@@ -148,6 +148,20 @@ def land(
     return spark.createDataFrame([(target, "landed", read, written, len(back.columns))], LAND_SCHEMA)
 
 
+def small_result(df: DataFrame, max_rows: int) -> DataFrame:
+    """Run ``df`` once and keep its rows as a local frame, for results with
+    a known small bound (a one-row aggregate, one row per parameter value).
+
+    Reading the frame again never re-runs the plan and no executor holds
+    it.  At most ``max_rows + 1`` rows are fetched; more raises, so an
+    unexpected size can never flood the driver.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"expected at most {max_rows} rows, got more")
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def schema_table(df: DataFrame) -> DataFrame:
     """The schema as rows: position, column, type, nullable."""
     spark = df.sparkSession
