@@ -117,3 +117,11 @@ def test_profile_job_equals_single_operators(spark, bronze):
     for name, frame in want.items():
         assert got[name].columns == frame.columns, name
         assert sorted(map(tuple, got[name].collect()), key=repr) == sorted(map(tuple, frame.collect()), key=repr), name
+
+
+def test_duplicates_from_staged_copies_equal_the_shuffle(built, bronze):
+    from tripflow.operators.profile import duplicate_stats
+
+    staged = built.duplicate_stats().collect()
+    assert staged == duplicate_stats(bronze).collect()
+    assert staged[0]["duplicates"] > 0

@@ -132,8 +132,15 @@ def duplicate_stats(df: DataFrame) -> DataFrame:
     One shuffle of the distinct rows; copies are pre-aggregated map-side.
     """
     groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    out = groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
+    return duplicate_stats_from_copies(groups, "_n")
+
+
+def duplicate_stats_from_copies(distinct: DataFrame, copies: str) -> DataFrame:
+    """:func:`duplicate_stats` from distinct rows that carry their number
+    of copies (e.g. the staged silver table): one aggregate over one
+    column, no shuffle of the rows."""
+    out = distinct.agg(
+        F.coalesce(F.sum(copies), F.lit(0)).cast("bigint").alias("rows"),
         F.count(F.lit(1)).alias("distinct_rows"),
     )
     dup = F.col("rows") - F.col("distinct_rows")

@@ -30,6 +30,7 @@ def profile(
     quantile_method: str = "exact",
     accuracy: int = DEFAULT_ACCURACY,
     digits: int = 6,
+    duplicates: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every profile figure in five scans of ``df``:
 
@@ -38,7 +39,10 @@ def profile(
     2. one GROUPING SETS aggregate: rows by date, by hour, by vendor, by
        payment type and by fare bin (partial aggregation, so only group
        rows are shuffled);
-    3. whole-row duplicates (one shuffle);
+    3. whole-row duplicates (one shuffle of the distinct rows), unless
+       ``duplicates`` is given - e.g. ``SilverBuild.duplicate_stats()``,
+       which reads the copy counts the silver dedupe already staged, so a
+       pipeline shuffles its rows once, not twice;
     4-5. exact quantiles (count + sketch, then window histograms).
 
     Small results are materialised once (one-row aggregates as local
@@ -88,7 +92,7 @@ def profile(
     def pct(frame: DataFrame) -> DataFrame:
         return frame.withColumn("pct", F.round(F.col("count") / F.lit(total) * 100, 2))
 
-    dups = small_result(P.duplicate_stats(df), 1)
+    dups = small_result(P.duplicate_stats(df) if duplicates is None else duplicates, 1)
     return {
         "shape": single["shape"],
         "describe": single["describe"],

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tripflow.columns import TRIP, TripColumns
 from tripflow.functions.features import add_features
 from tripflow.operators.outliers import Tuning, bounds_table, choose_multiplier, iqr_candidates
+from tripflow.operators.profile import duplicate_stats_from_copies
 from tripflow.operators.quantile_select import DEFAULT_ACCURACY
 from tripflow.operators.rules import (
     COPIES,
@@ -68,6 +69,12 @@ class SilverBuild:
         tag = F.when((F.col(TAG) == 0) & ~outlier.passes(), F.lit(len(self.steps))).otherwise(F.col(TAG))
         return staged.withColumn(TAG, tag)
 
+    def duplicate_stats(self) -> DataFrame:
+        """Whole-row duplicate figures of bronze from the staged copy
+        counts (reads one column; no second dedupe shuffle)."""
+        staged = self.silver.sparkSession.read.parquet(self.staged_path)
+        return duplicate_stats_from_copies(staged, COPIES)
+
     def funnel(self) -> DataFrame:
         """(step, name, rows_in, rows_out, removed) for read, dedupe, each step."""
         return funnel_from_tags(self._retagged(), self.steps)
