@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.operators.quantile_select import DEFAULT_ACCURACY, QuantileTarget, exact_quantiles
+from tripflow.sources.io import local_frame
 
 QUARTILES = (0.25, 0.75)
 
@@ -80,7 +81,7 @@ def bounds_table(spark, bounds: Sequence[Bounds]) -> DataFrame:
         (i, b.column, float(b.multiplier), b.q1, b.q3, b.iqr, b.lower, b.upper)
         for i, b in enumerate(bounds, start=1)
     ]
-    return spark.createDataFrame(rows, BOUNDS_SCHEMA)
+    return local_frame(spark, rows, BOUNDS_SCHEMA)
 
 
 def _quartiles(

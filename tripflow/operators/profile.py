@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tripflow.functions.expr import count_if, is_float_type, rnd
 from tripflow.operators.quantile_select import DEFAULT_ACCURACY, QuantileTarget, exact_quantiles
-from tripflow.sources.io import small_result
+from tripflow.sources.io import local_frame, small_result
 
 
 def _maybe_round(c: Column, digits: int | None) -> Column:
@@ -237,7 +237,7 @@ def quantiles(
     targets = [QuantileTarget((c, float(p)), c, float(p)) for c in columns for p in probs]
     found = exact_quantiles(df, targets, accuracy=accuracy)
     rows = [(c, float(p), found[(c, float(p))]) for c in columns for p in probs]
-    return df.sparkSession.createDataFrame(rows, QUANTILE_SCHEMA)
+    return local_frame(df.sparkSession, rows, QUANTILE_SCHEMA)
 
 
 @dataclass(frozen=True)

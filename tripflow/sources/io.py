@@ -130,7 +130,7 @@ def land(
     if if_exists == "skip" and exists(spark, target):
         back = spark.read.parquet(target)
         row = (target, "skipped", None, back.count(), len(back.columns))
-        return spark.createDataFrame([row], LAND_SCHEMA)
+        return local_frame(spark, [row], LAND_SCHEMA)
     src = spark.read.parquet(source) if isinstance(source, str) else source
     if files:
         src = src.repartition(files)
@@ -145,7 +145,48 @@ def land(
     written = back.count()  # Parquet footers only
     if read != written:
         raise IOError(f"{target}: source has {read} rows, landed {written}")
-    return spark.createDataFrame([(target, "landed", read, written, len(back.columns))], LAND_SCHEMA)
+    return local_frame(spark, [(target, "landed", read, written, len(back.columns))], LAND_SCHEMA)
+
+
+def _sql_literal(value, dtype: T.DataType) -> str | None:
+    """``value`` as an exactly typed SQL literal; None when not rendered."""
+    t = dtype.simpleString()
+    if value is None:
+        return f"CAST(NULL AS {t})"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if value else "FALSE"
+    if isinstance(dtype, INTEGRAL):
+        return f"CAST({int(value)} AS {t})"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        v = float(value)
+        text = f"'{v!r}'" if v != v or v in (float("inf"), float("-inf")) else f"{v!r}D"
+        return f"CAST({text.replace('nan', 'NaN').replace('inf', 'Infinity')} AS {t})"
+    if isinstance(dtype, T.DecimalType):
+        return f"CAST('{value}' AS {t})"
+    if isinstance(dtype, T.StringType):
+        return f"CAST(X'{str(value).encode('utf-8').hex()}' AS STRING)"
+    if isinstance(dtype, T.DateType):
+        return f"DATE'{value.isoformat()}'"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"CAST('{value.isoformat(sep=' ')}' AS TIMESTAMP_NTZ)"
+    return None
+
+
+def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
+    """A few driver-side rows as a frame.
+
+    Written as a SQL ``VALUES`` table, it is a ``LocalRelation``: reading
+    it runs no Spark job (``createDataFrame`` of a list parallelises it,
+    and every action on it launches jobs).  Types it does not render fall
+    back to ``createDataFrame``.
+    """
+    rows = [tuple(r) for r in rows]
+    rendered = [[_sql_literal(v, f.dataType) for v, f in zip(r, schema.fields)] for r in rows]
+    if not rows or any(v is None for r in rendered for v in r):
+        return spark.createDataFrame(rows, schema)
+    names = ", ".join("`" + f.name.replace("`", "``") + "`" for f in schema.fields)
+    values = ", ".join("(" + ", ".join(r) + ")" for r in rendered)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
 
 
 def small_result(df: DataFrame, max_rows: int) -> DataFrame:
@@ -159,14 +200,24 @@ def small_result(df: DataFrame, max_rows: int) -> DataFrame:
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         raise ValueError(f"expected at most {max_rows} rows, got more")
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return local_frame(df.sparkSession, rows, df.schema)
+
+
+SCHEMA_TABLE = T.StructType(
+    [
+        T.StructField("position", T.IntegerType(), False),
+        T.StructField("column", T.StringType(), False),
+        T.StructField("type", T.StringType(), False),
+        T.StructField("nullable", T.BooleanType(), False),
+    ]
+)
 
 
 def schema_table(df: DataFrame) -> DataFrame:
     """The schema as rows: position, column, type, nullable."""
     spark = df.sparkSession
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column string, type string, nullable boolean")
+    return local_frame(spark, rows, SCHEMA_TABLE)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tripflow.sources.io import local_frame
+
 REPORT_SCHEMA = T.StructType(
     [
         T.StructField("status", T.StringType(), False),
@@ -54,4 +56,4 @@ def land_incrementally(
     progress = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]
     rows = sum(int(p["numInputRows"]) for p in progress)
     status = "landed" if rows else "up to date"
-    return spark.createDataFrame([(status, len(progress), rows)], REPORT_SCHEMA)
+    return local_frame(spark, [(status, len(progress), rows)], REPORT_SCHEMA)
