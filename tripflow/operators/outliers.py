@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.operators.quantile_select import DEFAULT_ACCURACY, QuantileTarget, exact_quantiles
+from tripflow.operators.quantile_select import DEFAULT_ACCURACY, QuantileTarget, column_ranges, exact_quantiles
 from tripflow.sources.io import local_frame
 
 QUARTILES = (0.25, 0.75)
@@ -89,6 +89,7 @@ def _quartiles(
     wanted: Sequence[tuple[object, str, Column | None]],
     method: str,
     accuracy: int,
+    ranges: dict | None = None,
 ) -> dict[object, tuple[float | None, float | None]]:
     """q1, q3 for each (key, column, filter) in one batched selection."""
     if method == "exact":
@@ -97,7 +98,7 @@ def _quartiles(
             for key, column, where in wanted
             for p in QUARTILES
         ]
-        found = exact_quantiles(df, targets, accuracy=accuracy)
+        found = exact_quantiles(df, targets, accuracy=accuracy, ranges=ranges)
         return {key: (found[(key, 0.25)], found[(key, 0.75)]) for key, _, _ in wanted}
     if method != "approx":
         raise ValueError("method must be 'exact' or 'approx'")
@@ -148,12 +149,11 @@ def iqr_filter_with_bounds(
         raise ValueError("mode must be 'sequential' or 'independent'")
     bounds: list[Bounds] = []
     out = df
+    ranges = column_ranges(df, columns) if method == "exact" else None  # one job for all columns
     for c in columns:
         # bounds of column k on the rows kept so far, as one filter on the input
-        keep = None
-        for b in bounds:
-            keep = b.keep() if keep is None else keep & b.keep()
-        qs = _quartiles(df, [(c, c, keep)], method, accuracy)
+        keep = F.expr(" AND ".join(b.keep_sql() for b in bounds)) if bounds else None
+        qs = _quartiles(df, [(c, c, keep)], method, accuracy, ranges)
         bounds.append(Bounds(c, *qs[c], multiplier))
     for b in bounds:
         out = out.filter(b.keep())
@@ -197,12 +197,13 @@ def iqr_candidates(
     """
     ms = tuple(float(m) for m in multipliers)
     bounds: dict[float, list[Bounds]] = {m: [] for m in ms}
+    ranges = column_ranges(df, columns) if method == "exact" else None  # one job for all columns
     for c in columns:
         wanted = []
         for m in ms:
             keep = F.expr(" AND ".join(b.keep_sql() for b in bounds[m])) if bounds[m] else None
             wanted.append((m, c, keep))
-        qs = _quartiles(df, wanted, method, accuracy)
+        qs = _quartiles(df, wanted, method, accuracy, ranges)
         for m in ms:
             bounds[m].append(Bounds(c, *qs[m], m))
 

@@ -142,8 +142,9 @@ def _with_filters(df: DataFrame, columns: Sequence[str], targets: Sequence[Quant
     return df.select(*cols), names
 
 
-def _column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
-    """Finite min and max of every column, one aggregate."""
+def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Finite min and max of every column, one aggregate.  Any superset of
+    a target's rows gives a valid first window."""
     aggs = []
     for i, c in enumerate(columns):
         x = f"CAST({_q(c)} AS DOUBLE)"
@@ -236,7 +237,8 @@ def _window_round(df: DataFrame, targets: Sequence[QuantileTarget], limit: int)
     for column, sub in by_column.items():
         base, names = _with_filters(df, [column], sub)
         preds = [f"({_in_range(column, t.lo, t.hi)} AND {names[t.filter_key()]})" for t in sub]
-        anyw = " OR ".join(dict.fromkeys(_in_range(column, t.lo, t.hi) for t in sub))
+        # each target's own filter too: only its rows (at most ``rows``) count
+        anyw = " OR ".join(dict.fromkeys(preds))
         hist = [
             tuple(r)
             for r in base.where(F.expr(anyw))
@@ -265,20 +267,25 @@ def exact_quantiles(
     accuracy: int = DEFAULT_BUCKETS,
     collect_limit: int = DEFAULT_COLLECT_LIMIT,
     max_rounds: int = 1000,
+    ranges: dict[str, tuple[float | None, float | None]] | None = None,
 ) -> dict[Hashable, float | None]:
     """Exact discrete quantiles for every target; ``None`` when it has no rows.
 
     ``accuracy`` is the number of buckets a round splits a window into
     (each bucket job returns at most that many rows per window).  Jobs:
     one for the ranges, one per bucket round (usually one or two), one
-    per column for the final window histograms.
+    per column for the final window histograms.  ``ranges`` (from
+    :func:`column_ranges`, possibly over a superset of the rows) saves the
+    first job when several selections run over the same columns.
     """
     targets = list(targets)
     if not targets:
         return {}
     buckets = max(2, int(accuracy))
     columns = list(dict.fromkeys(t.column for t in targets))
-    ranges = _column_ranges(df, columns)
+    known = ranges or {}
+    missing = [c for c in columns if c not in known]
+    ranges = {**known, **(column_ranges(df, missing) if missing else {})}
     first = []
     for c in columns:
         lo, hi = ranges[c]
