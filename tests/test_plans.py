@@ -125,3 +125,21 @@ def test_duplicates_from_staged_copies_equal_the_shuffle(built, bronze):
     staged = built.duplicate_stats().collect()
     assert staged == duplicate_stats(bronze).collect()
     assert staged[0]["duplicates"] > 0
+
+
+def test_run_month_end_to_end(spark, tmp_path):
+    from tripflow.plans.month import run_month
+
+    lay = Layout(str(tmp_path / "lake"), "2026_01")
+    first = run_month(spark, load_trips(spark, SF_SMALL), lay)
+    assert first.landed.first()["status"] == "landed"
+    funnel = {r["name"]: r["rows_out"] for r in spark.read.parquet(f"{lay.reports}/funnel").collect()}
+    # FIXTURES.md 2.1 at sf0.001: raw, dedupe, required, range, time
+    assert [funnel[k] for k in ("read", "dedupe", "required", "range", "time")] == [6057, 6000, 5543, 4462, 3854]
+    assert funnel["outliers"] == spark.read.parquet(lay.silver).count()
+    dups = spark.read.parquet(f"{lay.reports}/profile_duplicates").first()
+    assert (dups["rows"], dups["distinct_rows"]) == (6057, 6000)
+    hours = spark.read.parquet(lay.gold("by_hour"))
+    assert hours.count() == 24 and hours.agg({"total_trips": "sum"}).first()[0] == funnel["outliers"]
+    again = run_month(spark, load_trips(spark, SF_SMALL), lay, write_reports=False)
+    assert again.landed.first()["status"] == "skipped"
