@@ -17,15 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.functions.expr import count_if, is_float_type, rnd
+from tripflow.functions.expr import count_if, is_float_type
 from tripflow.operators.quantile_select import DEFAULT_ACCURACY, QuantileTarget, exact_quantiles
 from tripflow.sources.io import local_frame, small_result
 
 
-def _maybe_round(c: Column, digits: int | None) -> Column:
-    return rnd(c, digits) if digits is not None else c
-
-
 @dataclass(frozen=True)
 class Figure:
     """A profile figure that is a function of one aggregate row.
@@ -67,30 +63,38 @@ def shape(df: DataFrame) -> DataFrame:
     return run(df, shape_figure(df))
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _s(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _r(expr: str, digits: int | None) -> str:
+    """:func:`rnd` as SQL text (none when ``digits`` is None)."""
+    return expr if digits is None else f"round(round({expr}, 9), {digits})"
+
+
+def _rows(structs: Sequence[str]) -> Column:
+    """One output row per ``named_struct``; figures are written as SQL
+    text (one JVM call each) since they hold many small expressions."""
+    return F.expr("inline(array(" + ", ".join(structs) + "))")
+
+
 def describe_figure(columns: Sequence[str], digits: int | None = None, prefix: str = "ds_") -> Figure:
     aggs = []
     for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"{prefix}n{i}"),
-            F.avg(x).alias(f"{prefix}a{i}"),
-            F.stddev_samp(x).alias(f"{prefix}s{i}"),
-            F.min(x).alias(f"{prefix}lo{i}"),
-            F.max(x).alias(f"{prefix}hi{i}"),
-        ]
+        x = f"CAST({_q(c)} AS DOUBLE)"
+        for name, fn in (("n", "count"), ("a", "avg"), ("s", "stddev_samp"), ("lo", "min"), ("hi", "max")):
+            aggs.append(F.expr(f"{fn}({x})").alias(f"{prefix}{name}{i}"))
     items = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("column"),
-            F.col(f"{prefix}n{i}").alias("count"),
-            _maybe_round(F.col(f"{prefix}a{i}"), digits).alias("mean"),
-            _maybe_round(F.col(f"{prefix}s{i}"), digits).alias("stddev"),
-            F.col(f"{prefix}lo{i}").alias("min"),
-            F.col(f"{prefix}hi{i}").alias("max"),
-        )
+        f"named_struct('position', {i}, 'column', {_s(c)}, 'count', {prefix}n{i}, "
+        f"'mean', {_r(f'{prefix}a{i}', digits)}, 'stddev', {_r(f'{prefix}s{i}', digits)}, "
+        f"'min', {prefix}lo{i}, 'max', {prefix}hi{i})"
         for i, c in enumerate(columns)
     ]
-    return Figure(tuple(aggs), lambda r: r.select(F.inline(F.array(*items))))
+    return Figure(tuple(aggs), lambda r: r.select(_rows(items)))
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
@@ -103,22 +107,18 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int | None =
 
 def null_figure(df: DataFrame, columns: Sequence[str] | None = None, prefix: str = "nl_") -> Figure:
     columns = list(columns or df.columns)
+    floats = {i for i, c in enumerate(columns) if is_float_type(df.schema[c].dataType)}
     aggs = []
     for i, c in enumerate(columns):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"{prefix}n{i}"))
-        if is_float_type(df.schema[c].dataType):
-            aggs.append(F.count_if(F.isnan(F.col(c))).alias(f"{prefix}x{i}"))
-    floats = {i for i, c in enumerate(columns) if is_float_type(df.schema[c].dataType)}
+        aggs.append(F.expr(f"count_if({_q(c)} IS NULL)").alias(f"{prefix}n{i}"))
+        if i in floats:
+            aggs.append(F.expr(f"count_if(isnan({_q(c)}))").alias(f"{prefix}x{i}"))
     items = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("column"),
-            F.col(f"{prefix}n{i}").alias("nulls"),
-            (F.col(f"{prefix}x{i}") if i in floats else F.lit(0).cast("bigint")).alias("nans"),
-        )
+        f"named_struct('position', {i}, 'column', {_s(c)}, 'nulls', {prefix}n{i}, "
+        f"'nans', {f'{prefix}x{i}' if i in floats else 'CAST(0 AS BIGINT)'})"
         for i, c in enumerate(columns)
     ]
-    return Figure(tuple(aggs), lambda r: r.select(F.inline(F.array(*items))))
+    return Figure(tuple(aggs), lambda r: r.select(_rows(items)))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -177,19 +177,15 @@ def distribution(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
 def ranges_figure(columns: Sequence[str], digits: int | None = None, prefix: str = "rg_") -> Figure:
     aggs = []
     for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        aggs += [F.min(x).alias(f"{prefix}lo{i}"), F.max(x).alias(f"{prefix}hi{i}"), F.avg(x).alias(f"{prefix}a{i}")]
+        x = f"CAST({_q(c)} AS DOUBLE)"
+        for name, fn in (("lo", "min"), ("hi", "max"), ("a", "avg")):
+            aggs.append(F.expr(f"{fn}({x})").alias(f"{prefix}{name}{i}"))
     items = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("column"),
-            F.col(f"{prefix}lo{i}").alias("min"),
-            F.col(f"{prefix}hi{i}").alias("max"),
-            _maybe_round(F.col(f"{prefix}a{i}"), digits).alias("avg"),
-        )
+        f"named_struct('position', {i}, 'column', {_s(c)}, 'min', {prefix}lo{i}, "
+        f"'max', {prefix}hi{i}, 'avg', {_r(f'{prefix}a{i}', digits)})"
         for i, c in enumerate(columns)
     ]
-    return Figure(tuple(aggs), lambda r: r.select(F.inline(F.array(*items))))
+    return Figure(tuple(aggs), lambda r: r.select(_rows(items)))
 
 
 def value_ranges(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
