@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tripflow.sources.io import local_frame
+from tripflow.sources.io import exists, local_frame
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -39,6 +39,10 @@ def land_incrementally(
     sources need it fixed up front).
     """
     schema = schema or spark.read.parquet(source_dir).schema
+    # rows are counted on the target (its sink log lists committed files
+    # only), not summed from the query's progress, which keeps only the
+    # last 100 micro-batches
+    before = spark.read.parquet(target).count() if exists(spark, target) else 0
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -53,7 +57,7 @@ def land_incrementally(
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"landing failed: {query.exception()}")
-    progress = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]
-    rows = sum(int(p["numInputRows"]) for p in progress)
+    rows = (spark.read.parquet(target).count() if exists(spark, target) else 0) - before
+    batches = sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)  # up to 100
     status = "landed" if rows else "up to date"
-    return local_frame(spark, [(status, len(progress), rows)], REPORT_SCHEMA)
+    return local_frame(spark, [(status, batches, rows)], REPORT_SCHEMA)
