@@ -143,3 +143,45 @@ def test_run_month_end_to_end(spark, tmp_path):
     assert hours.count() == 24 and hours.agg({"total_trips": "sum"}).first()[0] == funnel["outliers"]
     again = run_month(spark, load_trips(spark, SF_SMALL), lay, write_reports=False)
     assert again.landed.first()["status"] == "skipped"
+
+
+def test_library_has_no_python_udfs_rdds_or_local_checkpoints():
+    import pathlib
+    import re
+
+    root = pathlib.Path(__file__).resolve().parent.parent / "tripflow"
+    banned = re.compile(r"\.rdd\b|\budf\b|pandas_udf|mapPartitions|localCheckpoint|toPandas|InPandas")
+    hits = [f"{p.name}:{i}" for p in root.rglob("*.py") for i, line in enumerate(p.read_text().splitlines(), 1) if banned.search(line)]
+    assert hits == []
+
+
+def test_bucket_round_pushes_window_and_aggregates_map_side(spark, bronze):
+    import contextlib
+    import io
+
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from tripflow.operators import quantile_select as Q
+
+    t = Q.QuantileTarget("q", "fare_amount", 0.5)
+    t.lo, t.hi, t.k = 10.0, 20.0, 1
+    plans = []
+    original = DataFrame.collect
+
+    def capture(self):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            self.explain("formatted")
+        plans.append(buf.getvalue())
+        return original(self)
+
+    DataFrame.collect = capture
+    try:
+        Q._bucket_round(bronze, [Q._Window("fare_amount", 10.0, 20.0, False, [t])], 16)
+    finally:
+        DataFrame.collect = original
+    plan = plans[0]
+    pushed = plan.split("PushedFilters:")[1].split("\n")[0]
+    assert "GreaterThanOrEqual(fare_amount,10.0)" in pushed and "LessThanOrEqual(fare_amount,20.0)" in pushed
+    assert "partial_count" in plan and "partial_min" in plan
+    assert plan.split("ReadSchema:")[1].split("\n")[0].strip() == "struct<fare_amount:double>"
