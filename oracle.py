@@ -424,6 +424,21 @@ FROM (SELECT (SELECT count(*) FROM trips) AS "rows", (SELECT count(*) FROM (SELE
     q["profile_out_of_month"] = _with(TRIPS, f'SELECT count(*) FILTER (WHERE {OUT_OF_MONTH}) AS "rows" FROM trips')
     q["profile_issues"] = _issues()
     q["profile_fare_histogram"] = _histogram()
+    # the same profile operators on other given tables
+    q["profile_orders_quantiles"] = "\nUNION ALL ".join(
+        f"""SELECT 'o_totalprice' AS "column", {p}::DOUBLE AS prob, CAST(quantile_disc(o_totalprice, {p}) AS DOUBLE) AS "value" FROM orders"""
+        for p in QPROBS
+    )
+    x = "CAST(o_totalprice AS DOUBLE)"
+    q["profile_orders_describe"] = f"""SELECT 0 AS position, 'o_totalprice' AS "column", count({x}) AS "count",
+  {r2(f'avg({x})', 6)} AS mean, {r2(f'stddev_samp({x})', 6)} AS stddev, min({x}) AS "min", max({x}) AS "max" FROM orders"""
+    events = (("event_id", False), ("ts", False), ("user_id", False), ("event_type", False), ("value", True), ("props", False))
+    q["profile_events_nulls"] = "\nUNION ALL ".join(
+        f"""SELECT {i} AS position, '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS nulls, """
+        + (f"count(*) FILTER (WHERE isnan({c}))" if is_float else "CAST(0 AS BIGINT)")
+        + " AS nans FROM events"
+        for i, (c, is_float) in enumerate(events)
+    )
     # cleaning
     q["clean_dedupe"] = _with(CLEAN_CTES, "SELECT * FROM dedup")
     q["clean_required"] = _with(CLEAN_CTES, "SELECT * FROM req")

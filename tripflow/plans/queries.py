@@ -137,6 +137,12 @@ def _profile(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(trips(spark, sf_dir))
 
 
+def _given(name: str, fn: Callable[[DataFrame], DataFrame]) -> Query:
+    """A profile operator over another given table (column names are
+    parameters, not the trip schema)."""
+    return lambda spark, sf_dir: fn(read_layer(spark, f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
 def _report(fn: Callable[[dict[str, DataFrame]], DataFrame], *tables: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         s = silver(spark, sf_dir)
@@ -170,6 +176,10 @@ def registry() -> dict[str, Query]:
         "profile_out_of_month": _profile(out_of_month_rows),
         "profile_issues": _profile(lambda df: P.issues(df, specs.profile_checks())),
         "profile_fare_histogram": _profile(lambda df: P.histogram(df, C.fare, lo, hi, bins)),
+        # the same profile operators on other given tables
+        "profile_orders_quantiles": _given("orders", lambda df: P.quantiles(df, ["o_totalprice"], specs.QUANTILE_PROBS)),
+        "profile_orders_describe": _given("orders", lambda df: P.describe_numeric(df, ["o_totalprice"], 6)),
+        "profile_events_nulls": _given("events", P.null_counts),
         # cleaning
         "clean_dedupe": _clean_upto(0),
         "clean_required": _clean_upto(1),
