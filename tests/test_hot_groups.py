@@ -115,3 +115,11 @@ def test_many_columns_and_filters_equal_brute_force(spark, rows, buckets, limit)
                 want[(col, g, p)] = brute(values, p, [x <= g for x in gs])
     got = exact_quantiles(df, targets, accuracy=buckets, collect_limit=limit)
     assert all(same(got[k], want[k]) for k in want), {k: (got[k], want[k]) for k in want if not same(got[k], want[k])}
+
+
+def test_quantiles_of_extreme_and_subnormal_values(spark):
+    values = [5e-324, 1e-323, 1.5e-323, 0.0, -5e-324, 1e308, -1e308, 2.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for p in (0.0, 0.2, 0.4, 0.5, 0.6, 0.8, 1.0):
+        got = exact_quantiles(df, [QuantileTarget("q", "x", p)], accuracy=2, collect_limit=1)["q"]
+        assert got == brute(values, p), p

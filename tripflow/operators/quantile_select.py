@@ -89,7 +89,10 @@ def _equal_width(x: str, lo: float, hi: float, buckets: int) -> str:
     Halves keep ``hi - lo`` finite for any finite bounds."""
     if lo == hi:
         return "0"
-    scaled = f"(({x} / 2D - {_d(lo / 2)}) / {_d(hi / 2 - lo / 2)} * {buckets}D)"
+    if hi / 2 - lo / 2 > 0:
+        scaled = f"(({x} / 2D - {_d(lo / 2)}) / {_d(hi / 2 - lo / 2)} * {buckets}D)"
+    else:  # adjacent subnormal bounds: halving would round the width to 0
+        scaled = f"(({x} - {_d(lo)}) / {_d(hi - lo)} * {buckets}D)"
     return f"CAST(least(floor({scaled}), {buckets - 1}) AS INT)"
 
 
