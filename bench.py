@@ -115,8 +115,15 @@ def main() -> None:
     layout = Layout(work)
     q: dict[str, float] = {}
 
-    # warm the JVM / file listing outside the timed phases
+    # warm the JVM outside the timed phases (class loading, JIT of the
+    # scan / aggregate / shuffle / Parquet write paths) on the tiny nation
+    # table, so the first timed phase is not charged for it; the stepwise
+    # comparison below runs on an equally warm JVM
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").limit(1).collect()
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    warm = nation.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n"), F.max("n_name").alias("m"))
+    warm.collect()
+    warm.write.mode("overwrite").parquet(f"{work}/warmup")
 
     timed(q, "land", lambda: land(spark, load_trips(spark, sf_dir), layout.bronze, if_exists="replace", files=2 * int(cpus)).collect())
     bronze = spark.read.parquet(layout.bronze)
