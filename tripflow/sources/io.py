@@ -54,6 +54,13 @@ def read_layer(
 
 def exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a readable Parquet dataset."""
+    try:  # ask the file system first: a failed read is logged loudly
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        if not hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
+            return False
+    except AttributeError:  # no JVM gateway (e.g. a remote session): probe by reading
+        pass
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves files only
         return True
