@@ -213,6 +213,7 @@ def quantiles(
     probs: Sequence[float],
     method: str = "exact",
     accuracy: int = DEFAULT_ACCURACY,
+    ranges: dict | None = None,
 ) -> DataFrame:
     """(column, prob, value) for every column and probability.
 
@@ -231,7 +232,7 @@ def quantiles(
         ]
         return row.select(F.inline(F.array(*items)))
     targets = [QuantileTarget((c, float(p)), c, float(p)) for c in columns for p in probs]
-    found = exact_quantiles(df, targets, accuracy=accuracy)
+    found = exact_quantiles(df, targets, accuracy=accuracy, ranges=ranges)
     rows = [(c, float(p), found[(c, float(p))]) for c in columns for p in probs]
     return local_frame(df.sparkSession, rows, QUANTILE_SCHEMA)
 
@@ -289,6 +290,18 @@ def issues(
     return counted.filter(F.col("rows") > 0) if only_found else counted
 
 
+def finite_range_figure(columns: Sequence[str], prefix: str = "fr_") -> Figure:
+    """Finite min and max per column (the first window of exact quantile
+    selection), so a profile scan can carry it instead of a separate job."""
+    aggs = []
+    for i, c in enumerate(columns):
+        x = f"CAST({_q(c)} AS DOUBLE)"
+        fx = f"CASE WHEN NOT isnan({x}) AND abs({x}) != double('inf') THEN {x} END"
+        aggs += [F.expr(f"min({fx})").alias(f"{prefix}lo{i}"), F.expr(f"max({fx})").alias(f"{prefix}hi{i}")]
+    items = [f"named_struct('column', {_s(c)}, 'lo', {prefix}lo{i}, 'hi', {prefix}hi{i})" for i, c in enumerate(columns)]
+    return Figure(tuple(aggs), lambda r: r.select(_rows(items)))
+
+
 def histogram_range_figure(column: str, lo: float, hi: float, prefix: str = "hg_") -> Figure:
     """min and max of the values of ``column`` inside ``[lo, hi]``."""
     x = F.when(F.col(column).between(lo, hi), F.col(column).cast("double"))

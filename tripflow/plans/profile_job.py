@@ -43,7 +43,8 @@ def profile(
        ``duplicates`` is given - e.g. ``SilverBuild.duplicate_stats()``,
        which reads the copy counts the silver dedupe already staged, so a
        pipeline shuffles its rows once, not twice;
-    4-5. exact quantiles (count + sketch, then window histograms).
+    4-5. exact quantiles: bucket round(s), then window histograms (their
+       first window, each column's finite range, rides along in scan 1).
 
     Small results are materialised once (one-row aggregates as local
     frames, the breakdowns as a scratch table) and every figure reads them.
@@ -60,8 +61,10 @@ def profile(
             "out_of_month": P.count_figure("rows", specs.out_of_month(c)),
             "checks": P.checks_figure(checks),
             "fare_range": P.histogram_range_figure(c.fare, lo, hi),
+            "quantile_ranges": P.finite_range_figure(specs.quantile_columns(c)),
         },
     )
+    qranges = {r["column"]: (r["lo"], r["hi"]) for r in single["quantile_ranges"].collect()}
     total = single["shape"].first()["rows"]
     r = single["fare_range"].first()
     mn, mx = P.histogram_edges(r["mn"], r["mx"])
@@ -103,7 +106,9 @@ def profile(
         "vendor_dist": pct(grouped["vendor_dist"]),
         "payment_dist": pct(grouped["payment_dist"]),
         "ranges": single["ranges"],
-        "quantiles": P.quantiles(df, specs.quantile_columns(c), specs.QUANTILE_PROBS, quantile_method, accuracy),
+        "quantiles": P.quantiles(
+            df, specs.quantile_columns(c), specs.QUANTILE_PROBS, quantile_method, accuracy, ranges=qranges
+        ),
         "out_of_month": single["out_of_month"],
         "issues": P.with_duplicates(single["checks"], df, len(checks), stats=dups),
         "fare_histogram": P.bins_table(
