@@ -170,3 +170,45 @@ def test_month_rule_pushes_as_range(spark, tmp_path):
     pushed = plan.split("PushedFilters:")[1].split("\n")[0]
     assert "GreaterThanOrEqual(tpep_pickup_datetime,2026-01-01T00:00)" in pushed
     assert "LessThan(tpep_pickup_datetime,2026-02-01T00:00)" in pushed
+
+
+def test_local_frame_round_trips_every_rendered_type(spark):
+    import decimal
+    import math
+
+    from pyspark.sql import types as T
+
+    from tripflow.sources.io import local_frame
+
+    schema = T.StructType(
+        [
+            T.StructField("i", T.IntegerType()),
+            T.StructField("l", T.LongType()),
+            T.StructField("d", T.DoubleType()),
+            T.StructField("s", T.StringType()),
+            T.StructField("b", T.BooleanType()),
+            T.StructField("dt", T.DateType()),
+            T.StructField("ts", T.TimestampNTZType()),
+            T.StructField("dec", T.DecimalType(12, 3)),
+        ]
+    )
+    rows = [
+        (1, 2**40, 0.1, "it's a \\ 'quote'", True, dt.date(2026, 1, 31), dt.datetime(2026, 1, 1, 0, 0, 0, 123456), decimal.Decimal("12.345")),
+        (None, None, float("nan"), "ünïcode", False, None, None, None),
+        (-7, -(2**62), float("-inf"), "", None, dt.date(1999, 12, 31), dt.datetime(2025, 12, 30, 23, 59, 59), decimal.Decimal("-0.001")),
+        (0, 0, 5e-324, None, True, None, None, decimal.Decimal("0")),
+    ]
+    df = local_frame(spark, rows, schema)
+    assert [f.dataType for f in df.schema.fields] == [f.dataType for f in schema.fields]
+    got = [tuple(r) for r in df.collect()]
+    for g, w in zip(got, rows):
+        for a, b in zip(g, w):
+            if isinstance(b, float) and math.isnan(b):
+                assert math.isnan(a)
+            else:
+                assert a == b, (a, b)
+    # a VALUES table is a local relation: reading it launches no job
+    sc = spark.sparkContext
+    sc.setJobGroup("local-frame", "local-frame")
+    df.filter("i IS NOT NULL").collect()
+    assert sc.statusTracker().getJobIdsForGroup("local-frame") == []
