@@ -210,5 +210,9 @@ def test_local_frame_round_trips_every_rendered_type(spark):
     # a VALUES table is a local relation: reading it launches no job
     sc = spark.sparkContext
     sc.setJobGroup("local-frame", "local-frame")
-    df.filter("i IS NOT NULL").collect()
+    try:
+        df.filter("i IS NOT NULL").collect()
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            sc.setLocalProperty(key, None)
     assert sc.statusTracker().getJobIdsForGroup("local-frame") == []
