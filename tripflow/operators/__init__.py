@@ -16,6 +16,7 @@ from tripflow.operators.profile import (
     describe_numeric,
     distribution,
     duplicate_stats,
+    duplicate_stats_from_copies,
     histogram,
     issues,
     null_counts,
@@ -23,7 +24,7 @@ from tripflow.operators.profile import (
     shape,
     value_ranges,
 )
-from tripflow.operators.quantile_select import QuantileTarget, exact_quantiles
+from tripflow.operators.quantile_select import QuantileTarget, column_ranges, exact_quantiles
 from tripflow.operators.report import layer_report, pivot_matrix, share
 from tripflow.operators.rules import (
     Rule,

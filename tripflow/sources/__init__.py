@@ -4,9 +4,11 @@ from tripflow.sources.io import (
     check_schema,
     exists,
     land,
+    local_frame,
     preview,
     read_layer,
     schema_table,
+    small_result,
     verify_write,
     write_layer,
 )
@@ -19,9 +21,11 @@ __all__ = [
     "exists",
     "land",
     "load_trips",
+    "local_frame",
     "preview",
     "read_layer",
     "schema_table",
+    "small_result",
     "trips_from_lineitem",
     "verify_write",
     "write_layer",
