@@ -192,7 +192,7 @@ class WordEncoder:
         return [np.array(e.ids, self.dtype).tobytes() for e in fast(units, add_special_tokens=False)]
 
     def _encode_units(self, units: list[str]) -> list[bytes]:
-        if not self.merger:
+        if not self.merger or not units:
             return self._by_library(units)
         lower = "\n".join(units).lower().split("\n")
         plain = [

@@ -72,7 +72,40 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return mix(total), np.searchsorted(offsets, starts, side="right") - 1
 
 
-def _long_text(data: np.ndarray) -> np.ndarray:
+# Letters by case, digits, and each other character by itself; bytes of
+# characters beyond ASCII count as lower-case letters.
+_CLASS = np.arange(256, dtype=np.uint8)
+_CLASS[0x61:0x7B] = _CLASS[0x80:] = 1
+_CLASS[0x41:0x5B] = 2
+_CLASS[0x30:0x3A] = 3
+
+
+def shape_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``word_hashes``, of each word's sequence of character classes,
+    in which a class that follows itself counts once."""
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    word = ~_SPACE[data]
+    begins = word.copy()
+    begins[1:] &= ~word[:-1]
+    inner = offsets[(offsets > 0) & (offsets < n)]
+    begins[inner] |= word[inner]
+    kind = _CLASS[data]
+    turns = begins.copy()
+    turns[1:] |= word[1:] & (kind[1:] != kind[:-1])
+    at = np.flatnonzero(turns)
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    first = np.flatnonzero(begins[at])
+    rank = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+    powers = _power_table(int(rank.max()) + 1)
+    with np.errstate(over="ignore"):
+        total = np.add.reduceat((kind[at].astype(np.uint64) + np.uint64(1)) * powers[rank], first)
+    return mix(total), np.searchsorted(offsets, at[first], side="right") - 1
+
+
+def _long_text(data: np.ndarray, hashes=word_hashes) -> np.ndarray:
     parts, begin, n = [], 0, len(data)
     while begin < n:
         end = min(n, begin + GROUP_BYTES)
@@ -83,7 +116,7 @@ def _long_text(data: np.ndarray) -> np.ndarray:
             else:  # one word longer than a group
                 later = np.flatnonzero(_SPACE[data[end:]])
                 end = end + int(later[0]) + 1 if len(later) else n
-        parts.append(word_hashes(data[begin:end], np.array([0, end - begin]))[0])
+        parts.append(hashes(data[begin:end], np.array([0, end - begin]))[0])
         begin = end
     return np.concatenate(parts)
 
@@ -101,9 +134,10 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def hashed_texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def hashed_texts(column: pa.Array, shapes: bool = False) -> Iterator[tuple]:
     """(first text, texts, word hashes, text of each word counted from the
-    first) for groups of consecutive texts."""
+    first) for groups of consecutive texts; with ``shapes``, the words'
+    shape hashes as a fifth."""
     if not len(column):
         return
     data, offsets = text_buffer(column)
@@ -114,8 +148,9 @@ def hashed_texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nd
         own = data[offsets[first] : offsets[last]]
         if last == first + 1 and len(own) > GROUP_BYTES:
             hashes = _long_text(own)
-            yield first, 1, hashes, np.zeros(len(hashes), np.int64)
+            found = (hashes, np.zeros(len(hashes), np.int64), *([_long_text(own, shape_hashes)] if shapes else []))
         else:
-            hashes, at = word_hashes(own, offsets[first : last + 1] - offsets[first])
-            yield first, last - first, hashes, at
+            begins = offsets[first : last + 1] - offsets[first]
+            found = (*word_hashes(own, begins), *([shape_hashes(own, begins)[0]] if shapes else []))
+        yield (first, last - first, *found)
         first = last

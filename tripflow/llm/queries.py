@@ -7,21 +7,52 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe_codec
+from tripflow.llm import bpe_codec, huffman_ids, quality_rules, resample, token_counts
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+END_ID = 2
+GOOD = "quality = 1 and toxic = 0"
 
 
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.codec_digests(table(spark, sf_dir, "documents"), "doc_id", "text", BYTE_BPE)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.quality_verdicts(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id", "text", "quality"
+    )
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", PIECES)
+
+
+def op9_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman_ids.ids_round_trip(table(spark, sf_dir, "documents"), "doc_id", "text", WORD_BPE, END_ID)
+
+
+def op10_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id", "text", GOOD
+    ).select("doc_id", "kept")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op5_bpe_codec": op5_bpe_codec,
+        "op7_quality_rules": op7_quality_rules,
+        "op8_token_counts": op8_token_counts,
+        "op9_huffman_ids": op9_huffman_ids,
+        "op10_quality_resample": op10_quality_resample,
     }
 
 
