@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe_codec, huffman_ids, quality_rules, resample, token_counts
+from tripflow.llm import bpe_codec, huffman_ids, line_dedup, mixing, quality_rules, resample, token_counts
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,20 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 GOOD = "quality = 1 and toxic = 0"
+DOMAIN = "case when toxic = 1 then 'toxic' when quality = 0 then 'low' else 'good' end"
+MIX = {"good": 0.98, "low": 0.01, "toxic": 0.01}
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.drop_boilerplate(docs, "source", "text", dropped_col="n_dropped").drop("source")
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix_rates(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id", "text", DOMAIN, MIX, "good"
+    )
+    return found.select("doc_id", "n_tokens", "p", "rate", "copies")
 
 
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +62,8 @@ def op10_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_line_dedup": op1_line_dedup,
+        "op2_mix_sources": op2_mix_sources,
         "op5_bpe_codec": op5_bpe_codec,
         "op7_quality_rules": op7_quality_rules,
         "op8_token_counts": op8_token_counts,
@@ -57,4 +73,4 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": line_dedup.ORACLE}
