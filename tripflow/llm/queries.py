@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe_codec, huffman_ids, line_dedup, mixing, quality_rules, resample, token_counts
+from tripflow.llm import bpe_codec, embedding_dedup, huffman_ids, line_dedup, minhash, mixing, quality_rules, resample, token_counts
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,10 +33,18 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "p", "rate", "copies")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.similar_components(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.codec_digests(table(spark, sf_dir, "documents"), "doc_id", "text", BYTE_BPE)
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.quality_verdicts(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id", "text", "quality"
@@ -64,7 +72,9 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_mix_sources": op2_mix_sources,
+        "op4_embedding_dedup": op4_embedding_dedup,
         "op5_bpe_codec": op5_bpe_codec,
+        "op6_minhash_dedup": op6_minhash_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_token_counts": op8_token_counts,
         "op9_huffman_ids": op9_huffman_ids,
