@@ -1,0 +1,98 @@
+"""Base spans against the plain patterns; learned formats on held-out strings."""
+
+import hashlib
+import random
+import re
+import string
+
+from tripflow.llm import secret_scan as S
+
+
+def plain(text):
+    text = text or ""
+    spans = []
+    key = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token"))
+    key += "|[aA][pP][iI]_?[kK][eE][yY]"
+    for m in re.finditer(rf"""({key})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m[2]) >= 6:
+            spans.append((m.start(), 0, m.end()))
+    spans += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(spans)
+
+
+def joined(spans):
+    return ",".join(f"{S.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+
+
+def noise(rng, n):
+    parts = ["token", "Token=", "SECRET", "api_key: ", "apikey", "API_KEY='", "passwd", "password\" :", "AKIA", "=", ":", " ", "  ", "'",
+             "abc123", "deadbeef", "DEADBEEF", "00", "ſecret=abcdefg", "toKen=abcdefg", "é", "\n", "+/_.=-", "x" * 16, "AKIAAKIA", "ABCDEFGH12345678"]
+    return "".join(rng.choice(parts) for _ in range(n))
+
+
+def test_base_matches_equal_the_patterns():
+    rng = random.Random(6)
+    for _ in range(8000):
+        t = noise(rng, rng.randrange(25))
+        assert sorted((s, k, e) for k, s, e, _ in S.base_matches(t)) == plain(t), t
+
+
+def secrets(rng, n):
+    out = []
+    for _ in range(n):
+        kind = rng.randrange(3)
+        if kind == 0:
+            out.append("token = \"" + "".join(rng.choice("0123456789abcdef") for _ in range(40)) + '"')
+        elif kind == 1:
+            out.append("AKIA" + "".join(rng.choice(string.ascii_uppercase + string.digits) for _ in range(16)))
+        else:
+            out.append("password: " + "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(20)))
+    return out
+
+
+def prose(rng, n):
+    return " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 24))) for _ in range(n))
+
+
+def test_query_and_learned_spans(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 60) + " " + s + " " + prose(rng, 40)) for i, s in enumerate(secrets(rng, 300))]
+    hidden = "".join(rng.choice("0123456789abcdef") for _ in range(22))  # too short for the base pattern
+    rows += [(900, prose(rng, 30) + " " + hidden + " " + prose(rng, 30)), (901, None), (902, ""), (903, "é token=abcdef"), (903, "é token=abcdef"), (None, "x")]
+    rows += [(904, ("word " * 50_000) + "secret=abcdefgh")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, spans string, kinds int")
+    found = S.span_digests(S.secret_spans(df.repartition(3), "doc_id", "text")).collect()
+    assert len(found) == len(rows)
+    texts = dict(rows)
+    for r in found:
+        want = plain(texts[r.doc_id])
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == i for _, k, _ in want) for i in range(3)]
+        assert r.base_sha256 == hashlib.sha256(joined(want).encode()).hexdigest()
+        spans = [x.split(":") for x in r.spans.split(",") if x]
+        assert [x for x in spans if x[0] in S.KINDS] == [x.split(":") for x in joined(want).split(",") if x]
+        assert [int(x[1]) for x in spans] == sorted(int(x[1]) for x in spans)
+        learned = [(int(x[1]), int(x[2])) for x in spans if x[0] in S.LEARNED]
+        assert not any(s < e2 and s2 < e for s, e in learned for s2, _, e2 in want)
+        if r.doc_id == 900:
+            assert [texts[900][s:e] for s, e in learned] == [hidden]
+    ordinary = sum(any(x.startswith("like") for x in r.spans.split(",")) for r in found if r.doc_id != 900)
+    assert ordinary <= 3
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert S.span_digests(S.secret_spans(df, "doc_id", "text")).count() == 0
+
+
+def test_merging_finds_the_loop():
+    rng = random.Random(1)
+    strings = []
+    for _ in range(600):
+        n = 1
+        while rng.random() < 0.8:
+            n += 1
+        strings.append("x" + "ab" * n)
+    a = S.Automaton(strings)
+    assert len(a.states) <= 5
+    assert a.log_likelihood("x" + "ab" * 15) > a.log_likelihood("x" + "ba" * 15) + 10

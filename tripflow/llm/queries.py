@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe_codec, embedding_dedup, huffman_ids, line_dedup, minhash, mixing, quality_rules, resample, token_counts
+from tripflow.llm import bpe_codec, embedding_dedup, huffman_ids, line_dedup, minhash, mixing, quality_rules, resample, secret_scan, token_counts
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "p", "rate", "copies")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = secret_scan.secret_spans(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return secret_scan.span_digests(spans)
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.similar_components(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
@@ -72,6 +77,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_mix_sources": op2_mix_sources,
+        "op3_secret_scan": op3_secret_scan,
         "op4_embedding_dedup": op4_embedding_dedup,
         "op5_bpe_codec": op5_bpe_codec,
         "op6_minhash_dedup": op6_minhash_dedup,
