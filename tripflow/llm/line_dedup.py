@@ -78,12 +78,14 @@ def drop_boilerplate(
     )
     joined = whole.join(drop, "host", "left")
     kept = F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col("lines"), _key(x)) | (F.trim(x) == ""))
-    text = F.when(F.col("lines").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = [text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in df.columns]
-    if dropped_col:
-        gone = F.when(F.col("lines").isNull() | F.col("text").isNull(), F.lit(0))
-        out.append(gone.otherwise(F.size(_lines(F.col("text"))) - F.size(kept)).cast("long").alias(dropped_col))
-    return joined.select(*out)
+    untouched = F.col("lines").isNull() | F.col("text").isNull()
+    done = joined.select(
+        "row",
+        F.when(untouched, F.col("text")).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
+        F.when(untouched, F.lit(0)).otherwise(F.size(_lines(F.col("text"))) - F.size(kept)).cast("long").alias("gone"),
+    )
+    out = [F.col("kept_text" if c == text_col else f"row.`{c}`").alias(c) for c in df.columns]
+    return done.select(*out, *([F.col("gone").alias(dropped_col)] if dropped_col else []))
 
 
 ORACLE = f"""

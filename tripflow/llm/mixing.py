@@ -10,7 +10,8 @@ The least squares are whitened: the error e = T - (expected tokens) is
 measured as e' M^-1 e with M = sum_d n_d p_d p_d', one K x K aggregate.
 In the n-weighted inner product the gradient step is then
 r_d <- max(0, r_d + p_d . M^-1 e), of unit Lipschitz constant, so a step of
-1 always descends, and reaches the solution at once where no rate is 0.
+1 always descends, and reaches the solution at once where no rate is 0;
+where some are, Nesterov momentum (restarted when it overshoots) helps.
 A rate is the fold of all steps so far, computed in place from p_d: an
 iteration is one aggregate over the narrow table of probabilities, of
 which K sums reach the driver, and nothing per document is carried over.
@@ -43,7 +44,7 @@ RANGES = ((0, 1 << 17), (1 << 17, 1 << 13))  # buckets of words and of word shap
 BUCKETS = (1 << 17) + (1 << 13)
 STEPS = 120
 RIDGE = 1e-3
-MAX_ROUNDS = 40
+MAX_ROUNDS = 60
 TOLERANCE = 1e-7
 SEED = 29
 
@@ -157,41 +158,47 @@ def domain_posteriors(
     return names, rows.mapInArrow(predict, out)
 
 
-def _rate(steps: list[np.ndarray], k: int) -> Column:
-    """The fold of the steps taken, from a rate of 1."""
-    rate = F.lit(1.0)
+def _rate(steps: list[tuple[np.ndarray, float]], k: int, ahead: bool = False) -> Column:
+    """The fold of the steps taken, from a rate of 1; ``ahead``: the point
+    extrapolated from it, at which the next step is measured."""
     if not steps:
-        return rate
-    flat = F.array(*(F.array(*(F.lit(float(x)) for x in s)) for s in steps))
+        return F.lit(1.0)
+    flat = F.array(*(F.array(*(F.lit(float(x)) for x in (*s, momentum))) for s, momentum in steps))
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
 
-    def take(r, s):
+    def take(state, s):
+        rate = state["ahead"]
         for i in range(k):
-            r = r + s[i] * F.col("p")[i]
-        return F.greatest(F.lit(0.0), r)
+            rate = rate + s[i] * F.col("p")[i]
+        rate = F.greatest(F.lit(0.0), rate)
+        return F.struct(rate.alias("rate"), (rate + s[k] * (rate - state["rate"])).alias("ahead"))
 
-    return F.aggregate(flat, rate, take)
+    return F.aggregate(flat, start, take)["ahead" if ahead else "rate"]
 
 
-def fit_rates(members: DataFrame, target: np.ndarray, k: int) -> list[np.ndarray]:
-    """Steps after which the expected domain tokens meet the target."""
+def fit_rates(members: DataFrame, target: np.ndarray, k: int) -> list[tuple[np.ndarray, float]]:
+    """Steps (and the momentum after each) after which the expected domain
+    tokens meet the target."""
     products = [F.sum(F.col("n_tokens") * F.col("p")[i] * F.col("p")[j]) for i in range(k) for j in range(i, k)]
     row = members.agg(*products).first()
     m = np.zeros((k, k))
     m[np.triu_indices(k)] = [x or 0.0 for x in row]
     m = m + np.triu(m, 1).T
     inverse = np.linalg.pinv(m, rcond=1e-10, hermitian=True)
-    steps: list[np.ndarray] = []
-    best = np.inf
+    steps: list[tuple[np.ndarray, float]] = []
+    before, since, small = np.inf, 0, 0
     scale = max(float(np.abs(target).sum()), 1.0)
     while len(steps) < MAX_ROUNDS:
-        rate = _rate(steps, k)
+        rate = _rate(steps, k, ahead=True)
         sums = members.agg(*(F.sum(F.col("n_tokens") * rate * F.col("p")[i]) for i in range(k))).first()
         error = target - np.array([x or 0.0 for x in sums])
         miss = float(error @ inverse @ error)
-        if np.abs(error).max() <= TOLERANCE * scale or miss >= best * (1 - 1e-9):
+        small = small + 1 if abs(before - miss) <= 1e-9 * miss else 0
+        if np.abs(error).max() <= TOLERANCE * scale or small == 3:
             break
-        best = miss
-        steps.append(inverse @ error)
+        since = since + 1 if miss < before else 0  # momentum starts anew after a step that overshot
+        before = miss
+        steps.append((inverse @ error, since / (since + 3.0)))
     return steps
 
 
@@ -210,7 +217,7 @@ def mix_rates(
     names, members = domain_posteriors(df, labels, id_col, text_col, domain)
     members = stage(members, "domain-posteriors")
     k = len(names)
-    steps: list[np.ndarray] = []
+    steps: list[tuple[np.ndarray, float]] = []
     share = np.array([float(weights.get(x, 0.0)) for x in names])
     if k > 1 and share.sum() > 0:
         share = share / share.sum()
