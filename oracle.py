@@ -2,8 +2,8 @@
 same semantics, used as the correctness oracle at small scale.
 
 Conventions shared with the Spark side: the ``trips`` fixture is derived
-from ``lineitem``; aggregate averages and sums are rounded with
-``round(round(x, 9), 2)``; DuckDB's BIGINT / HUGEINT results are cast to
+from ``lineitem``; averages are rounded as decimals (first to 9 places), money is
+summed as decimals; DuckDB's BIGINT / HUGEINT results are cast to
 the Spark types; day of week is shifted to 1 = Sunday; quantiles are
 ``quantile_disc``.
 """
@@ -20,10 +20,27 @@ TRIP_COLS = (
 )
 
 _OFF = "((l_orderkey * 7919 + l_partkey * 613 + l_linenumber * 3571) % 3024000)"
-_DUR = "(CASE WHEN l_suppkey % 50 = 0 THEN 30000 ELSE (l_partkey * 37 + l_orderkey * 11) % 4000 - 100 END)"
+_DUR = "(CASE WHEN l_suppkey % 50 = 7 THEN 30000 ELSE (l_partkey * 37 + l_orderkey * 11) % 4000 - 100 END)"
 
-TRIPS = f"""trips AS (
-  SELECT l_orderkey, l_linenumber,
+PLANTED = {
+    1: ("tpep_pickup_datetime", "NULL"), 2: ("tpep_dropoff_datetime", "NULL"), 3: ("trip_distance", "NULL"),
+    4: ("fare_amount", "NULL"), 5: ("total_amount", "NULL"), 6: ("PULocationID", "NULL"),
+    7: ("DOLocationID", "NULL"), 8: ("VendorID", "NULL"), 9: ("fare_amount", "600.0::DOUBLE"),
+    10: ("total_amount", "-1.0::DOUBLE"), 11: ("total_amount", "1500.0::DOUBLE"),
+    12: ("tip_amount", "-0.5::DOUBLE"), 13: ("passenger_count", "0::BIGINT"),
+}
+
+
+def _planted_columns() -> str:
+    out = []
+    for c in (x.strip() for x in TRIP_COLS.split(",")):
+        cases = "".join(f" WHEN l_partkey % 199 = {k} THEN {v}" for k, (name, v) in PLANTED.items() if name == c)
+        out.append(f"CASE{cases} ELSE {c} END AS {c}" if cases else c)
+    return ", ".join(out)
+
+
+TRIPS = f"""mapped AS (
+  SELECT l_partkey, l_orderkey, l_linenumber,
     CAST(CASE WHEN l_suppkey % 10 = 0 THEN 6 ELSE 1 + l_suppkey % 2 END AS INTEGER) AS VendorID,
     TIMESTAMP '2025-12-30 00:00:00' + to_seconds({_OFF}) AS tpep_pickup_datetime,
     TIMESTAMP '2025-12-30 00:00:00' + to_seconds({_OFF} + {_DUR}) AS tpep_dropoff_datetime,
@@ -38,7 +55,8 @@ TRIPS = f"""trips AS (
     CAST(1 + l_partkey % 40 AS INTEGER) AS PULocationID,
     CAST(1 + l_suppkey % 25 AS INTEGER) AS DOLocationID
   FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 100 = 0) li
-)"""
+),
+trips AS (SELECT {_planted_columns()} FROM mapped)"""
 
 SECS = "(floor(epoch(tpep_dropoff_datetime)) - floor(epoch(tpep_pickup_datetime)))"
 
@@ -154,7 +172,12 @@ silver AS (SELECT *, round(trip_distance / nullif(trip_duration_min / 60, 0), 2)
 
 
 def r2(expr: str, digits: int = 2) -> str:
-    return f"round(round({expr}, 9), {digits})"
+    return f"CAST(round(CAST({expr} AS DECIMAL(28,9)), {digits}) AS DOUBLE)"
+
+
+def money(column: str) -> str:
+    """A sum that no order of additions changes."""
+    return f"CAST(round(sum(CAST({column} AS DECIMAL(28,9))), 2) AS DOUBLE)"
 
 
 def _with(ctes: str, body: str) -> str:
@@ -165,19 +188,19 @@ GOLD = {
     "gold_by_hour": f"""SELECT pickup_hour, count(*) AS total_trips,
   CAST(sum(passenger_count) AS BIGINT) AS total_passengers,
   {r2('avg(trip_distance)')} AS avg_distance_miles, {r2('avg(fare_amount)')} AS avg_fare,
-  {r2('sum(total_amount)')} AS total_revenue, {r2('avg(tip_percentage)')} AS avg_tip_pct,
+  {money('total_amount')} AS total_revenue, {r2('avg(tip_percentage)')} AS avg_tip_pct,
   {r2('avg(trip_duration_min)')} AS avg_duration_min, {r2('avg(speed_mph)')} AS avg_speed_mph
 FROM silver GROUP BY pickup_hour ORDER BY pickup_hour""",
     "gold_by_dayofweek": f"""SELECT pickup_dayofweek, count(*) AS total_trips,
-  {r2('avg(trip_distance)')} AS avg_distance, {r2('sum(total_amount)')} AS total_revenue,
+  {r2('avg(trip_distance)')} AS avg_distance, {money('total_amount')} AS total_revenue,
   {r2('avg(fare_amount)')} AS avg_fare, {r2('avg(tip_percentage)')} AS avg_tip_pct,
   CASE pickup_dayofweek WHEN 1 THEN 'Sunday' WHEN 2 THEN 'Monday' WHEN 3 THEN 'Tuesday'
     WHEN 4 THEN 'Wednesday' WHEN 5 THEN 'Thursday' WHEN 6 THEN 'Friday' ELSE 'Saturday' END AS day_name
 FROM silver GROUP BY pickup_dayofweek ORDER BY pickup_dayofweek""",
     "gold_by_date": f"""SELECT pickup_date, count(*) AS total_trips,
   CAST(sum(passenger_count) AS BIGINT) AS total_passengers,
-  {r2('avg(trip_distance)')} AS avg_distance, {r2('sum(total_amount)')} AS total_revenue,
-  {r2('sum(fare_amount)')} AS total_fare, {r2('sum(tip_amount)')} AS total_tips,
+  {r2('avg(trip_distance)')} AS avg_distance, {money('total_amount')} AS total_revenue,
+  {money('fare_amount')} AS total_fare, {money('tip_amount')} AS total_tips,
   {r2('avg(fare_amount)')} AS avg_fare, {r2('avg(tip_percentage)')} AS avg_tip_pct,
   {r2('avg(trip_duration_min)')} AS avg_duration_min
 FROM silver GROUP BY pickup_date ORDER BY pickup_date""",
@@ -186,20 +209,20 @@ FROM silver GROUP BY pickup_date ORDER BY pickup_date""",
 FROM silver GROUP BY pickup_dayofweek, pickup_hour ORDER BY pickup_dayofweek, pickup_hour""",
     "gold_by_vendor": f"""SELECT VendorID, count(*) AS total_trips,
   CAST(sum(passenger_count) AS BIGINT) AS total_passengers,
-  {r2('avg(trip_distance)')} AS avg_distance, {r2('sum(total_amount)')} AS total_revenue,
+  {r2('avg(trip_distance)')} AS avg_distance, {money('total_amount')} AS total_revenue,
   {r2('avg(total_amount)')} AS avg_revenue_per_trip, {r2('avg(fare_amount)')} AS avg_fare,
-  {r2('sum(tip_amount)')} AS total_tips, {r2('avg(tip_percentage)')} AS avg_tip_pct,
+  {money('tip_amount')} AS total_tips, {r2('avg(tip_percentage)')} AS avg_tip_pct,
   {r2('avg(trip_duration_min)')} AS avg_duration_min, {r2('avg(speed_mph)')} AS avg_speed_mph,
   CASE VendorID WHEN 1 THEN 'Creative Mobile' WHEN 2 THEN 'VeriFone' ELSE 'Unknown' END AS vendor_name
 FROM silver GROUP BY VendorID ORDER BY VendorID""",
     "gold_by_payment": f"""SELECT payment_type, count(*) AS total_trips,
-  {r2('sum(total_amount)')} AS total_revenue, {r2('avg(fare_amount)')} AS avg_fare,
+  {money('total_amount')} AS total_revenue, {r2('avg(fare_amount)')} AS avg_fare,
   {r2('avg(tip_amount)')} AS avg_tip, {r2('avg(tip_percentage)')} AS avg_tip_pct,
   CASE payment_type WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No Charge'
     WHEN 4 THEN 'Dispute' ELSE 'Other' END AS payment_name
 FROM silver GROUP BY payment_type ORDER BY total_trips DESC, payment_type NULLS FIRST""",
     "gold_top_pickups": f"""SELECT PULocationID, count(*) AS total_trips,
-  {r2('sum(total_amount)')} AS total_revenue, {r2('avg(trip_distance)')} AS avg_distance,
+  {money('total_amount')} AS total_revenue, {r2('avg(trip_distance)')} AS avg_distance,
   {r2('avg(fare_amount)')} AS avg_fare
 FROM silver GROUP BY PULocationID ORDER BY total_trips DESC, PULocationID LIMIT 20""",
     "gold_top_routes": f"""SELECT PULocationID, DOLocationID, count(*) AS total_trips,

@@ -20,16 +20,35 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def rnd(c: ColumnOrName, digits: int = 2) -> Column:
     """Round half-up to ``digits`` after first rounding to 9 digits.
 
-    Aggregates over doubles (sums, averages) can differ in the last bits
-    depending on the order partial results are merged; the first rounding
-    removes that noise so the visible digits do not depend on partitioning.
+    Averages of doubles can differ in the last bits depending on the order
+    partial results are merged; the first rounding removes that noise for
+    values up to about a million, so their visible digits do not depend on
+    partitioning.  Sums grow past that: see :func:`exact_sum`.
     """
     return F.round(F.round(col(c), 9), digits)
 
 
+def exact_sum(c: ColumnOrName, digits: int) -> Column:
+    """Sum of a floating column, the same for any partitioning.
+
+    Values are added as decimals of 9 places (money has fewer), rounded
+    half-up to ``digits`` and returned as a double.  NaN and infinities,
+    which have no decimal, give the plain sum.
+    """
+    x = col(c).cast("double")
+    odd = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+    exact = F.sum(F.when(~odd, x).cast("decimal(28,9)"))
+    return F.when(F.count_if(odd) > 0, F.sum(x)).otherwise(F.round(exact, digits).cast("double"))
+
+
 def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:
     """Division that yields null for a zero or null divisor (ANSI-safe)."""
     return F.try_divide(col(num), col(den))
@@ -92,7 +111,7 @@ def present(df: DataFrame, name: str) -> Column:
     Written as explicit predicates so ``IsNotNull`` reaches the Parquet
     reader; ``dropna`` itself plans as an opaque ``AtLeastNNonNulls``.
     """
-    c = F.col(name)
+    c = quoted(name)
     pred = c.isNotNull()
     if is_float_type(df.schema[name].dataType):
         pred = pred & ~F.isnan(c)

@@ -21,8 +21,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.functions.expr import exact_sum, rnd
 from tripflow.functions.expr import label as label_expr
-from tripflow.functions.expr import rnd
 
 AGGS = {
     "count": lambda c: F.count(F.lit(1)),
@@ -43,9 +43,21 @@ class Measure:
     digits: int | None = None
 
     def expr(self) -> Column:
+        if self.exact:
+            return exact_sum(self.column, self.digits)
         value = AGGS[self.agg](F.col(self.column) if self.column else None)
         return rnd(value, self.digits) if self.digits is not None else value
 
+    @property
+    def exact(self) -> bool:
+        """Rounded sums are added as decimals and rounded in the aggregate."""
+        return self.agg == "sum" and self.digits is not None
+
+    @property
+    def key(self) -> tuple:
+        """What measures of several summaries can share."""
+        return (self.agg, self.column, self.digits if self.exact else None)
+
 
 @dataclass(frozen=True)
 class Label:
@@ -119,12 +131,15 @@ def summarise_many(
         for k in s.keys:
             if k not in keys:
                 keys.append(k)
-    # every distinct (agg, column) once; rounding happens per spec later
-    base: dict[tuple[str, str | None], str] = {}
+    # every distinct measure once; averages are rounded per spec later
+    base: dict[tuple, str] = {}
+    aggs = []
     for s in specs:
         for m in s.measures:
-            base.setdefault((m.agg, m.column), f"_m{len(base)}")
-    aggs = [AGGS[a](F.col(c) if c else None).alias(alias) for (a, c), alias in base.items()]
+            if m.key not in base:
+                base[m.key] = f"_m{len(base)}"
+                value = m.expr() if m.exact else AGGS[m.agg](F.col(m.column) if m.column else None)
+                aggs.append(value.alias(base[m.key]))
     sets = [[F.col(k) for k in s.keys] for s in specs]
     combined = df.groupingSets(sets, *keys).agg(F.grouping_id().alias(GID), *aggs)
     full = (1 << len(keys)) - 1
@@ -140,10 +155,10 @@ def summarise_many(
     def table(frame: DataFrame, spec: Summary) -> DataFrame:
         cols = [F.col(k) for k in spec.keys]
         for m in spec.measures:
-            v = F.col(base[(m.agg, m.column)])
+            v = F.col(base[m.key])
             if m.agg == "count":
                 v = v.cast("bigint")
-            cols.append((rnd(v, m.digits) if m.digits is not None else v).alias(m.name))
+            cols.append((v if m.digits is None or m.exact else rnd(v, m.digits)).alias(m.name))
         return finish(frame.filter(F.col(GID) == gid_of[spec.name]).select(*cols), spec)
 
     return combined, {s.name: (lambda frame, s=s: table(frame, s)) for s in specs}

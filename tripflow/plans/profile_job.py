@@ -20,8 +20,10 @@ from tripflow.session import scratch_path
 from tripflow.sources.io import small_result, write_layer
 
 
-def out_of_month_rows(df: DataFrame, c: TripColumns = TRIP) -> DataFrame:
-    return P.run(df, P.count_figure("rows", specs.out_of_month(c)))
+def out_of_month_rows(
+    df: DataFrame, c: TripColumns = TRIP, year: int = specs.TARGET_YEAR, month: int = specs.TARGET_MONTH
+) -> DataFrame:
+    return P.run(df, P.count_figure("rows", specs.out_of_month(c, year, month)))
 
 
 def profile(
@@ -31,6 +33,8 @@ def profile(
     accuracy: int = DEFAULT_ACCURACY,
     digits: int = 6,
     duplicates: DataFrame | None = None,
+    year: int = specs.TARGET_YEAR,
+    month: int = specs.TARGET_MONTH,
 ) -> dict[str, DataFrame]:
     """Every profile figure in five scans of ``df``:
 
@@ -50,7 +54,8 @@ def profile(
     frames, the breakdowns as a scratch table) and every figure reads them.
     """
     lo, hi, bins = specs.FARE_HISTOGRAM
-    checks = specs.profile_checks(c)
+    specs.check_trips(df, c)
+    checks = specs.profile_checks(c, year, month)
     single = P.one_pass(
         df,
         {
@@ -58,7 +63,7 @@ def profile(
             "describe": P.describe_figure(specs.describe_columns(c), digits),
             "nulls": P.null_figure(df),
             "ranges": P.ranges_figure(specs.range_columns(c), digits),
-            "out_of_month": P.count_figure("rows", specs.out_of_month(c)),
+            "out_of_month": P.count_figure("rows", specs.out_of_month(c, year, month)),
             "checks": P.checks_figure(checks),
             "fare_range": P.histogram_range_figure(c.fare, lo, hi),
             "quantile_ranges": P.finite_range_figure(specs.quantile_columns(c)),

@@ -99,9 +99,13 @@ def build_silver(
     method: str = "exact",
     accuracy: int = DEFAULT_ACCURACY,
     partition_by: Sequence[str] = (),
+    year: int = specs.TARGET_YEAR,
+    month: int = specs.TARGET_MONTH,
 ) -> SilverBuild:
+    """Build silver for one month from checked bronze rows (none is fine)."""
     spark = bronze.sparkSession
-    steps = specs.cleaning_steps(bronze, c)
+    specs.check_trips(bronze, c)
+    steps = specs.cleaning_steps(bronze, c, year, month)
     staged_path = scratch_path(spark, "silver-staged")
     staged = stage_tagged(bronze, steps, staged_path)
     passing = staged.filter(F.col(TAG) == 0).drop(TAG, COPIES)

@@ -15,6 +15,7 @@ from tripflow.operators.profile import Check
 from tripflow.operators.rules import Rule, Step, required_rules
 from tripflow.operators.summarise import Label, Measure, Summary
 from tripflow.session import env_float
+from tripflow.sources.io import INTEGRAL, NUMERIC, TIMESTAMP, check_schema
 
 # ---------------------------------------------------------------------------
 # These must stay equal to the pipeline being reproduced.
@@ -38,16 +39,33 @@ VENDOR_NAMES = {1: "Creative Mobile", 2: "VeriFone"}
 VENDOR_DEFAULT = "Unknown"
 PAYMENT_NAMES = {1: "Credit Card", 2: "Cash", 3: "No Charge", 4: "Dispute"}
 PAYMENT_DEFAULT = "Other"
+# fields of TripColumns a silver row must have, and those the profile watches
+CRITICAL = ("pickup", "dropoff", "distance", "fare", "total", "pickup_loc", "dropoff_loc", "vendor", "passengers")
+PROFILE_CRITICAL = ("pickup", "dropoff", "distance", "fare", "passengers", "vendor")
 # ---------------------------------------------------------------------------
 
 
 def critical_columns(c: TripColumns = TRIP) -> tuple[str, ...]:
     """Columns a silver row must have (null or NaN drops the row)."""
-    return (c.pickup, c.dropoff, c.distance, c.fare, c.total, c.pickup_loc, c.dropoff_loc, c.vendor, c.passengers)
+    return tuple(getattr(c, f) for f in CRITICAL)
 
 
 def profile_critical_columns(c: TripColumns = TRIP) -> tuple[str, ...]:
-    return (c.pickup, c.dropoff, c.distance, c.fare, c.passengers, c.vendor)
+    return tuple(getattr(c, f) for f in PROFILE_CRITICAL)
+
+
+def trip_schema(c: TripColumns = TRIP) -> dict[str, tuple[type, ...]]:
+    """The columns every job needs, with the types it takes.  Timestamps
+    are zone-less: with a zone, the month and the hour would depend on the
+    session."""
+    wanted = {n: TIMESTAMP for n in (c.pickup, c.dropoff)}
+    wanted |= {n: NUMERIC for n in (c.distance, c.fare, c.tip, c.total)}
+    wanted |= {n: INTEGRAL for n in (c.vendor, c.passengers, c.payment, c.pickup_loc, c.dropoff_loc)}
+    return wanted
+
+
+def check_trips(df: DataFrame, c: TripColumns = TRIP) -> DataFrame:
+    return check_schema(df, trip_schema(c))
 
 
 def range_rules(c: TripColumns = TRIP) -> tuple[Rule, ...]:
@@ -76,12 +94,14 @@ def time_rules(c: TripColumns = TRIP, year: int = TARGET_YEAR, month: int = TARG
     )
 
 
-def cleaning_steps(df: DataFrame, c: TripColumns = TRIP) -> list[Step]:
+def cleaning_steps(
+    df: DataFrame, c: TripColumns = TRIP, year: int = TARGET_YEAR, month: int = TARGET_MONTH
+) -> list[Step]:
     """Steps applied after whole-row dedupe, in order."""
     return [
         Step("required", required_rules(df, critical_columns(c))),
         Step("range", range_rules(c)),
-        Step("time", time_rules(c)),
+        Step("time", time_rules(c, year, month)),
     ]
 
 
@@ -110,7 +130,7 @@ def out_of_month(c: TripColumns = TRIP, year: int = TARGET_YEAR, month: int = TA
     return ~in_month(c.pickup, year, month)
 
 
-def profile_checks(c: TripColumns = TRIP) -> list[Check]:
+def profile_checks(c: TripColumns = TRIP, year: int = TARGET_YEAR, month: int = TARGET_MONTH) -> list[Check]:
     """Profile issue list (looser than cleaning: fare < 0, passengers = 0)."""
     checks = [Check(f"null {col}", "null", F.col(col).isNull()) for col in profile_critical_columns(c)]
     checks += [
@@ -118,7 +138,7 @@ def profile_checks(c: TripColumns = TRIP) -> list[Check]:
         Check("fare < 0", "range", F.col(c.fare) < 0),
         Check("passengers = 0", "range", F.col(c.passengers) == 0),
         Check("dropoff <= pickup", "time", F.col(c.dropoff) <= F.col(c.pickup)),
-        Check(f"outside {TARGET_YEAR:04d}-{TARGET_MONTH:02d}", "time", out_of_month(c)),
+        Check(f"outside {year:04d}-{month:02d}", "time", out_of_month(c, year, month)),
     ]
     return checks
 

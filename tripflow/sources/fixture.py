@@ -21,8 +21,14 @@ from tripflow.functions.expr import ts_literal
 BASE_TS = "2025-12-30 00:00:00"  # first possible pickup
 OFFSET_SPAN_S = 3024000  # 35 days of pickup offsets
 DUPLICATE_EVERY = 100  # orders with l_orderkey % 100 = 0 appear twice
-LONG_TRIP_EVERY = 50  # suppliers with l_suppkey % 50 = 0 drive 30000 s
+LONG_TRIP_EVERY, LONG_TRIP_REST = 50, 7  # suppliers with l_suppkey % 50 = 7 (valid vendors) drive 30000 s
 LONG_TRIP_S = 30000
+PLANT_EVERY = 199  # l_partkey % 199 = k plants one defect in an otherwise valid row:
+PLANTED = {  # k: (field, value); each cleaning rule decides some rows by itself
+    1: ("pickup", None), 2: ("dropoff", None), 3: ("distance", None), 4: ("fare", None), 5: ("total", None),
+    6: ("pickup_loc", None), 7: ("dropoff_loc", None), 8: ("vendor", None), 9: ("fare", 600.0),
+    10: ("total", -1.0), 11: ("total", 1500.0), 12: ("tip", -0.5), 13: ("passengers", 0),
+}
 
 LINEITEM_COLUMNS = (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -37,7 +43,7 @@ def _offset_s() -> Column:
 
 
 def _duration_s() -> Column:
-    return F.when(F.col("l_suppkey") % LONG_TRIP_EVERY == 0, F.lit(LONG_TRIP_S)).otherwise(
+    return F.when(F.col("l_suppkey") % LONG_TRIP_EVERY == LONG_TRIP_REST, F.lit(LONG_TRIP_S)).otherwise(
         (F.col("l_partkey") * 37 + F.col("l_orderkey") * 11) % 4000 - 100
     )
 
@@ -48,7 +54,8 @@ def trips_from_lineitem(lineitem: DataFrame, c: TripColumns = TRIP) -> DataFrame
     base = ts_literal(BASE_TS)
     off = _offset_s()
     price = F.col("l_extendedprice")
-    return rows.select(
+    mapped = rows.select(
+        F.col("l_partkey"),
         F.col("l_orderkey"),
         F.col("l_linenumber"),
         F.when(F.col("l_suppkey") % 10 == 0, F.lit(6))
@@ -78,6 +85,17 @@ def trips_from_lineitem(lineitem: DataFrame, c: TripColumns = TRIP) -> DataFrame
         (1 + F.col("l_partkey") % 40).cast("int").alias(c.pickup_loc),
         (1 + F.col("l_suppkey") % 25).cast("int").alias(c.dropoff_loc),
     )
+    return _with_planted(mapped, c).drop("l_partkey")
+
+
+def _with_planted(df: DataFrame, c: TripColumns) -> DataFrame:
+    rest = F.col("l_partkey") % PLANT_EVERY
+    out = {}
+    for k, (name, value) in PLANTED.items():
+        column = getattr(c, name)
+        kept = out.get(column, F.col(column))
+        out[column] = F.when(rest == k, F.lit(value).cast(df.schema[column].dataType)).otherwise(kept)
+    return df.withColumns(out)
 
 
 def load_trips(spark: SparkSession, sf_dir: str, c: TripColumns = TRIP) -> DataFrame:

@@ -41,11 +41,11 @@ class Layout:
 
     @property
     def gold_time(self) -> str:
-        return self._join("gold", "aggregated_by_time")
+        return self._join("gold", "aggregated_by_time", self.dataset)
 
     @property
     def gold_vendor(self) -> str:
-        return self._join("gold", "aggregated_by_vendor")
+        return self._join("gold", "aggregated_by_vendor", self.dataset)
 
     @property
     def reports(self) -> str:
