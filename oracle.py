@@ -416,7 +416,13 @@ def build() -> dict[str, str]:
     q["land_stream"] = q["scan_trips"]
     q["land_report"] = _with(
         TRIPS,
-        "SELECT 'landed' AS status, count(*) AS rows_read, count(*) AS rows_written, 13 AS columns FROM trips",
+        "SELECT 'landed' AS status, count(*) AS rows_read, count(*) AS rows_written, 13 AS columns, "
+        "true AS same_schema FROM trips",
+    )
+    q["land_skip"] = _with(
+        TRIPS,
+        "SELECT 'skipped' AS status, CAST(NULL AS BIGINT) AS rows_read, count(*) AS rows_written, 13 AS columns, "
+        "true AS same_schema FROM trips",
     )
     # profile (bronze)
     q["profile_shape"] = _with(TRIPS, 'SELECT count(*) AS "rows", 13 AS columns FROM trips')
@@ -444,6 +450,17 @@ FROM (SELECT (SELECT count(*) FROM trips) AS "rows", (SELECT count(*) FROM (SELE
         )
     q["profile_ranges"] = _ranges()
     q["profile_quantiles"] = _quantiles()
+    with_nan = """, odd AS (SELECT CASE WHEN l_orderkey % 7 = 0 THEN 'NaN'::DOUBLE
+  WHEN l_orderkey % 7 = 1 THEN 'Infinity'::DOUBLE ELSE trip_distance END AS x FROM trips),
+num AS (SELECT x FROM odd WHERE NOT isnan(x))"""
+    q["profile_quantiles_nan"] = f"WITH {TRIPS}{with_nan}\n" + "\nUNION ALL ".join(
+        f"""SELECT 'trip_distance' AS "column", {p}::DOUBLE AS prob, quantile_disc(x, {p}) AS "value" FROM num"""
+        for p in QPROBS
+    )
+    q["iqr_bounds_nan"] = f"""WITH {TRIPS}{with_nan}
+SELECT 1 AS step, 'trip_distance' AS "column", 1.5::DOUBLE AS multiplier, q1, q3, q3 - q1 AS iqr,
+  q1 - 1.5::DOUBLE * (q3 - q1) AS lower, q3 + 1.5::DOUBLE * (q3 - q1) AS upper
+FROM (SELECT quantile_disc(x, 0.25) AS q1, quantile_disc(x, 0.75) AS q3 FROM num)"""
     q["profile_out_of_month"] = _with(TRIPS, f'SELECT count(*) FILTER (WHERE {OUT_OF_MONTH}) AS "rows" FROM trips')
     q["profile_issues"] = _issues()
     q["profile_fare_histogram"] = _histogram()
@@ -467,6 +484,9 @@ FROM (SELECT (SELECT count(*) FROM trips) AS "rows", (SELECT count(*) FROM (SELE
     q["clean_required"] = _with(CLEAN_CTES, "SELECT * FROM req")
     q["clean_rules"] = _with(CLEAN_CTES, "SELECT * FROM rng")
     q["clean_time_window"] = _with(CLEAN_CTES, "SELECT * FROM tw")
+    q["clean_time_window_feb"] = q["clean_time_window"].replace("'2026-02-01", "'2026-03-01").replace(
+        "'2026-01-01", "'2026-02-01"
+    )
     q["clean_funnel"] = _funnel()
     q["clean_rejects"] = _rejects()
     # outliers
@@ -484,6 +504,7 @@ FROM (SELECT (SELECT count(*) FROM trips) AS "rows", (SELECT count(*) FROM (SELE
     # gold
     for key, body in GOLD.items():
         q[key] = f"WITH {_silver_ctes()}\n{body}"
+    q["gold_by_date_single"] = q["gold_by_date"]
     # reports
     q["report_layers"] = f"""WITH {_silver_ctes()}
 SELECT original_rows, cleaned_rows, original_rows - cleaned_rows AS removed,

@@ -24,8 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.operators.quantile_select import DEFAULT_ACCURACY, QuantileTarget, column_ranges, exact_quantiles
-from tripflow.sources.io import local_frame
+from tripflow.functions.expr import quoted
+from tripflow.operators.quantile_select import (
+    DEFAULT_ACCURACY,
+    QuantileTarget,
+    column_ranges,
+    double_sql,
+    exact_quantiles,
+)
+from tripflow.sources.io import local_frame, small_result
 
 QUARTILES = (0.25, 0.75)
 
@@ -54,7 +61,7 @@ class Bounds:
         if self.lower is None:
             return "TRUE"
         x = "`" + self.column.replace("`", "``") + "`"
-        return f"({x} >= {float(self.lower)!r}D AND {x} <= {float(self.upper)!r}D)"
+        return f"({x} >= {double_sql(self.lower)} AND {x} <= {double_sql(self.upper)})"
 
     def keep(self) -> Column:
         # one JVM call per predicate (tuning builds dozens of them)
@@ -99,12 +106,14 @@ def _quartiles(
             for p in QUARTILES
         ]
         found = exact_quantiles(df, targets, accuracy=accuracy, ranges=ranges)
-        return {key: (found[(key, 0.25)], found[(key, 0.75)]) for key, _, _ in wanted}
+        as_float = lambda v: None if v is None else float(v)
+        return {key: tuple(as_float(found[(key, p)]) for p in QUARTILES) for key, _, _ in wanted}
     if method != "approx":
         raise ValueError("method must be 'exact' or 'approx'")
     aggs = []
     for i, (_, column, where) in enumerate(wanted):
-        x = F.col(column) if where is None else F.when(where, F.col(column))
+        x = quoted(column).cast("double")
+        x = F.when(~F.isnan(x) if where is None else where & ~F.isnan(x), x)  # NaN has no rank
         aggs.append(F.percentile_approx(x, list(QUARTILES), accuracy).alias(f"q{i}"))
     row = df.agg(*aggs).first()
     out = {}
@@ -260,6 +269,9 @@ def tuned_iqr_filter(
     """Evaluate, pick, and filter with the picked multiplier's bounds
     (found during evaluation; nothing is recomputed)."""
     tuning = iqr_candidates(df, columns, multipliers, method, accuracy)
+    # one row per multiplier: kept as a local frame, so that reading it
+    # again never counts again
+    tuning.table = small_result(tuning.table, len(tuning.multipliers))
     chosen = choose_multiplier(tuning.table, min_retain_ratio)
     out = df
     for b in tuning.bounds[chosen]:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.functions.expr import count_if, is_float_type
+from tripflow.functions.expr import count_if, is_float_type, quoted
 from tripflow.operators.quantile_select import DEFAULT_ACCURACY, QuantileTarget, exact_quantiles
 from tripflow.sources.io import local_frame, small_result
 
@@ -131,7 +131,7 @@ def duplicate_stats(df: DataFrame) -> DataFrame:
 
     One shuffle of the distinct rows; copies are pre-aggregated map-side.
     """
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    groups = df.groupBy(*map(quoted, df.columns)).agg(F.count(F.lit(1)).alias("_n"))
     return duplicate_stats_from_copies(groups, "_n")
 
 
@@ -207,6 +207,12 @@ QUANTILE_SCHEMA = T.StructType(
 )
 
 
+def _ranked(c: str) -> Column:
+    """What has a rank: NaN has none."""
+    x = quoted(c)
+    return F.when(~F.isnan(x.cast("double")), x)
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -223,7 +229,7 @@ def quantiles(
     """
     if method == "approx":
         row = df.agg(
-            *[F.percentile_approx(F.col(c), list(probs), accuracy).alias(f"q{i}") for i, c in enumerate(columns)]
+            *[F.percentile_approx(_ranked(c), list(probs), accuracy).alias(f"q{i}") for i, c in enumerate(columns)]
         )
         items = [
             F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"), F.col(f"q{i}")[j].cast("double").alias("value"))
@@ -233,7 +239,7 @@ def quantiles(
         return row.select(F.inline(F.array(*items)))
     targets = [QuantileTarget((c, float(p)), c, float(p)) for c in columns for p in probs]
     found = exact_quantiles(df, targets, accuracy=accuracy, ranges=ranges)
-    rows = [(c, float(p), found[(c, float(p))]) for c in columns for p in probs]
+    rows = [(c, float(p), None if (v := found[(c, float(p))]) is None else float(v)) for c in columns for p in probs]
     return local_frame(df.sparkSession, rows, QUANTILE_SCHEMA)
 
 
@@ -359,7 +365,7 @@ def bins_table(counts: DataFrame, mn: float, mx: float, bins: int, bin_col: str
     counts = counts.select(F.col(bin_col).alias("bin"), "count")
     b = F.col("bin")
     return (
-        all_bins.join(F.broadcast(counts), "bin", "left")
+        all_bins.join(counts, "bin", "left")
         .select(
             b,
             _edge(b, mn, mx, bins).alias("bin_lo"),

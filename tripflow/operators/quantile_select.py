@@ -13,17 +13,18 @@ hash aggregates instead:
    small rows.  The bucket index is monotone in the value, so walking the
    buckets gives the exact rank of every bucket edge; the target's window
    becomes the observed ``[min, max]`` of the bucket holding its rank;
-3. once a window holds at most ``collect_limit`` rows, a *window round*
-   collects its (value, count) histogram (a top-k, so never more than the
-   limit) and walks it to the rank.
+3. bucket rounds go on until the bucket that holds the rank has one
+   distinct value, at any number of rows.
 
 A bucket round always splits a window of two or more distinct values, so
-the search ends; on real data it takes one or two bucket rounds.  All
+the search ends: a round narrows a window of doubles by a factor of
+``B``, so a few rounds exhaust their 53 bits.  All
 targets advance together: targets sharing a column and window share one
 bucket job, and every round is a hash aggregate with map-side partial
 aggregation, so a value repeated by a third of all rows collapses in each
-task before the shuffle.  NaN sorts above +inf (as in Spark) and both
-infinities have their own buckets; nulls are ignored.
+task before the shuffle.  Nulls and NaN are ignored, and both infinities
+have their own buckets.  Integers and decimals are selected as what they
+are, so that large ones don't round to doubles.
 
 Rank follows the inverse-CDF ("discrete") definition: the smallest value
 whose cumulative count reaches ``max(1, ceil(p * n))``.
@@ -32,16 +33,17 @@ whose cumulative count reaches ``max(1, ceil(p * n))``.
 from __future__ import annotations
 
 import bisect
+import decimal
 import math
 from collections.abc import Hashable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BUCKETS = 4096
 DEFAULT_ACCURACY = 10_000  # sketch accuracy of the approximate method
-DEFAULT_COLLECT_LIMIT = 100_000
 
 
 @dataclass
@@ -54,10 +56,9 @@ class QuantileTarget:
     # search state
     n: int | None = None
     k: int | None = None
-    lo: float | None = None  # current window, finite, inclusive
-    hi: float | None = None
+    lo: object = None  # current window, finite, inclusive
+    hi: object = None
     below: int = 0  # rows of the target under the window
-    rows: int | None = None  # rows of the target inside the window
     value: float | None = None
     done: bool = False
 
@@ -79,16 +80,39 @@ def _q(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
-def _d(v: float) -> str:
-    """A finite float as an exact SQL double literal."""
-    return f"{float(v)!r}D"
+def double_sql(v: float) -> str:
+    """A double as an exact SQL literal, also NaN and infinities."""
+    v = float(v)
+    if v != v:
+        return "double('NaN')"
+    return f"double('{'-' if v < 0 else ''}Infinity')" if math.isinf(v) else f"{v!r}D"
 
 
-def _equal_width(x: str, lo: float, hi: float, buckets: int) -> str:
+_d = double_sql
+
+
+def _literal(v) -> str:
+    """A value of a column's own type as SQL."""
+    return double_sql(v) if isinstance(v, float) else f"CAST('{v}' AS DECIMAL(38,{_scale(v)}))"
+
+
+def _scale(v) -> int:
+    return max(0, -v.as_tuple().exponent) if isinstance(v, decimal.Decimal) else 0
+
+
+def _equal_width(x: str, lo, hi, buckets: int) -> str:
     """Bucket 0..B-1 of a finite ``x`` in ``[lo, hi]``; monotone in ``x``.
-    Halves keep ``hi - lo`` finite for any finite bounds."""
+    Halves keep ``hi - lo`` finite for any finite bounds.  Other types than
+    doubles are counted off in whole steps of their last place."""
     if lo == hi:
         return "0"
+    if not isinstance(lo, float):
+        places = max(_scale(lo), _scale(hi))
+        steps = int((decimal.Decimal(hi) - decimal.Decimal(lo)).scaleb(places)) + 1
+        wide = -(-steps // buckets)
+        unit = decimal.Decimal(1).scaleb(-places)
+        offset = f"CAST(({x} - {_literal(lo)}) / {_literal(unit)} AS DECIMAL(38,0))"
+        return f"CAST(floor({offset} / CAST('{wide}' AS DECIMAL(38,0))) AS INT)"
     if hi / 2 - lo / 2 > 0:
         scaled = f"(({x} / 2D - {_d(lo / 2)}) / {_d(hi / 2 - lo / 2)} * {buckets}D)"
     else:  # adjacent subnormal bounds: halving would round the width to 0
@@ -96,9 +120,20 @@ def _equal_width(x: str, lo: float, hi: float, buckets: int) -> str:
     return f"CAST(least(floor({scaled}), {buckets - 1}) AS INT)"
 
 
-def _in_range(column: str, lo: float, hi: float) -> str:
+def _in_range(column: str, lo, hi) -> str:
     c = _q(column)
-    return f"({c} >= {_d(lo)} AND {c} <= {_d(hi)})"
+    return f"({c} >= {_literal(lo)} AND {c} <= {_literal(hi)})"
+
+
+def _own(df: DataFrame, column: str) -> str:
+    """The column as SQL in the type it is selected in: doubles for floating
+    columns, else decimals that hold every value."""
+    kind = df.select(F.expr(_q(column))).schema[0].dataType
+    if isinstance(kind, T.DecimalType):
+        return f"CAST({_q(column)} AS DECIMAL(38,{kind.scale}))"
+    if isinstance(kind, T.IntegralType):
+        return f"CAST({_q(column)} AS DECIMAL(38,0))"
+    return f"CAST({_q(column)} AS DOUBLE)"
 
 
 @dataclass
@@ -106,18 +141,21 @@ class _Window:
     """One bucket job input: a column, its window and the targets in it."""
 
     column: str
-    lo: float | None  # None: the column's whole finite range (first round)
-    hi: float | None
+    value: str  # SQL of the column in its own type
+    lo: object  # None: the column's whole finite range (first round)
+    hi: object
     first: bool
     targets: list[QuantileTarget]
 
     def bucket(self, buckets: int) -> str:
-        x = f"CAST({_q(self.column)} AS DOUBLE)"
+        x = self.value
         if not self.first:
             return f"CASE WHEN {_in_range(self.column, self.lo, self.hi)} THEN {_equal_width(x, self.lo, self.hi, buckets)} END"
         finite = "CAST(NULL AS INT)" if self.lo is None else _equal_width(x, self.lo, self.hi, buckets)
+        if not x.endswith("AS DOUBLE)"):
+            return finite
         return (
-            f"CASE WHEN {x} IS NULL THEN CAST(NULL AS INT) WHEN isnan({x}) THEN {buckets + 1} "
+            f"CASE WHEN {x} IS NULL OR isnan({x}) THEN CAST(NULL AS INT) "
             f"WHEN {x} = double('inf') THEN {buckets} WHEN {x} = double('-inf') THEN -1 ELSE {finite} END"
         )
 
@@ -150,8 +188,8 @@ def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[floa
     a target's rows gives a valid first window."""
     aggs = []
     for i, c in enumerate(columns):
-        x = f"CAST({_q(c)} AS DOUBLE)"
-        fx = f"CASE WHEN NOT isnan({x}) AND abs({x}) != double('inf') THEN {x} END"
+        x = _own(df, c)
+        fx = f"CASE WHEN NOT isnan({x}) AND abs({x}) != double('inf') THEN {x} END" if "DOUBLE" in x else x
         aggs += [F.expr(f"min({fx})").alias(f"lo{i}"), F.expr(f"max({fx})").alias(f"hi{i}")]
     row = tuple(df.agg(*aggs).first())
     return {c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(columns)}
@@ -169,12 +207,12 @@ def _bucket_round(df: DataFrame, windows: Sequence[_Window], buckets: int) -> No
         w = windows[0]
         rows = base.where(F.expr(w.pushdown())).select(
             F.lit(0).alias("_w"), F.expr(w.bucket(buckets)).alias("_b"),
-            F.expr(f"CAST({_q(w.column)} AS DOUBLE)").alias("_x"), *[F.col(f) for f in fsql if f != "TRUE"],
+            F.expr(w.value).alias("_x"), *[F.col(f) for f in fsql if f != "TRUE"],
         )
     else:
         # a row may fall in several windows: one (window, bucket) pair each
         pairs = ", ".join(
-            f"named_struct('w', {i}, 'b', {w.bucket(buckets)}, 'x', CAST({_q(w.column)} AS DOUBLE))"
+            f"named_struct('w', {i}, 'b', {w.bucket(buckets)}, 'x', {w.value})"
             for i, w in enumerate(windows)
         )
         # only rows inside some window are expanded (after the first
@@ -218,63 +256,35 @@ def _bucket_round(df: DataFrame, windows: Sequence[_Window], buckets: int) -> No
             if pos == len(acc):  # cannot happen with exact counts
                 raise RuntimeError(f"quantile rank {t.k} of {t.column!r} not found in its window")
             seen = acc[pos - 1] if pos else 0
-            _enter_bucket(t, ordered[pos], seen, acc[pos] - seen, buckets)
+            _enter_bucket(t, ordered[pos], seen, buckets)
 
 
-def _enter_bucket(t: QuantileTarget, r: tuple, seen: int, count: int, buckets: int) -> None:
+def _enter_bucket(t: QuantileTarget, r: tuple, seen: int, buckets: int) -> None:
     b, mn, mx = r[1], r[2], r[3]
     if b == -1:
         t.value, t.done = float("-inf"), True
     elif b == buckets:
         t.value, t.done = float("inf"), True
-    elif b == buckets + 1:
-        t.value, t.done = float("nan"), True
     elif mn == mx:
-        t.value, t.done = float(mn), True
+        t.value, t.done = mn, True
     else:
-        t.lo, t.hi = float(mn), float(mx)
+        t.lo, t.hi = mn, mx
         t.below += seen
-        t.rows = count
 
 
-def _window_round(df: DataFrame, targets: Sequence[QuantileTarget], limit: int) -> None:
-    """One job per column: the (value, count) histogram of the targets'
-    windows, whose rows add up to at most ``limit`` (so do their values)."""
-    by_column: dict[str, list[QuantileTarget]] = {}
-    for t in targets:
-        by_column.setdefault(t.column, []).append(t)
-    for column, sub in by_column.items():
-        base, names = _with_filters(df, [column], sub)
-        preds = [f"({_in_range(column, t.lo, t.hi)} AND {names[t.filter_key()]})" for t in sub]
-        # each target's own filter too: only its rows (at most ``rows``) count
-        anyw = " OR ".join(dict.fromkeys(preds))
-        hist = [
-            tuple(r)
-            for r in base.where(F.expr(anyw))
-            .groupBy(F.col(column).alias("x"))
-            .agg(*[F.expr(f"count_if({p})").alias(f"c{j}") for j, p in enumerate(preds)])
-            .orderBy("x")
-            .limit(limit + 1)
-            .collect()
-        ]
-        if len(hist) > limit:  # cannot happen: windows hold at most ``limit`` rows
-            raise RuntimeError(f"quantile windows of {column!r} exceed {limit} values")
-        for j, t in enumerate(sub):
-            need, seen = t.k - t.below, 0
-            for r in hist:
-                seen += r[1 + j]
-                if seen >= need:
-                    t.value, t.done = float(r[0]), True
-                    break
-            else:
-                raise RuntimeError(f"quantile rank {t.k} of {column!r} not found in its window")
+def _rounds(df: DataFrame, windows: Sequence[_Window], buckets: int) -> None:
+    """One job for the windows of each type."""
+    by_type: dict[str, list[_Window]] = {}
+    for w in windows:
+        by_type.setdefault(w.value.rsplit(" AS ", 1)[1], []).append(w)
+    for same in by_type.values():
+        _bucket_round(df, same, buckets)
 
 
 def exact_quantiles(
     df: DataFrame,
     targets: Sequence[QuantileTarget],
     accuracy: int = DEFAULT_BUCKETS,
-    collect_limit: int = DEFAULT_COLLECT_LIMIT,
     max_rounds: int = 1000,
     ranges: dict[str, tuple[float | None, float | None]] | None = None,
 ) -> dict[Hashable, float | None]:
@@ -282,8 +292,8 @@ def exact_quantiles(
 
     ``accuracy`` is the number of buckets a round splits a window into
     (each bucket job returns at most that many rows per window).  Jobs:
-    one for the ranges, one per bucket round (usually one or two), one
-    per column for the final window histograms.  ``ranges`` (from
+    one for the ranges, one per bucket round.  Values of integer and
+    decimal columns come back as decimals.  ``ranges`` (from
     :func:`column_ranges`, possibly over a superset of the rows) saves the
     first job when several selections run over the same columns.
     """
@@ -292,43 +302,27 @@ def exact_quantiles(
         return {}
     buckets = max(2, int(accuracy))
     columns = list(dict.fromkeys(t.column for t in targets))
-    known = ranges or {}
+    value = {c: _own(df, c) for c in columns}
+    known = {c: r for c, r in (ranges or {}).items() if c in value and value[c].endswith("AS DOUBLE)")}
     missing = [c for c in columns if c not in known]
     ranges = {**known, **(column_ranges(df, missing) if missing else {})}
     first = []
     for c in columns:
         lo, hi = ranges[c]
         members = [t for t in targets if t.column == c]
-        first.append(_Window(c, None if lo is None else float(lo), None if hi is None else float(hi), True, members))
-    _bucket_round(df, first, buckets)
+        first.append(_Window(c, value[c], lo, hi, True, members))
+    _rounds(df, first, buckets)
     for _ in range(max_rounds):
         open_ = [t for t in targets if not t.done]
         if not open_:
             break
-        # windows small enough to collect, up to the limit per column
-        ready, room = [], {}
-        for t in sorted(open_, key=lambda t: t.rows):
-            used = room.get(t.column, 0)
-            if used + t.rows <= collect_limit:
-                ready.append(t)
-                room[t.column] = used + t.rows
-        if ready:
-            _window_round(df, ready, collect_limit)
-            continue
         windows: dict[tuple, _Window] = {}
         for t in open_:
             key = (t.column, t.lo, t.hi)
             if key not in windows:
-                windows[key] = _Window(t.column, t.lo, t.hi, False, [])
+                windows[key] = _Window(t.column, value[t.column], t.lo, t.hi, False, [])
             windows[key].targets.append(t)
-        _bucket_round(df, list(windows.values()), buckets)
+        _rounds(df, list(windows.values()), buckets)
     else:
         raise RuntimeError("quantile selection did not converge")
     return {t.key: t.value for t in targets}
-
-
-def approx_quantiles(
-    df: DataFrame, column: str, probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY
-) -> Column:
-    """Single-pass sketch (``percentile_approx``): rank error <= n / accuracy."""
-    return F.percentile_approx(F.col(column), list(probs), accuracy)

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.functions.expr import present
+from tripflow.functions.expr import present, quoted
 
 COPIES = "_copies"
 TAG = "_reject_step"
@@ -85,7 +85,7 @@ def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 
 def with_copies(df: DataFrame) -> DataFrame:
     """Distinct rows with their multiplicity in ``_copies`` (one shuffle)."""
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+    return df.groupBy(*map(quoted, df.columns)).agg(F.count(F.lit(1)).alias(COPIES))
 
 
 def first_failing_step(steps: Sequence[Step]) -> Column:
@@ -157,7 +157,7 @@ def rejects_from_tags(tagged: DataFrame, steps: Sequence[Step], dedupe_rows: boo
     funnel's ``removed``.
     """
     names = F.element_at(F.array(*[F.lit(s.name) for s in steps]), F.col(TAG))
-    data_cols = [c for c in tagged.columns if c not in (COPIES, TAG)]
+    data_cols = [quoted(c) for c in tagged.columns if c not in (COPIES, TAG)]
     entries = [
         F.when(F.col(TAG) > 0, F.struct(names.alias("reject_step"), F.lit(1).cast("bigint").alias("copies")))
     ]

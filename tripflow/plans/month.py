@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.columns import TRIP, TripColumns
+from tripflow.plans import specs
 from tripflow.plans.gold import build_gold, write_gold
 from tripflow.plans.profile_job import profile
 from tripflow.plans.report_job import report
@@ -38,20 +39,31 @@ def run_month(
     layout: Layout,
     c: TripColumns = TRIP,
     if_exists: str = "skip",
-    write_reports: bool = True,
+    year: int = specs.TARGET_YEAR,
+    month: int = specs.TARGET_MONTH,
+    keep_staged: bool = False,
 ) -> MonthRun:
     """Land ``source`` into ``layout`` (skipped when already landed unless
-    ``if_exists="replace"``), build silver and gold, and write the profile
-    figures, the cleaning funnel and the reports (all small) under
-    ``layout.reports``."""
+    ``if_exists="replace"``), build silver and gold of one month, and write
+    the profile figures, the cleaning funnel and the reports (all small)
+    under ``layout.reports``, from which they are read back.  The staged
+    copy of bronze is removed at the end."""
     landed = land(spark, source, layout.bronze, if_exists=if_exists)
-    bronze = spark.read.parquet(layout.bronze)
-    built = build_silver(bronze, target=layout.silver, c=c)
-    figures = profile(bronze, c, duplicates=built.duplicate_stats())
+    bronze = specs.check_trips(spark.read.parquet(layout.bronze), c)
+    built = build_silver(bronze, target=layout.silver, c=c, year=year, month=month)
+    figures = profile(bronze, c, duplicates=built.duplicate_stats(), year=year, month=month)
     paths = write_gold(build_gold(built.silver, c), layout)
     gold = {name: spark.read.parquet(path) for name, path in paths.items()}
     reports = {**report(bronze, built.silver, gold, c), "funnel": built.funnel(), "candidates": built.candidates}
-    if write_reports:
-        for name, frame in {**{f"profile_{k}": v for k, v in figures.items()}, **reports}.items():
-            write_layer(frame, f"{layout.reports}/{name}", files=1)
+
+    def kept(frames: dict[str, DataFrame], prefix: str = "") -> dict[str, DataFrame]:
+        out = {}
+        for name, frame in frames.items():
+            path = write_layer(frame, f"{layout.reports}/{prefix}{name}", files=1)
+            out[name] = spark.read.schema(frame.schema).parquet(path)
+        return out
+
+    figures, reports = kept(figures, "profile_"), kept(reports)
+    if not keep_staged:
+        built.discard()
     return MonthRun(landed, figures, built, gold, reports)

@@ -5,10 +5,10 @@ Plan (one shuffle for the whole job):
 
 1. ``tag``: whole-row dedupe as a hash aggregate that keeps each distinct
    row's multiplicity, and tags it with the first cleaning step it fails.
-   Written once to the shared scratch folder, partitioned by the tag.
+   Written once to the shared scratch folder, unsorted.
 2. ``tune``: quartiles for all candidate multipliers, read from the
-   staged rows that pass every step (partition pruning on the tag, and
-   only the three IQR columns are read).
+   staged rows that pass every step (the tag is a pushed filter, and only
+   it and the three IQR columns are read).
 3. ``write``: staged clean rows -> outlier bounds (literals) -> derived
    columns -> silver.
 4. The funnel and the rejected rows come from the staged table (two
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tripflow.columns import TRIP, TripColumns
 from tripflow.functions.features import add_features
-from tripflow.operators.outliers import Tuning, bounds_table, choose_multiplier, iqr_candidates
+from tripflow.operators.outliers import Tuning, bounds_table, tuned_iqr_filter
 from tripflow.operators.profile import duplicate_stats_from_copies
 from tripflow.operators.quantile_select import DEFAULT_ACCURACY
 from tripflow.operators.rules import (
@@ -36,14 +36,13 @@ from tripflow.operators.rules import (
     TAG,
     Rule,
     Step,
-    first_failing_step,
     funnel_from_tags,
     rejects_from_tags,
     tag_rows,
 )
 from tripflow.plans import specs
 from tripflow.session import scratch_path
-from tripflow.sources.io import small_result, write_layer
+from tripflow.sources.io import remove, write_layer
 
 
 @dataclass
@@ -51,6 +50,7 @@ class SilverBuild:
     silver: DataFrame
     path: str | None
     staged_path: str
+    staged: DataFrame
     steps: list[Step]
     tuning: Tuning
     multiplier: float
@@ -63,8 +63,13 @@ class SilverBuild:
     def bounds(self) -> DataFrame:
         return bounds_table(self.silver.sparkSession, self.tuning.bounds[self.multiplier])
 
+    @property
+    def passing(self) -> DataFrame:
+        """Distinct rows that pass every step before outlier removal."""
+        return passing(self.staged)
+
     def _retagged(self) -> DataFrame:
-        staged = self.silver.sparkSession.read.parquet(self.staged_path)
+        staged = self.staged
         outlier = self.steps[-1]
         tag = F.when((F.col(TAG) == 0) & ~outlier.passes(), F.lit(len(self.steps))).otherwise(F.col(TAG))
         return staged.withColumn(TAG, tag)
@@ -72,8 +77,12 @@ class SilverBuild:
     def duplicate_stats(self) -> DataFrame:
         """Whole-row duplicate figures of bronze from the staged copy
         counts (reads one column; no second dedupe shuffle)."""
-        staged = self.silver.sparkSession.read.parquet(self.staged_path)
-        return duplicate_stats_from_copies(staged, COPIES)
+        return duplicate_stats_from_copies(self.staged, COPIES)
+
+    def discard(self) -> None:
+        """Remove the staged table; funnel, rejects and duplicate figures
+        can't be read from this build afterwards."""
+        remove(self.staged.sparkSession, self.staged_path)
 
     def funnel(self) -> DataFrame:
         """(step, name, rows_in, rows_out, removed) for read, dedupe, each step."""
@@ -86,8 +95,13 @@ class SilverBuild:
 
 def stage_tagged(bronze: DataFrame, steps: Sequence[Step], path: str) -> DataFrame:
     """Distinct rows with multiplicity and first failing step, written once."""
-    write_layer(tag_rows(bronze, steps), path, partition_by=[TAG])
-    return bronze.sparkSession.read.parquet(path)
+    tagged = tag_rows(bronze, steps)
+    write_layer(tagged, path)
+    return bronze.sparkSession.read.schema(tagged.schema).parquet(path)
+
+
+def passing(staged: DataFrame) -> DataFrame:
+    return staged.filter(F.col(TAG) == 0).drop(TAG, COPIES)
 
 
 def build_silver(
@@ -108,27 +122,14 @@ def build_silver(
     steps = specs.cleaning_steps(bronze, c, year, month)
     staged_path = scratch_path(spark, "silver-staged")
     staged = stage_tagged(bronze, steps, staged_path)
-    passing = staged.filter(F.col(TAG) == 0).drop(TAG, COPIES)
-
     threshold = specs.min_retain_ratio() if min_retain_ratio is None else min_retain_ratio
-    tuning = iqr_candidates(passing, specs.iqr_columns(c), multipliers, method, accuracy)
-    # one row per multiplier: kept as a local frame so reading it again
-    # (report, pick) never re-runs the counting job
-    tuning.table = small_result(tuning.table, len(multipliers))
-    chosen = choose_multiplier(tuning.table, threshold)
+    kept, tuning, chosen = tuned_iqr_filter(
+        passing(staged), specs.iqr_columns(c), multipliers, threshold, method, accuracy
+    )
     outlier_rules = tuple(Rule(f"iqr {b.column}", b.keep(), "outlier") for b in tuning.bounds[chosen])
     all_steps = [*steps, Step("outliers", outlier_rules)]
-
-    kept = passing
-    for rule in outlier_rules:
-        kept = kept.filter(rule.keep)
     silver = add_features(kept, c)
     if target is not None:
         write_layer(silver, target, partition_by=partition_by)
-        silver = spark.read.parquet(target)
-    return SilverBuild(silver, target, staged_path, all_steps, tuning, chosen)
-
-
-def silver_from_tags(staged: DataFrame, steps: Sequence[Step]) -> DataFrame:
-    """Rows of a tagged table that pass every step (for reuse by callers)."""
-    return staged.filter(first_failing_step(steps) == 0)
+        silver = spark.read.schema(silver.schema).parquet(target)
+    return SilverBuild(silver, target, staged_path, staged, all_steps, tuning, chosen)

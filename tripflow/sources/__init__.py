@@ -2,12 +2,11 @@ from tripflow.sources.fixture import load_trips, trips_from_lineitem
 from tripflow.sources.io import (
     SchemaError,
     check_schema,
-    exists,
+    committed,
     land,
     local_frame,
-    preview,
     read_layer,
-    schema_table,
+    read_merged,
     small_result,
     verify_write,
     write_layer,
@@ -18,13 +17,12 @@ __all__ = [
     "Layout",
     "SchemaError",
     "check_schema",
-    "exists",
+    "committed",
     "land",
     "load_trips",
     "local_frame",
-    "preview",
     "read_layer",
-    "schema_table",
+    "read_merged",
     "small_result",
     "trips_from_lineitem",
     "verify_write",

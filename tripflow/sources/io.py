@@ -1,25 +1,26 @@
 """Parquet layer I/O: schema-checked reads, replacing writes, landing.
 
 Writes go through Spark's output committer, so a failed or retried task
-never leaves partial files visible; ``overwrite`` replaces the folder
-only when the job commits.
+never leaves partial files visible.  A replacing write goes to a folder
+beside the target, and takes the target's place only when it is committed:
+a failed write leaves the old layer as it was.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Type families a required column may have.
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-FLOATING = (T.FloatType, T.DoubleType, T.DecimalType)
 TIMESTAMP = (T.TimestampNTZType,)
-TIMESTAMP_ANY = (T.TimestampNTZType, T.TimestampType)
 
 
 class SchemaError(ValueError):
@@ -52,20 +53,37 @@ def read_layer(
     return check_schema(df, required) if required is not None else df
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet dataset."""
-    try:  # ask the file system first: a failed read is logged loudly
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        if not hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
-            return False
-    except AttributeError:  # no JVM gateway (e.g. a remote session): probe by reading
-        pass
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves files only
-        return True
-    except AnalysisException:
-        return False
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and the path in it."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a dataset whose write was committed: the
+    committer's marker, or a streaming sink's log, is there."""
+    fs, _ = _file_system(spark, path)
+    return any(fs.exists(_file_system(spark, f"{path}/{m}")[1]) for m in ("_SUCCESS", "_spark_metadata"))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
+def _switch(spark: SparkSession, new: str, path: str) -> None:
+    """``new`` takes the place of ``path``."""
+    fs, target = _file_system(spark, path)
+    old = _file_system(spark, f"{path}.old-{uuid.uuid4().hex[:8]}")[1]
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise IOError(f"{path}: cannot move the old data aside")
+    if not fs.rename(_file_system(spark, new)[1], target):
+        if had:
+            fs.rename(old, target)
+        raise IOError(f"{path}: cannot move the new data into place")
+    if had:
+        fs.delete(old, True)
 
 
 def write_layer(
@@ -75,35 +93,62 @@ def write_layer(
     mode: str = "overwrite",
     files: int | None = None,
     sort_within: Sequence[str] = (),
+    only_partitions: bool = False,
 ) -> str:
     """Write ``df`` as Parquet.
 
+    ``overwrite`` replaces all of ``path``, once the new data are written.
     ``files`` coalesces to that many output files (for small gold tables);
     large layers keep their partitioning.  With ``partition_by`` and
-    ``overwrite`` only the partitions present in ``df`` are replaced
+    ``only_partitions`` just the partitions present in ``df`` are replaced
     (dynamic partition overwrite), so re-running one month leaves the
     others alone.
     """
+    spark = df.sparkSession
     if files is not None:
         df = df.coalesce(files)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    if only_partitions:
+        if not partition_by:
+            raise ValueError("only_partitions needs partition_by")
+        writer.mode(mode).option("partitionOverwriteMode", "dynamic").parquet(path)
+        return path
+    fs, target = _file_system(spark, path)
+    if mode != "overwrite" or not fs.exists(target):
+        writer.mode(mode).parquet(path)
+        return path
+    new = f"{path}.new-{uuid.uuid4().hex[:8]}"
+    try:
+        writer.parquet(new)
+        _switch(spark, new, path)
+    finally:
+        remove(spark, new)
     return path
 
 
-def verify_write(spark: SparkSession, expected_rows: int, path: str) -> DataFrame:
-    """Read ``path`` back; raise if its row count differs from ``expected_rows``."""
+def verify_write(spark: SparkSession, expected: T.StructType, expected_rows: int, path: str) -> DataFrame:
+    """Read ``path`` back; raise if its columns, their types or its row
+    count differ from what was written."""
     back = spark.read.parquet(path)
+    want = sorted((f.name, f.dataType.simpleString()) for f in expected.fields)
+    have = sorted((f.name, f.dataType.simpleString()) for f in back.schema.fields)
+    if expected_rows and want != have:
+        raise IOError(f"{path}: wrote columns {want}, read back {have}")
     rows = back.count()  # Parquet footers: no data pages are read
     if rows != expected_rows:
         raise IOError(f"{path}: wrote {expected_rows} rows, read back {rows}")
     return back
 
 
+def read_merged(spark: SparkSession, source: str) -> DataFrame:
+    """All files of ``source`` under one schema: a column that only some
+    files have is null in the others; clashing types raise.  The footers
+    are read by a Spark job."""
+    return spark.read.option("mergeSchema", "true").parquet(source)
+
+
 LAND_SCHEMA = T.StructType(
     [
         T.StructField("target", T.StringType(), False),
@@ -111,6 +156,7 @@ LAND_SCHEMA = T.StructType(
         T.StructField("rows_read", T.LongType(), True),
         T.StructField("rows_written", T.LongType(), False),
         T.StructField("columns", T.IntegerType(), False),
+        T.StructField("same_schema", T.BooleanType(), False),
     ]
 )
 
@@ -125,20 +171,23 @@ def land(
 ) -> DataFrame:
     """Land raw data into the bronze layer and verify it.
 
-    ``if_exists="skip"`` leaves an existing target untouched (status
-    ``skipped``); ``"replace"`` rewrites it.  ``files`` spreads the rows
+    Files that differ in their columns are landed under the union of them.
+    ``if_exists="skip"`` leaves a committed target untouched (status
+    ``skipped``) and replaces any other; ``"replace"`` always rewrites.
+    The new data are verified beside the target, rows, columns and types,
+    before they take its place.  ``files`` spreads the rows
     evenly over that many files (a round-robin shuffle: only worth it when
     the source arrives as a few large unsplittable files).  The report has
     one row: target, status, rows read from the source, rows read back,
-    columns.
+    columns, whether columns and types read back are those written.
     """
     if if_exists not in ("skip", "replace"):
         raise ValueError("if_exists must be 'skip' or 'replace'")
-    if if_exists == "skip" and exists(spark, target):
+    if if_exists == "skip" and committed(spark, target):
         back = spark.read.parquet(target)
-        row = (target, "skipped", None, back.count(), len(back.columns))
+        row = (target, "skipped", None, back.count(), len(back.columns), True)
         return local_frame(spark, [row], LAND_SCHEMA)
-    src = spark.read.parquet(source) if isinstance(source, str) else source
+    src = read_merged(spark, source) if isinstance(source, str) else source
     if files:
         src = src.repartition(files)
     # Count the rows as they are written: the observed metric sits in the
@@ -146,54 +195,28 @@ def land(
     # update exactly once even when tasks are retried, so the source is
     # not read a second time just to be counted.
     seen = Observation("land")
-    write_layer(src.observe(seen, F.count(F.lit(1)).alias("rows")), target, partition_by=partition_by)
-    read = int(seen.get["rows"])
-    back = spark.read.parquet(target)
-    written = back.count()  # Parquet footers only
-    if read != written:
-        raise IOError(f"{target}: source has {read} rows, landed {written}")
-    return local_frame(spark, [(target, "landed", read, written, len(back.columns))], LAND_SCHEMA)
-
-
-def _sql_literal(value, dtype: T.DataType) -> str | None:
-    """``value`` as an exactly typed SQL literal; None when not rendered."""
-    t = dtype.simpleString()
-    if value is None:
-        return f"CAST(NULL AS {t})"
-    if isinstance(dtype, T.BooleanType):
-        return "TRUE" if value else "FALSE"
-    if isinstance(dtype, INTEGRAL):
-        return f"CAST({int(value)} AS {t})"
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        v = float(value)
-        text = f"'{v!r}'" if v != v or v in (float("inf"), float("-inf")) else f"{v!r}D"
-        return f"CAST({text.replace('nan', 'NaN').replace('inf', 'Infinity')} AS {t})"
-    if isinstance(dtype, T.DecimalType):
-        return f"CAST('{value}' AS {t})"
-    if isinstance(dtype, T.StringType):
-        return f"CAST(X'{str(value).encode('utf-8').hex()}' AS STRING)"
-    if isinstance(dtype, T.DateType):
-        return f"DATE'{value.isoformat()}'"
-    if isinstance(dtype, T.TimestampNTZType):
-        return f"CAST('{value.isoformat(sep=' ')}' AS TIMESTAMP_NTZ)"
-    return None
+    beside = f"{target}.new-{uuid.uuid4().hex[:8]}"
+    try:
+        write_layer(src.observe(seen, F.count(F.lit(1)).alias("rows")), beside, partition_by=partition_by)
+        read = int(seen.get["rows"])
+        back = verify_write(spark, src.schema, read, beside)
+        row = (target, "landed", read, back.count(), len(back.columns), True)
+        _switch(spark, beside, target)
+    finally:
+        remove(spark, beside)
+    return local_frame(spark, [row], LAND_SCHEMA)
 
 
 def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
     """A few driver-side rows as a frame.
 
-    Written as a SQL ``VALUES`` table, it is a ``LocalRelation``: reading
-    it runs no Spark job (``createDataFrame`` of a list parallelises it,
-    and every action on it launches jobs).  Types it does not render fall
-    back to ``createDataFrame``.
+    Made from an Arrow table, it is a local relation: reading it runs no
+    Spark job.
     """
-    rows = [tuple(r) for r in rows]
-    rendered = [[_sql_literal(v, f.dataType) for v, f in zip(r, schema.fields)] for r in rows]
-    if not rows or any(v is None for r in rendered for v in r):
-        return spark.createDataFrame(rows, schema)
-    names = ", ".join("`" + f.name.replace("`", "``") + "`" for f in schema.fields)
-    values = ", ".join("(" + ", ".join(r) + ")" for r in rendered)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema.fields)
+    arrow = to_arrow_schema(schema)
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+    return spark.createDataFrame(table, schema)
 
 
 def small_result(df: DataFrame, max_rows: int) -> DataFrame:
@@ -208,26 +231,3 @@ def small_result(df: DataFrame, max_rows: int) -> DataFrame:
     if len(rows) > max_rows:
         raise ValueError(f"expected at most {max_rows} rows, got more")
     return local_frame(df.sparkSession, rows, df.schema)
-
-
-SCHEMA_TABLE = T.StructType(
-    [
-        T.StructField("position", T.IntegerType(), False),
-        T.StructField("column", T.StringType(), False),
-        T.StructField("type", T.StringType(), False),
-        T.StructField("nullable", T.BooleanType(), False),
-    ]
-)
-
-
-def schema_table(df: DataFrame) -> DataFrame:
-    """The schema as rows: position, column, type, nullable."""
-    spark = df.sparkSession
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return local_frame(spark, rows, SCHEMA_TABLE)
-
-
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """First ``n`` rows (a bounded fetch; never the whole table)."""
-    return df.limit(n)
-

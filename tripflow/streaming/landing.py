@@ -14,12 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tripflow.sources.io import exists, local_frame
+from tripflow.sources.io import SchemaError, committed, local_frame, read_merged
 
 REPORT_SCHEMA = T.StructType(
     [
         T.StructField("status", T.StringType(), False),
-        T.StructField("batches", T.IntegerType(), False),
         T.StructField("rows_read", T.LongType(), False),
     ]
 )
@@ -35,14 +34,21 @@ def land_incrementally(
 ) -> DataFrame:
     """Land the files of ``source_dir`` not landed before; one-row report.
 
-    ``schema`` defaults to the schema of the files present now (streaming
-    sources need it fixed up front).
+    ``schema`` defaults to the union of the present files' columns, or the
+    target's once it has data (a stream's schema is fixed).  A file with a
+    column beyond it raises before anything is landed: pass the wider
+    schema, with a new checkpoint, to take it in.
     """
-    schema = schema or spark.read.parquet(source_dir).schema
-    # rows are counted on the target (its sink log lists committed files
-    # only), not summed from the query's progress, which keeps only the
-    # last 100 micro-batches
-    before = spark.read.parquet(target).count() if exists(spark, target) else 0
+    present = read_merged(spark, source_dir).schema
+    landed_before = committed(spark, target)
+    before = spark.read.parquet(target) if landed_before else None
+    schema = schema or (before.schema if landed_before and before.columns else present)
+    beyond = sorted(set(present.names) - set(schema.names))
+    if beyond:
+        raise SchemaError(f"{source_dir}: files have columns that the stream's schema lacks: {beyond}")
+    # files committed before (from the sink's log); only files added by
+    # this run are counted, by their footers
+    old_files = set(before.inputFiles()) if landed_before else set()
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -57,7 +63,6 @@ def land_incrementally(
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"landing failed: {query.exception()}")
-    rows = (spark.read.parquet(target).count() if exists(spark, target) else 0) - before
-    batches = sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)  # up to 100
-    status = "landed" if rows else "up to date"
-    return local_frame(spark, [(status, batches, rows)], REPORT_SCHEMA)
+    added = set(spark.read.schema(schema).parquet(target).inputFiles()) - old_files if committed(spark, target) else ()
+    rows = spark.read.schema(schema).parquet(*sorted(added)).count() if added else 0
+    return local_frame(spark, [("landed" if rows else "up to date", rows)], REPORT_SCHEMA)
