@@ -41,6 +41,9 @@ BUCKETS = 256_000
 SMOOTHING = 0.5
 SIGMA = 3.0
 SEED = 17
+#: Labelled documents that the target model is fitted to; of more, those
+#: whose ids hash lowest.  Their ids (and nothing else) are broadcast.
+MAX_TARGET = 50_000
 
 
 def ngram_buckets(words: np.ndarray, at: np.ndarray, shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,13 +179,12 @@ def resample(
         .groupBy(col(id_col).alias("id"))
         .agg(F.min(F.coalesce(F.expr(target), F.lit(False))).alias("is_target"))
     )
-    rows = df.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
-    return _resampled(df, rows, known, id_col, text_col, seed)
-
-
-def _resampled(df, rows, known, id_col, text_col, seed) -> DataFrame:
     ship_package(df.sparkSession)
-    marked = rows.join(known, "id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    rows = df.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
+    chosen = known.where("is_target").orderBy(F.xxhash64("id"), "id").limit(MAX_TARGET)
+    marked = rows.join(F.broadcast(chosen), "id", "left").select(
+        "text", F.coalesce("is_target", F.lit(False)).alias("is_target")
+    )
     ratios = log_ratios(_counts(marked))
     weighed = stage(log_weights(df, id_col, text_col, ratios, seed), "log-weights")
     n = weighed.count()
