@@ -23,7 +23,7 @@ class Layout:
 
     @classmethod
     def from_env(cls, default: str | None = None, dataset: str = "trips") -> "Layout":
-        base = os.environ.get(BASE_ENV) or default
+        base = default or os.environ.get(BASE_ENV)
         if not base:
             raise ValueError(f"no base given and {BASE_ENV} is unset")
         return cls(base, dataset)
