@@ -18,7 +18,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 GOOD = "quality = 1 and toxic = 0"
 DOMAIN = "case when toxic = 1 then 'toxic' when quality = 0 then 'low' else 'good' end"
-MIX = {"good": 0.996, "low": 0.002, "toxic": 0.002}
+MIX = {"good": 0.985, "low": 0.005, "toxic": 0.01}
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,11 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tripflow.llm.common import col, ship_package, text_of
-from tripflow.llm.encoders import MEMO_UNIT_CHARS, MEMO_UNITS, encoder
+from tripflow.llm.encoders import encoder
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 
+#: Units whose counts a worker keeps, and their longest.
+MEMO_UNITS = 300_000
+MEMO_UNIT_CHARS = 64
+
 
 def pieces_of_model(path: str) -> list[tuple[str, float]]:
     """(piece, score) of a sentencepiece file: its pieces, the unknown piece
