@@ -75,8 +75,8 @@ def test_land_skip_and_replace(spark, tmp_path):
 
 
 def test_layout_paths():
-    lay = Layout("hdfs://nn:9000/taxi", "2026_01")
-    assert lay.bronze == "hdfs://nn:9000/taxi/bronze/raw/2026_01"
+    lay = Layout("hdfs://nn:9000/lake", "2026_01")
+    assert lay.bronze == "hdfs://nn:9000/lake/bronze/raw/2026_01"
     assert lay.gold("by_hour").endswith("gold/aggregated_by_time/2026_01/by_hour")
     assert lay.gold("by_route_top50").endswith("gold/aggregated_by_vendor/2026_01/by_route_top50")
     with pytest.raises(KeyError):

@@ -54,7 +54,8 @@ def get_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master  # local-cluster[...] has executors of its own
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_root(spark: SparkSession) -> str:
