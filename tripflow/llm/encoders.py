@@ -12,11 +12,9 @@ below can't be shown to encode alike:
   whether its own joins are merges.  The few tokens for which they aren't
   are listed when the file is loaded, and a text with such a token goes to
   ``tokenizers``.
-* Texts with characters from U+0370 on (U+0300 on where the tokenizer
-  normalises), or with a special token's string, go there as well, so
-  Unicode versions don't matter.
-* ``WordEncoder`` keeps the ids of white-space separated units, for
-  tokenizers that drop white space: nothing they do looks across it.
+* Texts with characters from U+0370 on (U+0100 on for ``WordEncoder``,
+  whose tokenizer normalises), or with a special token's string, go there
+  as well, so Unicode versions don't matter.
 """
 
 from __future__ import annotations
@@ -24,18 +22,13 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
 
 import numpy as np
 
 # White space as the tokenizers see it is Python's \s without \x1c-\x1f.
 _UNIT = re.compile(r"[\S\x1c-\x1f]+")
-_FROM_0300 = re.compile("[^\x00-˿]")
 _FROM_0370 = re.compile("[^\x00-ͯ]")
 
-MEMO_UNITS = 600_000
-MEMO_UNIT_CHARS = 64
-
 _loaded: dict[str, object] = {}
 
 
@@ -169,91 +162,70 @@ class ByteEncoder:
 
 class WordEncoder:
     """A tokenizer that drops white space: ids of texts as bytes of
-    little-endian unsigned integers."""
+    little-endian unsigned integers.
+
+    Texts of Latin-1 characters are cut into words here and merged by rank;
+    others are taken unit by unit, and only units with other characters go
+    to the library.
+    """
 
+    # Fixed value: the file's word pattern.
     _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str, dtype: str = "<u4"):
-        import regex
+    _LETTERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff"
+    _NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+    #: The same, for lower-case Latin-1 text without \x1c-\x1f.
+    _WORDS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
+    _OTHER = re.compile("[^\x00-\xff]|[\x00\x1c-\x1f]")
 
+    def __init__(self, path: str, dtype: str = "<u4"):
         spec = _spec(path)
         self.tok, self.dtype = load_tokenizer(path), np.dtype(dtype)
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = [t["content"].lower() for t in spec["added_tokens"]]
         first = ((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
         self.merger = None
         if first.get("pattern", {}).get("Regex") == self._PATTERN and spec["model"].get("end_of_word_suffix"):
             self.merger = RankMerger(spec, r"[^\x00]*\x00", b"\x00")
-            self.between = self.merger.ranks[b"\n\x00"]  # no word has a line feed
-        self.words = regex.compile(self._PATTERN + r"|\n")
-        self.memo: dict[str, bytes] = {}
+            self.ids = self.merger.ids.astype(self.dtype)
+            self.doubtful = self.merger.odd | self.merger.unknown
+
+    def _fast(self, text: str) -> bytes | None:
+        """ids of a text, or None where they aren't sure to be right."""
+        lower = text.lower()
+        if self._OTHER.search(lower) or ("<|" in lower and any(x in lower for x in self.special)):
+            return None
+        words = self._WORDS.findall(lower)
+        if not words:
+            return b""
+        ranks = self.merger.merge("\x00".join(words) + "\x00")
+        if self.doubtful[ranks].any():
+            return None
+        return self.ids[ranks].tobytes()
 
     def _by_library(self, units: list[str]) -> list[bytes]:
         fast = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
         return [np.array(e.ids, self.dtype).tobytes() for e in fast(units, add_special_tokens=False)]
 
-    def _encode_units(self, units: list[str]) -> list[bytes]:
-        if not self.merger or not units:
-            return self._by_library(units)
-        lower = "\n".join(units).lower().split("\n")
-        plain = [
-            not (_FROM_0300.search(s) or "\x00" in s or ("<|" in s and any(x in s for x in self.special)))
-            for s in lower
-        ]
-        out: list[bytes | None] = [None] * len(units)
-        easy = [i for i, ok in enumerate(plain) if ok]
-        if easy:
-            words = self.words.findall("\n".join(lower[i] for i in easy) + "\n")
-            ranks = self.merger.merge("\x00".join(words) + "\x00")
-            ids = self.merger.ids[ranks].astype(self.dtype)
-            size, raw = self.dtype.itemsize, ids.tobytes()
-            bad = np.concatenate([[0], np.cumsum(self.merger.odd[ranks] | self.merger.unknown[ranks])])
-            ends = np.flatnonzero(ranks == self.between)
-            begins = np.concatenate([[0], ends[:-1] + 1])
-            sound = bad[begins] == bad[ends]
-            for i, a, b, good in zip(easy, begins.tolist(), ends.tolist(), sound.tolist(), strict=True):
-                if good:
-                    out[i] = raw[a * size : b * size]
+    def _by_units(self, text: str) -> bytes:
+        units = _UNIT.findall(text)
+        out = [self._fast(u) for u in units]
         rest = [i for i, x in enumerate(out) if x is None]
-        if rest:
-            for i, x in zip(rest, self._by_library([units[i] for i in rest]), strict=True):
-                out[i] = x
-        return out
+        for i, x in zip(rest, self._by_library([units[i] for i in rest]), strict=True):
+            out[i] = x
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_UNIT.findall(t) for t in texts]
-        seen: set[str] = set()
-        for units in split:
-            seen.update(units)
-        if len(self.memo) + len(seen) > MEMO_UNITS:
-            self.memo.clear()
-        known = self.memo
-        new = [u for u in seen if u not in known]
-        known.update(zip(new, self._encode_units(new), strict=True))
-        out = [b"".join(map(known.__getitem__, units)) for units in split]
-        for unit in new:
-            if len(unit) > MEMO_UNIT_CHARS:
-                del known[unit]
-        return out
+        if not self.merger:
+            return self._by_library(texts)
+        return [self._by_units(t) if (x := self._fast(t)) is None else x for t in texts]
 
 
 _encoders: dict[tuple, object] = {}
 
 
 def encoder(kind: type, *args):
-    """One encoder, and so one memo, per worker process."""
+    """One encoder per worker process."""
     key = (kind, *args)
     if key not in _encoders:
         _encoders[key] = kind(*args)
     return _encoders[key]
-
-
-def text_groups(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Index ranges of consecutive texts of about so many characters."""
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= chars:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)

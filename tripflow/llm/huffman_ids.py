@@ -33,13 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.llm.common import col, ship_package, text_of
-from tripflow.llm.encoders import WordEncoder, encoder, text_groups
+from tripflow.llm.encoders import WordEncoder, encoder
 from tripflow.session import scratch_path
 
 LIMIT = 16
 STRIDE = 64
 BLOCK_IDS = 1 << 16
 SHARD_BYTES = 64 << 20
+SLICE = 256  # rows taken up at a time
 
 
 # --- the code
@@ -141,22 +142,32 @@ def _concat(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 def encoded_ids(df: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
     """id, ids: the whole text's ids and the end id, as bytes in two planes
     (low bytes, then high bytes of unsigned 16-bit integers), which pack
-    better in Parquet."""
+    better in Parquet.  Each task adds a row without ids that holds its
+    ``tally``: how often it has written each id."""
     ship_package(df.sparkSession)
     rows = df.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
-    out = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("ids", T.BinaryType())])
+    out = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("ids", T.BinaryType()), T.StructField("tally", T.BinaryType())])
     end = np.array([end_id], "<u2").tobytes()
 
     def encode(batches):
         enc = encoder(WordEncoder, path, "<u2")
+        tally = np.zeros(1 << 16, np.int64)
+        arrow = None
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for first, last in text_groups(texts):
-                planes = [
-                    np.frombuffer(x + end, np.uint8).reshape(-1, 2).T.tobytes() for x in enc.encode(texts[first:last])
-                ]
-                ids = batch.column(0).slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(planes, pa.binary())], ["id", "ids"])
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                coded = enc.encode(part.column(1).to_pylist())
+                tally += np.bincount(np.frombuffer(b"".join(coded) + end * len(coded), "<u2"), minlength=1 << 16)
+                planes = [np.frombuffer(x + end, np.uint8).reshape(-1, 2).T.tobytes() for x in coded]
+                arrow = part.column(0).type
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(planes, pa.binary()), pa.nulls(len(planes), pa.binary())], out.fieldNames()
+                )
+        if arrow is not None:
+            packed = zlib.compress(tally.tobytes(), 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, arrow), pa.nulls(1, pa.binary()), pa.array([packed], pa.binary())], out.fieldNames()
+            )
 
     return rows.mapInArrow(encode, out)
 
@@ -166,18 +177,20 @@ def _from_planes(raw: bytes) -> np.ndarray:
     return both[0] | (both[1] << 8)
 
 
-def id_counts(coded: DataFrame, size: int) -> np.ndarray:
-    """How often each id occurs: one row per id reaches the driver."""
+def id_counts(coded: DataFrame) -> np.ndarray:
+    """How often each id occurs, from the tasks' tallies: one row per id
+    reaches the driver."""
+    size = 1 << 16
 
     def count(batches):
         total = np.zeros(size, np.int64)
         for batch in batches:
             for raw in batch.column(0):
-                total += np.bincount(_from_planes(raw.as_py()), minlength=size)
+                total += np.frombuffer(zlib.decompress(raw.as_py()), np.int64)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["token", "n"])
 
-    found = coded.select("ids").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    found = coded.where("tally is not null").select("tally").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     out = np.zeros(size, np.int64)
     for r in found.collect():
         out[r["token"]] = r["n"]
@@ -200,7 +213,8 @@ def write_ids(df: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
     coded = spark.read.schema(coded.schema).parquet(path)
     id_type = coded.schema["id"].dataType
 
-    total = id_counts(coded, 1 << 16)
+    total = id_counts(coded)
+    coded = coded.where("ids is not null").select("id", "ids")
     lengths = code_lengths(total)
     used = np.flatnonzero(lengths)
     code = spark.createDataFrame([(int(s), int(lengths[s])) for s in used], "token int, bits int")
@@ -230,7 +244,7 @@ def write_ids(df: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
     def to_bits(batches):
         lengths, bounds = rule.value
         coder = Coder(lengths)
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             shard, counts, bits, marks = [], [], [], []
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = _from_planes(raw.as_py())
