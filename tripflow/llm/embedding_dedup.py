@@ -51,6 +51,7 @@ SAMPLE_BYTES = 16 << 20
 RADII = (1.0, 0.5, 0.25, 0.125)
 SLACK = 1e-7  # of distances, so that rounding never decides a bound
 TILE = 1024
+KEPT_TREES = 6
 
 
 def unit_rows(raw: np.ndarray) -> np.ndarray:
@@ -417,16 +418,21 @@ def _block_links(points: DataFrame, anchors: dict[int, np.ndarray], cosine: floa
 
     def traverse(batches):
         out = ["node", "other", "links"]
-        last_key, last = None, None
+        grown: dict[tuple[int, int], tuple] = {}  # the last few blocks' trees
+
+        def block(batch, i, side):
+            key = (batch.column(side)[i].as_py(), batch.column(f"block_{side}")[i].as_py())
+            if key not in grown:
+                if len(grown) >= KEPT_TREES:
+                    grown.pop(next(iter(grown)))
+                grown[key] = tree(*(batch.column(f"{c}_{side}")[i].as_py() for c in ("nodes", "copies", "vectors")))
+            return key, grown[key]
+
         for batch in batches:
             for i in range(batch.num_rows):
-                get = lambda c: batch.column(c)[i].as_py()  # noqa: B023, E731
-                key = (get("a"), get("block_a"))
-                if key != last_key:
-                    last_key, last = key, tree(get("nodes_a"), get("copies_a"), get("vectors_a"))
-                names_a, copies_a, tree_a = last
-                same = key == (get("b"), get("block_b"))
-                names_b, copies_b, tree_b = last if same else tree(get("nodes_b"), get("copies_b"), get("vectors_b"))
+                key_a, (names_a, copies_a, tree_a) = block(batch, i, "a")
+                key_b, (names_b, copies_b, tree_b) = block(batch, i, "b")
+                same = key_a == key_b
                 found = Links(tree_a, tree_b, same, copies_a, copies_b, cosine).run()
                 rows = [(names_a[k], None, int(found.count_a[k])) for k in np.flatnonzero(found.count_a)]
                 if not same:
