@@ -13,11 +13,19 @@ import tripflow
 from tripflow.session import scratch_path
 
 _SHIPPED = "tripflow-package.zip"
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1024
 
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package's sources to the executors (once per application),
-    so that functions running in tasks can be imported there."""
+    so that functions running in tasks can be imported there.
+
+    Also takes Arrow batches down from Spark's default of 10,000 rows: rows
+    here are whole texts, and a batch is held on both sides of the pipe.
+    """
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
     sc = spark.sparkContext
     if any(f.endswith(_SHIPPED) for f in sc.listFiles):
         return
