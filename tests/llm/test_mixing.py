@@ -34,6 +34,12 @@ def test_fitted_rates_meet_reachable_targets(spark, want):
     assert np.abs((rate * n) @ p - target).max() < (1e-3 if want[2] else 0.05) * start
 
 
+def test_mix_weights_are_those_first_set():
+    from tripflow.llm.queries import MIX
+
+    assert MIX == {"good": 0.996, "low": 0.002, "toxic": 0.002} and X.TOLERANCE == 1e-7
+
+
 def corpus(seed, n):
     rng = random.Random(seed)
     vocab = {k: ["".join(rng.choice(c) for _ in range(5)) for _ in range(120)] for k, c in (("x", "abcde"), ("y", "fghij"), ("z", "klmno"))}

@@ -45,7 +45,7 @@ BUCKETS = (1 << 17) + (1 << 13)
 STEPS = 120
 RIDGE = 1e-3
 MAX_ROUNDS = 60
-TOLERANCE = 1e-6
+TOLERANCE = 1e-7
 SEED = 29
 
 
