@@ -34,6 +34,47 @@ def test_fitted_rates_meet_reachable_targets(spark, want):
     assert np.abs((rate * n) @ p - target).max() < (1e-3 if want[2] else 0.05) * start
 
 
+def nnls(a, b):
+    """Non-negative least squares by Lawson and Hanson."""
+    x, on = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
+    slope = a.T @ b
+    least = 1e-13 * np.abs(slope).max()
+    while not on.all() and slope[~on].max() > least:
+        on[np.argmax(np.where(on, -np.inf, slope))] = True
+        while True:
+            s = np.zeros_like(x)
+            s[on] = np.linalg.lstsq(a[:, on], b, rcond=None)[0]
+            bad = on & (s <= 0)
+            if not bad.any():
+                break
+            x = x + (x[bad] / (x[bad] - s[bad])).min() * (s - x)
+            on &= x > 1e-14 * x.max()
+        x, slope = s, a.T @ (b - a @ s)
+    return x
+
+
+@pytest.mark.parametrize("want", [(0.5, 0.3, 0.2), (0.9, 0.05, 0.05), (0.98, 0.02, 0.0)])
+@pytest.mark.parametrize("soft", [0.0, 0.4])  # 0.4: the last two targets are out of reach
+def test_settled_rates_are_the_closest(spark, want, soft):
+    rng = np.random.default_rng(4)
+    p = (1 - soft) * rng.dirichlet((0.2, 0.2, 0.2), 400) + soft / 3
+    n = rng.integers(1, 500, 400)
+    target = np.array(want) * n.sum() * 0.4
+    df = members(spark, p, n)
+    rate = np.array([r[0] for r in df.orderBy("id").select(X._rate(X.settle_rates(df, target, 3), 3)).collect()])
+    root = np.linalg.cholesky(np.linalg.inv((p * n[:, None]).T @ p)).T
+    closest = nnls(root @ (p * n[:, None]).T, root @ target)
+    assert (rate >= 0).all()
+    assert np.abs((rate - closest) * n @ p).max() < 1e-6 * target.sum()
+
+
+def test_rates_that_do_not_settle_raise(spark, monkeypatch):
+    monkeypatch.setattr(X, "MAX_SETTLE", 3)
+    p = np.random.default_rng(4).dirichlet((0.2, 0.2, 0.2), 400)
+    with pytest.raises(ArithmeticError):
+        X.settle_rates(members(spark, p, np.full(400, 9)), np.array([1400.0, 40.0, 0.0]), 3)
+
+
 def test_mix_weights_are_those_first_set():
     from tripflow.llm.queries import MIX
 

@@ -3,18 +3,19 @@
 A classifier fitted to the labelled table gives every document a
 probability for each domain.  With n_d tokens, probabilities p_dk and a
 rate r_d (how often a document is expected in the mix), domain k's
-expected tokens are sum_d r_d n_d p_dk.  Projected gradient descent finds
-rates r_d >= 0 for which they equal the targets T_k, or come closest.
-
-The least squares are whitened: the error e = T - (expected tokens) is
-measured as e' M^-1 e with M = sum_d n_d p_d p_d', one K x K aggregate.
-In the n-weighted inner product the gradient step is then
-r_d <- max(0, r_d + p_d . M^-1 e), of unit Lipschitz constant, so a step of
-1 always descends, and reaches the solution at once where no rate is 0;
-where some are, Nesterov momentum (restarted when it overshoots) helps.
-A rate is the fold of all steps so far, computed in place from p_d: an
-iteration is one aggregate over the narrow table of probabilities, of
-which K sums reach the driver, and nothing per document is carried over.
+expected tokens are sum_d r_d n_d p_dk.  Of the rates r_d >= 0 for which
+they equal the targets T_k, or come closest, those nearest to 1 are taken
+(in squares weighted by n_d).
+
+These are r_d = max(0, 1 + p_d . v) for one vector v of K numbers, the
+multipliers of the targets.  Newton's method on their convex dual finds v:
+a round is one aggregate over the narrow table of probabilities, of the
+expected tokens and of the K x K sums over documents of rate > 0, and
+nothing per document is carried over.  The error e = T - (expected tokens)
+is measured as e' M^-1 e with M = sum_d n_d p_d p_d'.  A proximal term
+(``PROXIMAL``, lowered when its centre moves) keeps the rounds defined where
+targets are out of reach.  They end when the targets are met, or when the
+duality gap shows that no rates come closer; else ``settle_rates`` raises.
 
 Targets: ``weights`` (made to sum to 1) times the mix's tokens, which are
 such that the ``anchor`` domain keeps the tokens it has.
@@ -46,6 +47,10 @@ STEPS = 120
 RIDGE = 1e-3
 MAX_ROUNDS = 60
 TOLERANCE = 1e-7
+#: Newton rounds before ``settle_rates`` gives up, and the weight that its
+#: proximal term starts with, is lowered by and stays above.
+MAX_SETTLE = 200
+PROXIMAL, PROXIMAL_STEP, PROXIMAL_LEAST = 1e-6, 0.1, 1e-12
 SEED = 29
 
 
@@ -176,14 +181,80 @@ def _rate(steps: list[tuple[np.ndarray, float]], k: int, ahead: bool = False) ->
     return F.aggregate(flat, start, take)["ahead" if ahead else "rate"]
 
 
-def fit_rates(members: DataFrame, target: np.ndarray, k: int) -> list[tuple[np.ndarray, float]]:
-    """Steps (and the momentum after each) after which the expected domain
-    tokens meet the target."""
-    products = [F.sum(F.col("n_tokens") * F.col("p")[i] * F.col("p")[j]) for i in range(k) for j in range(i, k)]
-    row = members.agg(*products).first()
+def _products(k: int, weight: Column | None = None) -> list[Column]:
+    weight = F.col("n_tokens") if weight is None else weight
+    return [F.sum(weight * F.col("p")[i] * F.col("p")[j]) for i in range(k) for j in range(i, k)]
+
+
+def _squares(sums, k: int) -> np.ndarray:
     m = np.zeros((k, k))
-    m[np.triu_indices(k)] = [x or 0.0 for x in row]
-    m = m + np.triu(m, 1).T
+    m[np.triu_indices(k)] = [x or 0.0 for x in sums]
+    return m + np.triu(m, 1).T
+
+
+def settle_rates(members: DataFrame, target: np.ndarray, k: int) -> list[tuple[np.ndarray, float]]:
+    """The one step from a rate of 1 after which the expected domain tokens
+    equal the target, or are within TOLERANCE of the closest to it."""
+    members = members.where("n_tokens > 0")
+    n = F.col("n_tokens")
+
+    def measure(v):
+        """Half the squared rates, expected tokens, products where rate > 0."""
+        rate = _rate([(v, 0.0)], k)
+        held = members.withColumn("rate", rate)
+        weight = F.when(F.col("rate") > 0, n).otherwise(F.lit(0))
+        sums = [F.sum(n * F.col("rate") * F.col("rate")), *(F.sum(n * F.col("rate") * F.col("p")[i]) for i in range(k))]
+        row = [x or 0.0 for x in held.agg(*sums, *_products(k, weight)).first()]
+        return row[0] / 2.0, np.array(row[1 : k + 1]), _squares(row[k + 1 :], k)
+
+    def gap(error, tokens):
+        """How far the squared miss, halved, is at most from its least: the
+        error's multipliers, lowered until no document's rate could gain."""
+        u = inverse @ error
+        gain = members.agg(F.max(sum((F.lit(float(u[i])) * F.col("p")[i] for i in range(k)), F.lit(0.0)))).first()[0]
+        over = max(gain or 0.0, 0.0)
+        return float(-u @ tokens + over * (target - m @ u).sum() + 0.5 * over * over * m.sum())
+
+    v = centre = np.zeros(k)
+    half, tokens, products = measure(v)
+    m = products  # at a rate of 1 all count
+    inverse = np.linalg.pinv(m, rcond=1e-10, hermitian=True)
+    scale = max(float(np.abs(target).sum()), 1.0)
+    least = 0.5 * TOLERANCE**2 * float(target @ inverse @ target)
+    proximal = PROXIMAL
+    rounds = 1
+    while rounds < MAX_SETTLE:
+        error = target - tokens
+        if np.abs(error).max() <= TOLERANCE * scale:
+            return [(v, 0.0)]
+        slope = proximal * m @ (v - centre) - error
+        if slope @ inverse @ slope <= 1e-6 * (error @ inverse @ error):
+            # the proximal problem is solved: is the whole one?
+            if gap(error, tokens) <= least:
+                return [(v, 0.0)]
+            centre, proximal, slope = v, max(proximal * PROXIMAL_STEP, PROXIMAL_LEAST), -error
+        step = -np.linalg.lstsq(products + proximal * m, slope, rcond=None)[0]
+
+        def value(half, v):
+            return half - target @ v + 0.5 * proximal * (v - centre) @ m @ (v - centre)  # noqa: B023
+
+        before, length = value(half, v), 1.0
+        while rounds < MAX_SETTLE:
+            ahead = v + length * step
+            half, tokens, products = measure(ahead)
+            rounds += 1
+            if value(half, ahead) <= before + 1e-4 * length * (slope @ step) + 1e-12 * abs(before) or length < 1e-6:
+                break
+            length /= 2.0
+        v = ahead
+    raise ArithmeticError(f"rates did not settle in {MAX_SETTLE} rounds; expected tokens {tokens}, target {target}")
+
+
+def fit_rates(members: DataFrame, target: np.ndarray, k: int) -> list[tuple[np.ndarray, float]]:
+    """Projected gradient steps (and the momentum after each) towards the
+    target, MAX_ROUNDS at most: where many rates are 0 these stop short of
+    it, so the mix takes ``settle_rates``, and tests compare the two."""
+    m = _squares(members.agg(*_products(k)).first(), k)
     inverse = np.linalg.pinv(m, rcond=1e-10, hermitian=True)
     steps: list[tuple[np.ndarray, float]] = []
     before, since, small = np.inf, 0, 0
@@ -225,7 +296,7 @@ def mix_rates(
         have = np.array([x or 0.0 for x in have])
         at = names.index(anchor) if anchor in names else -1
         total = have[at] / share[at] if at >= 0 and share[at] > 0 and have[at] > 0 else have.sum()
-        steps = fit_rates(members, share * total, k)
+        steps = settle_rates(members, share * total, k)
     rate = F.round(_rate(steps, k), 9) if steps else F.lit(1.0)
     luck = (F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col("id")), 11).cast("double")) * F.lit(2.0**-53)
     return (
