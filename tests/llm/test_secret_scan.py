@@ -80,6 +80,20 @@ def test_query_and_learned_spans(spark):
     assert ordinary <= 3
 
 
+def test_chain_counts_all_distinct_runs(spark):
+    rng = random.Random(3)
+    runs = ["".join(rng.choice("abz09AZ/+_.-") for _ in range(rng.choice((16, 20, 30)))) for _ in range(20_500)] + ["ab/" * 400]
+    want = {}
+    for run in set(runs):
+        s = S.classes(run)
+        for pair in zip("^" + s, s + "$", strict=True):
+            want[pair] = want.get(pair, 0) + 1
+    df = spark.createDataFrame([(runs[i::50],) for i in range(50)] + [(runs[:9],)], "runs array<string>")
+    none = "cast(array() as array<int>) kinds", "cast(array() as array<string>) credentials"
+    _, chain = S.fit_formats(df.selectExpr("runs", *none))
+    assert chain.n == want and sum(n for (a, _), n in want.items() if a == "^") > 20_000
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.span_digests(S.secret_spans(df, "doc_id", "text")).count() == 0

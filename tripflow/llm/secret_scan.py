@@ -14,15 +14,17 @@ that kind's bar is a span of kind ``like_<kind>``.  The bar is what 99 of
 Defined results: a null text is the empty text; matches are leftmost and
 non-overlapping per kind, and spans of different kinds may overlap;
 learned spans never overlap base ones; a kind with fewer than MIN_STRINGS
-distinct credentials learns nothing; credentials and ordinary runs of more
-than MAX_TAUGHT characters don't teach (but are scored); repeated rows each
-give a row; other columns of the input are not looked at.
+distinct credentials learns nothing; credentials of more than MAX_TAUGHT
+characters don't teach (ordinary runs of any length do, each distinct one
+once); repeated rows each give a row; other columns of the input
+are not looked at.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,10 +50,9 @@ CANDIDATE_CHARS = 16
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-#: Strings per kind that teach its automaton, and ordinary runs that teach
-#: the chain; of more, those with the lowest hashes.
+#: Strings per kind that teach its automaton; of more, those with the lowest
+#: hashes.
 MAX_STRINGS = 600
-MAX_ORDINARY = 20_000
 MIN_STRINGS = 20
 MAX_TAUGHT = 200
 ALPHA = 0.05
@@ -202,15 +203,13 @@ class Automaton:
 
 
 class Chain:
-    """First-order chain over classes, with ends."""
+    """First-order chain over classes, with ends, from counts of pairs."""
 
-    def __init__(self, strings: list[str]):
-        self.n: dict[tuple[str, str], int] = {}
+    def __init__(self, pairs: dict[tuple[str, str], int]):
+        self.n = pairs
         self.total: dict[str, int] = {}
-        for s in strings:
-            for a, b in zip("^" + s, s + "$", strict=True):
-                self.n[a, b] = self.n.get((a, b), 0) + 1
-                self.total[a] = self.total.get(a, 0) + 1
+        for (a, _), n in pairs.items():
+            self.total[a] = self.total.get(a, 0) + n
 
     def log_likelihood(self, s: str) -> float:
         return sum(
@@ -225,9 +224,8 @@ class Format:
     bar: float
 
 
-def learn(credentials: dict[int, list[str]], ordinary: list[str]) -> tuple[dict[int, Format], Chain]:
+def learn(credentials: dict[int, list[str]], chain: Chain) -> tuple[dict[int, Format], Chain]:
     """A format for every kind with enough strings."""
-    chain = Chain([classes(s) for s in ordinary])
     formats = {}
     for kind, strings in sorted(credentials.items()):
         if len(strings) < MIN_STRINGS:
@@ -282,8 +280,32 @@ def matches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(scan, out)
 
 
+def class_pairs(runs: DataFrame) -> dict[tuple[str, str], int]:
+    """How often a class follows another (^ begins, $ ends) in all distinct
+    runs (column s); a row per pair of classes reaches the driver."""
+
+    def count(batches):
+        n: Counter[tuple[str, str]] = Counter()
+        for batch in batches:
+            for run in batch.column(0).to_pylist():
+                s = classes(run)
+                n.update(zip("^" + s, s + "$", strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([a for a, _ in n], pa.string()),
+                pa.array([b for _, b in n], pa.string()),
+                pa.array(list(n.values()), pa.int64()),
+            ],
+            ["a", "b", "n"],
+        )
+
+    pairs = runs.distinct().mapInArrow(count, "a string, b string, n long")
+    return {(r["a"], r["b"]): r["n"] for r in pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).collect()}
+
+
 def fit_formats(found: DataFrame) -> tuple[dict[int, Format], Chain]:
-    """Formats from bounded samples of distinct credentials and runs."""
+    """Formats from bounded samples of distinct credentials, and the chain
+    of all distinct runs."""
 
     def sample(strings: DataFrame, most: int) -> list[str]:
         short = strings.where(F.length("s") <= MAX_TAUGHT).distinct()
@@ -292,7 +314,7 @@ def fit_formats(found: DataFrame) -> tuple[dict[int, Format], Chain]:
     labelled = found.select(F.explode(F.arrays_zip("kinds", "credentials")).alias("m"))
     labelled = stage(labelled.select(F.col("m.kinds").alias("kind"), F.col("m.credentials").alias("s")), "credentials")
     credentials = {k: sample(labelled.where(F.col("kind") == k).select("s"), MAX_STRINGS) for k in range(len(KINDS))}
-    return learn(credentials, sample(found.select(F.explode("runs").alias("s")), MAX_ORDINARY))
+    return learn(credentials, Chain(class_pairs(found.select(F.explode("runs").alias("s")))))
 
 
 def secret_spans(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -301,7 +323,7 @@ def secret_spans(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     score.  Offsets count code points, ends are exclusive."""
     spark = df.sparkSession
     found = stage(matches(df, id_col, text_col), "secret-matches")
-    model = spark.sparkContext.broadcast(fit_formats(found))  # of bounded samples
+    model = spark.sparkContext.broadcast(fit_formats(found))  # bounded automata, pairs of classes
     out = T.StructType(
         [
             T.StructField("id", found.schema["id"].dataType),
