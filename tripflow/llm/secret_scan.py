@@ -5,10 +5,12 @@ three kinds; from a bounded sample of each kind, state merging (ALERGIA)
 builds a probabilistic automaton: the strings, as sequences of character
 classes, form a prefix tree, and states whose ending and outgoing
 frequencies don't differ by a Hoeffding test, nor those of the states below
-them, are merged.  Every other run of CANDIDATE_CHARS or more credential
-characters is scored by the log likelihood ratio of each automaton to a
-chain over the classes of ordinary runs.  A run whose best ratio reaches
-that kind's bar is a span of kind ``like_<kind>``.  The bar is what 99 of
+them, are merged.  Runs of CANDIDATE_CHARS or more credential characters
+are cut at base spans; what is left of them in that length, and its parts
+at equals signs (names and values), is scored by the log likelihood ratio of
+each automaton to a chain over the classes of ordinary runs (uncut at equals
+signs).  What reaches a kind's bar, and of parts that overlap the best, is a
+span of kind ``like_<kind>``.  The bar is what 99 of
 100 held-out credentials of the kind reach, and at least log 1000.
 
 Defined results: a null text is the empty text; matches are leftmost and
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect
 from collections import Counter
 from dataclasses import dataclass
 
@@ -85,25 +88,57 @@ def base_matches(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, str]]:
-    """(start, run) of runs that no base span overlaps, without dots,
-    dashes and equals signs at their ends."""
+    """(start, run) of what base spans leave of runs, without dots, dashes
+    and equals signs at its ends, nor slashes and underscores at a cut."""
     taken = sorted((s, e) for _, s, e, _ in base)
-    out, i, reach = [], 0, 0  # reach: the farthest end of the spans that begin before a run's end
-    for m in RUN.finditer(text):
-        start, end = m.span()
-        while i < len(taken) and taken[i][0] < end:
-            reach = max(reach, taken[i][1])
-            i += 1
-        if reach > start:
-            continue
-        run = m[0].lstrip(".-=")
+    out, i, reach = [], 0, 0  # reach: the farthest end of the spans so far
+
+    def add(start, end, first, last):
+        run = text[start:end].lstrip(".-=" if start == first else ".-=/_")
         start = end - len(run)
-        run = run.rstrip(".-=")
+        run = run.rstrip(".-=" if end == last else ".-=/_")
         if len(run) >= CANDIDATE_CHARS:
             out.append((start, run))
+
+    for m in RUN.finditer(text):
+        first, last = m.span()
+        start = max(first, reach)
+        while i < len(taken) and taken[i][0] < last:
+            add(start, max(start, taken[i][0]), first, last)
+            reach = max(reach, taken[i][1])
+            start = max(start, reach)
+            i += 1
+        add(start, max(start, last), first, last)
     return out
 
 
+def parts(start: int, run: str) -> list[tuple[int, str]]:
+    """What is scored of a run: itself, what follows its first equals sign,
+    and what lies between its equals signs."""
+    out = [(start, run)]
+    if "=" in run:
+        pieces = [(m.start(), m[0]) for m in re.finditer(r"[^=]+", run)]
+        for at, piece in [(pieces[1][0], run[pieces[1][0] :]), *pieces]:
+            short = piece.lstrip(".-")
+            at += len(piece) - len(short)
+            short = short.rstrip(".-")
+            if len(short) >= CANDIDATE_CHARS and (start + at, short) not in out[:2]:
+                out.append((start + at, short))
+    return out
+
+
+def apart(found: list[tuple[float, int, int, int]]) -> list[tuple[float, int, int, int]]:
+    """Of (score, start, end, kind), the best ones that don't overlap."""
+    starts: list[int] = []
+    kept: list[tuple[float, int, int, int]] = []
+    for x in sorted(found, key=lambda x: (-x[0], x[1] - x[2], x[1])):
+        i = bisect(starts, x[1])
+        if (i == 0 or kept[i - 1][2] <= x[1]) and (i == len(kept) or x[2] <= starts[i]):
+            starts.insert(i, x[1])
+            kept.insert(i, x)
+    return kept
+
+
 # --- learning
 
 _CLASS = str.maketrans(
@@ -344,13 +379,16 @@ def secret_spans(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             spans = []
             for row in batch.select(["kinds", "starts", "ends", "run_starts", "runs"]).to_pylist():
                 own = [(s, k, e, None) for k, s, e in zip(row["kinds"], row["starts"], row["ends"], strict=True)]
-                for s, run in zip(row["run_starts"], row["runs"], strict=True):
-                    if run not in memo:
-                        if len(memo) > 100_000:
-                            memo.clear()
-                        memo[run] = best_format(run, formats, chain)
-                    if memo[run]:
-                        own.append((s, len(KINDS) + memo[run][0], s + len(run), memo[run][1]))
+                for first, whole in zip(row["run_starts"], row["runs"], strict=True):
+                    learned = []
+                    for s, run in parts(first, whole):
+                        if run not in memo:
+                            if len(memo) > 100_000:
+                                memo.clear()
+                            memo[run] = best_format(run, formats, chain)
+                        if memo[run]:
+                            learned.append((memo[run][1], s, s + len(run), memo[run][0]))
+                    own.extend((s, len(KINDS) + k, e, x) for x, s, e, k in apart(learned))
                 own.sort(key=lambda x: x[:3])
                 spans.append([{"kind": names[k], "start": s, "end": e, "score": x} for s, k, e, x in own])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], ["id", "spans"])
