@@ -116,6 +116,18 @@ def test_mix_of_documents(spark):
     assert sum(r.copies for r in got) == pytest.approx(rate.sum(), rel=0.05)
 
 
+def test_rare_domain_and_hot_id_in_the_labels(spark, monkeypatch):
+    monkeypatch.setattr(X, "MAX_LABELLED", 40)
+    monkeypatch.setattr(X, "LEAST_LABELLED", 3)
+    rows = [(i, f"text number {i}") for i in range(300)] + [(7, "copied text")] * 500
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = [(i, "x") for i in range(299)] + [(299, "rare")] + [(10_000 + i, "gone") for i in range(900)]
+    labels = spark.createDataFrame(known, "doc_id long, kind string")
+    names, _, at, truth = X.labelled_features(df, labels, "doc_id", "text", DOMAIN)
+    assert names == ["rare", "x"] and truth.tolist().count(0) == 1
+    assert 30 <= len(truth) <= 40 + 2 * 3 and len(truth) == at.max() + 1
+
+
 def test_too_few_domains_and_no_rows(spark):
     df = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
     one = spark.createDataFrame([(1, "x")], "doc_id long, kind string")

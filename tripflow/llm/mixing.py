@@ -30,6 +30,8 @@ untouched.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,8 +41,11 @@ from pyspark.sql import types as T
 from tripflow.llm.common import col, ship_package, stage, text_of
 from tripflow.llm.hashing import hashed_texts, mix, seeded
 
-#: Labelled documents used for fitting; more are thinned by the id's hash.
+#: Labelled texts used for fitting.  Of more, each domain keeps its share of
+#: MAX_LABELLED, or LEAST_LABELLED if that is more (or all it has), by the
+#: lowest hashes of ids: at most MAX_LABELLED + LEAST_LABELLED a domain.
 MAX_LABELLED = 8_000
+LEAST_LABELLED = 50
 RANGES = ((0, 1 << 17), (1 << 17, 1 << 13))  # buckets of words and of word shapes
 BUCKETS = (1 << 17) + (1 << 13)
 STEPS = 120
@@ -98,14 +103,27 @@ def fit_classifier(bucket: np.ndarray, at: np.ndarray, domain: np.ndarray, k: in
 
 def labelled_features(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, domain: str):
     """(domain names, buckets, text of each bucket, domain of each text) of
-    at most MAX_LABELLED labelled documents."""
+    labelled documents; equal texts of one id count once in a domain.  They
+    are chosen among the documents there are, before any text is moved."""
     known = (
         labels.select(col(id_col).alias("id"), F.expr(domain).cast("string").alias("domain"))
         .where("id is not null and domain is not null")
-        .orderBy(F.xxhash64("id"), "id", "domain")
-        .limit(MAX_LABELLED)
+        .distinct()
     )
-    rows = df.select(col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(known), "id")
+    texts = df.select(col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("page", F.xxhash64("text"))
+    pairs = stage(texts.select("id", "page").join(known, "id").distinct(), "labelled-pages")
+    count = {r["domain"]: r["count"] for r in pairs.groupBy("domain").count().collect()}  # one row a domain
+    total = sum(count.values())
+    chosen = pairs
+    if total > MAX_LABELLED:
+        lowest = [
+            pairs.where(F.col("domain") == F.lit(name))
+            .orderBy(F.xxhash64("id"), "id", "page")
+            .limit(max(min(n, LEAST_LABELLED), n * MAX_LABELLED // total))
+            for name, n in sorted(count.items())
+        ]
+        chosen = reduce(DataFrame.union, lowest)
+    rows = texts.join(F.broadcast(chosen), ["id", "page"])
 
     def extract(batches):
         for batch in batches:
@@ -114,9 +132,12 @@ def labelled_features(df: DataFrame, labels: DataFrame, id_col: str, text_col: s
                 bucket, at = text_features(words, at, shapes)
                 cuts = np.searchsorted(at, np.arange(1, n))
                 kept[first : first + n] = [x.astype("<i4").tobytes() for x in np.split(bucket, cuts)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(kept, pa.binary())], ["domain", "features"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), batch.column(2), pa.array(kept, pa.binary())], ["domain", "row", "features"]
+            )
 
-    found = rows.select("text", "domain").mapInArrow(extract, "domain string, features binary").toPandas()
+    rows = rows.select("text", "domain", F.xxhash64("id", "page").alias("row"))
+    found = rows.mapInArrow(extract, "domain string, row long, features binary").distinct().toPandas()
     found = found.sort_values(["domain", "features"], kind="stable")
     names = sorted(set(found["domain"]))
     sets = [np.frombuffer(x, "<i4") for x in found["features"]]
