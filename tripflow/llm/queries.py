@@ -7,7 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe_codec, embedding_dedup, huffman_ids, line_dedup, minhash, mixing, quality_rules, resample, secret_scan, token_counts
+from tripflow.llm import (
+    bpe_codec,
+    conversation_repair,
+    embedding_dedup,
+    huffman_ids,
+    license_scan,
+    line_dedup,
+    minhash,
+    mixing,
+    quality_rules,
+    resample,
+    secret_scan,
+    token_counts,
+)
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +86,16 @@ def op10_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "kept")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.damage_and_repair(rows, "conv_id", "turn", "role", "text")
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return license_scan.license_labels(found, "doc_id")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -85,6 +108,8 @@ def llm_queries() -> dict[str, Query]:
         "op8_token_counts": op8_token_counts,
         "op9_huffman_ids": op9_huffman_ids,
         "op10_quality_resample": op10_quality_resample,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op13_license_scan": op13_license_scan,
     }
 
 
