@@ -231,16 +231,20 @@ class RareWordIndex:
             self.postings.append(own)
             for w in own:
                 self.holders[w].append(t)
+        #: the words of each template's key phrases, without which it can't match
+        self.required = [{w for k in keys for w in k.tolist()} for _, _, keys in vocabulary.templates]
 
     def rarest(self, ids: np.ndarray) -> dict[int, list[int]]:
-        """For each template, its highest-IDF words that the file holds."""
+        """For each template, its highest-IDF words that the file holds;
+        templates with a key word that it doesn't hold are left out."""
         present = np.unique(ids[ids >= 0])
-        chosen: dict[int, list[int]] = {}
-        for w in present[np.argsort(self.rank[present])].tolist():
-            for t in self.holders[w]:
-                mine = chosen.setdefault(t, [])
-                if len(mine) < RARE:
-                    mine.append(w)
+        held = set(present.tolist())
+        chosen: dict[int, list[int]] = {t: [] for t, words in enumerate(self.required) if words <= held}
+        if chosen:
+            for w in present[np.argsort(self.rank[present])].tolist():
+                for t in self.holders[w]:
+                    if t in chosen and len(chosen[t]) < RARE:
+                        chosen[t].append(w)
         return chosen
 
     def matches(self, ids: np.ndarray) -> list[Match]:
