@@ -19,6 +19,7 @@ from tripflow.llm import (
     quality_rules,
     resample,
     secret_scan,
+    token_alignment,
     token_counts,
 )
 from tripflow.llm.common import table
@@ -91,6 +92,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.damage_and_repair(rows, "conv_id", "turn", "role", "text")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_digests(table(spark, sf_dir, "documents"), "doc_id", "text", BYTE_BPE, PIECES)
+
+
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan_licenses(table(spark, sf_dir, "documents"), "doc_id", "text")
     return license_scan.license_labels(found, "doc_id")
@@ -109,6 +114,7 @@ def llm_queries() -> dict[str, Query]:
         "op9_huffman_ids": op9_huffman_ids,
         "op10_quality_resample": op10_quality_resample,
         "op11_conversation_repair": op11_conversation_repair,
+        "op12_token_alignment": op12_token_alignment,
         "op13_license_scan": op13_license_scan,
     }
 
