@@ -51,6 +51,10 @@ class Layout:
     def reports(self) -> str:
         return self._join("reports", self.dataset)
 
+    def rollup(self, name: str) -> str:
+        """Stored partial aggregates that gold tables are derived from."""
+        return self._join("gold", "rollups", self.dataset, name)
+
     def gold(self, table: str) -> str:
         if table in GOLD_TIME_TABLES:
             return f"{self.gold_time}/{table}"
