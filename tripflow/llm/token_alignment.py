@@ -53,7 +53,7 @@ from tripflow.llm.common import col, ship_package, stage, text_of
 from tripflow.llm.encoders import ByteEncoder, encoder
 
 UNIT_CHARS = 32_768
-RANGE_BYTES = 1 << 16
+RANGE_BYTES = 1 << 14
 FAN = 8
 FREQUENT = 500_000
 
@@ -72,6 +72,8 @@ class PlainByteEncoder(ByteEncoder):
         self.tok.no_padding()
         self.tok.encode_special_tokens = True
         self.special = []
+        #: no normalizer, and every byte a token: the tokens' bytes are the text's
+        self.exact = self.plain and not self.merger.unknown[:256].any()
 
 
 class PieceEncoder:
@@ -125,8 +127,10 @@ def encode_both(a: PlainByteEncoder, b: PieceEncoder, texts: list[str]) -> list[
         raw, ids_a = whole.encode(), a.encode(whole).astype(np.int64)
         ends_a, ends_b = np.cumsum(a.lengths[ids_a]), np.cumsum(b.lengths[ids_b])
         same = (
-            b"".join(map(a.pieces.__getitem__, ids_a.tolist())) == raw
+            len(ids_b) > 0
+            and ends_a[-1] == ends_b[-1] == len(raw)
             and b"".join(map(b.pieces.__getitem__, ids_b.tolist())) == raw
+            and (a.exact or b"".join(map(a.pieces.__getitem__, ids_a.tolist())) == raw)
         )
         out.append(Tokens(ids_a, ends_a, ids_b, ends_b) if same else None)
     return out
@@ -197,18 +201,14 @@ def one_group(t: Tokens) -> Groups:
     return Groups(t.a, t.b, np.array([len(t.a)]), np.array([len(t.b)]))
 
 
-def first_byte(a: PlainByteEncoder, t: Tokens) -> int:
-    """Where a group begins."""
-    return int(t.a_ends[0] - a.lengths[t.a[0]])
-
-
 # ---- Spark ----
 
 _IDS = T.ArrayType(T.IntegerType())
 _ROW = T.StructField("row", T.LongType())
 _AT = T.StructField("at", T.LongType())
 _GROUPS = [T.StructField(n, _IDS) for n in Groups._fields]
-_PACKED = [T.StructField(n, T.BinaryType()) for n in Tokens._fields]
+# Tokens on their way: ids of a side and the byte its first token begins at.
+_PACKED = {"a": T.BinaryType(), "a_at": T.LongType(), "b": T.BinaryType(), "b_at": T.LongType()}
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -218,12 +218,28 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), type=pa.list_(pa.field("element", pa.int32())))
 
 
-def _pack(t: Tokens) -> list[bytes]:
-    return [x.astype("<i8").tobytes() for x in t]
+class _Packer:
+    """Packs tokens as ids and places, from which their ends follow."""
+
+    def __init__(self, a: PlainByteEncoder, b: PieceEncoder):
+        self.sides = (a.lengths, b.lengths)
+
+    def pack(self, t: Tokens) -> tuple:
+        out = []
+        for ids, ends, lengths in zip((t.a, t.b), (t.a_ends, t.b_ends), self.sides, strict=True):
+            out += [ids.astype("<u4").tobytes(), int(ends[0] - lengths[ids[0]]) if len(ids) else 0]
+        return tuple(out)
+
+    def unpack(self, row: dict, prefix: str = "") -> Tokens:
+        out = []
+        for side, lengths in zip("ab", self.sides, strict=True):
+            ids = np.frombuffer(row[prefix + side], "<u4").astype(np.int64)
+            out += [ids, row[f"{prefix}{side}_at"] + np.cumsum(lengths[ids])]
+        return Tokens(*out)
 
 
-def _unpack(values) -> Tokens:
-    return Tokens(*(np.frombuffer(v, "<i8").astype(np.int64) for v in values))
+def _packer(a_path: str, b_path: str) -> _Packer:
+    return _Packer(encoder(PlainByteEncoder, a_path), encoder(PieceEncoder, b_path))
 
 
 def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
@@ -272,6 +288,7 @@ def _ranges(a_path: str, b_path: str, range_bytes: int):
 
     def run(batches):
         a, b = encoder(PlainByteEncoder, a_path), encoder(PieceEncoder, b_path)
+        packer = _Packer(a, b)
         for batch in batches:
             for part in _slices(batch, 4):
                 tokens = encode_both(a, b, part.column("text").to_pylist())
@@ -279,17 +296,17 @@ def _ranges(a_path: str, b_path: str, range_bytes: int):
                 units = zip(*(part.column(n).to_pylist() for n in ("row", "unit", "at")), tokens, strict=True)
                 for row, unit, at, t in units:
                     if t is None:
-                        rows.append((row, -1, unit, b"", b"", b"", b""))
+                        rows.append((row, -1, unit, b"", 0, b"", 0))
                         continue
                     t = t._replace(a_ends=t.a_ends + at, b_ends=t.b_ends + at)
                     a_at, b_at = (t.a_ends - 1) // range_bytes, (t.b_ends - 1) // range_bytes
                     for r in range(int(min(a_at[0], b_at[0])), int(a_at[-1]) + 1):
                         i, j = a_at == r, b_at == r
-                        rows.append((row, r, unit, *_pack(Tokens(t.a[i], t.a_ends[i], t.b[j], t.b_ends[j]))))
+                        rows.append((row, r, unit, *packer.pack(Tokens(t.a[i], t.a_ends[i], t.b[j], t.b_ends[j]))))
                 cols = zip(*rows, strict=True)
-                kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 4]
+                kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary(), pa.int64()] * 2]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], ["row", "range", "unit", *Tokens._fields]
+                    [pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], ["row", "range", "unit", *_PACKED]
                 )
 
     return run
@@ -300,58 +317,65 @@ _LEVEL = T.StructType(
     [
         _ROW, T.StructField("range", T.IntegerType()), T.StructField("closed", T.BooleanType()), _AT,
         T.StructField("cut", T.BooleanType()),
-        *(T.StructField(f"prefix_{n}", T.BinaryType()) for n in Tokens._fields),
-        *(T.StructField(f"suffix_{n}", T.BinaryType()) for n in Tokens._fields),
+        *(T.StructField(f"{end}_{n}", t) for end in ("prefix", "suffix") for n, t in _PACKED.items()),
         *_GROUPS,
     ]
 )
 
 
-def _level_table(row: int, at_range: int, fragment: Fragment, closed: list[tuple[int, Groups]]) -> pa.Table:
-    rows = [(row, at_range, False, None, fragment.cut, *_pack(fragment.prefix), *_pack(fragment.suffix), *[None] * 4)]
+def _level_table(row: int, at_range: int, fragment: tuple, closed: list[tuple[int, Groups]]) -> pa.Table:
+    rows = [(row, at_range, False, None, *fragment, *[None] * 4)]
     for at, g in closed:
         rows.append((row, at_range, True, at, None, *[None] * 8, *(x.astype(np.int32) for x in g)))
-    kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.bool_(), *[pa.binary()] * 8, *[pa.list_(pa.int32())] * 4]
+    kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.bool_()]
+    kinds += [*[pa.binary(), pa.int64()] * 4, *[pa.list_(pa.int32())] * 4]
     cols = zip(*rows, strict=True)
     return pa.table([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=_LEVEL.fieldNames())
 
 
-def _leaf(group: pa.Table) -> pa.Table:
-    parts = sorted(group.to_pylist(), key=lambda r: r["unit"])
-    tokens = joined(*(_unpack(r[n] for n in Tokens._fields) for r in parts))
-    fragment, closed, at = fragment_of(tokens)
-    return _level_table(parts[0]["row"], parts[0]["range"], fragment, [(at, closed)] if closed else [])
+def _leaf(a_path: str, b_path: str):
+    def run(group: pa.Table) -> pa.Table:
+        packer = _packer(a_path, b_path)
+        parts = sorted(group.to_pylist(), key=lambda r: r["unit"])
+        fragment, closed, at = fragment_of(joined(*map(packer.unpack, parts)))
+        packed = (fragment.cut, *packer.pack(fragment.prefix), *packer.pack(fragment.suffix))
+        return _level_table(parts[0]["row"], parts[0]["range"], packed, [(at, closed)] if closed else [])
+
+    return run
 
 
-def _branch(a_path: str):
+def _branch(a_path: str, b_path: str):
     def run(group: pa.Table) -> pa.Table:
-        a = encoder(PlainByteEncoder, a_path)
+        packer = _packer(a_path, b_path)
         parts = sorted(group.to_pylist(), key=lambda r: r["range"])
         total, closed = IDENTITY, []
         for r in parts:
-            own = Fragment(
-                r["cut"], _unpack(r[f"prefix_{n}"] for n in Tokens._fields), _unpack(r[f"suffix_{n}"] for n in Tokens._fields)
-            )
-            total, between = compose(total, own)
+            total, between = compose(total, Fragment(r["cut"], packer.unpack(r, "prefix_"), packer.unpack(r, "suffix_")))
             if between is not None:
-                closed.append((first_byte(a, between), one_group(between)))
-        return _level_table(parts[0]["row"], parts[0]["range"] // FAN, total, closed)
+                closed.append((packer.pack(between)[1], one_group(between)))
+        packed = (total.cut, *packer.pack(total.prefix), *packer.pack(total.suffix))
+        return _level_table(parts[0]["row"], parts[0]["range"] // FAN, packed, closed)
 
     return run
 
 
-def _last_groups(batches):
+def _last_groups(a_path: str, b_path: str):
     """The first group of each text, which no neighbour closed; at the end
     of a text both sides end, so the suffix is empty."""
-    for batch in batches:
-        rows = batch.to_pylist()
-        found = [one_group(_unpack(r[f"prefix_{n}"] for n in Tokens._fields)) for r in rows]
-        if any(not r["cut"] or r["suffix_a"] or r["suffix_b"] for r in rows):
-            raise ValueError("a text's last tokens don't end together")
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array([0] * len(rows), pa.int64()), *(_lists([g[i] for g in found]) for i in range(4))],
-            ["row", "at", *Groups._fields],
-        )
+
+    def run(batches):
+        packer = _packer(a_path, b_path)
+        for batch in batches:
+            rows = batch.to_pylist()
+            found = [one_group(packer.unpack(r, "prefix_")) for r in rows]
+            if any(not r["cut"] or r["suffix_a"] or r["suffix_b"] for r in rows):
+                raise ValueError("a text's last tokens don't end together")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array([0] * len(rows), pa.int64()), *(_lists([g[i] for g in found]) for i in range(4))],
+                ["row", "at", *Groups._fields],
+            )
+
+    return run
 
 
 def align_texts(
@@ -371,32 +395,39 @@ def align_texts(
     groups with ``row`` (their text), id, and ``at`` (the byte, of space and
     text, at which they begin); a text without tokens has one row there too.
     """
+    short, long = _by_length(df, id_col, text_col, unit_chars)
+    out = T.StructType([T.StructField("id", short.schema["id"].dataType), *_GROUPS])
+    return short.mapInArrow(_short(a_path, b_path), out), _align_long(long, a_path, b_path, unit_chars, range_bytes)
+
+
+def _by_length(df: DataFrame, id_col: str, text_col: str, unit_chars: int) -> tuple[DataFrame, DataFrame]:
     ship_package(df.sparkSession)
     rows = df.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
-    id_field = rows.schema["id"]
-    id_field = T.StructField("id", id_field.dataType)
-    short = rows.where(F.length("text") <= unit_chars).mapInArrow(_short(a_path, b_path), T.StructType([id_field, *_GROUPS]))
+    return rows.where(F.length("text") <= unit_chars), rows.where(F.length("text") > unit_chars)
+
 
-    long = stage(rows.where(F.length("text") > unit_chars).withColumn("row", F.monotonically_increasing_id()), "long-texts")
+def _align_long(rows: DataFrame, a_path: str, b_path: str, unit_chars: int, range_bytes: int) -> DataFrame:
+    long = stage(rows.withColumn("row", F.monotonically_increasing_id()), "long-texts")
     unit_type = T.StructType([_ROW, T.StructField("unit", T.IntegerType()), _AT, T.StructField("text", T.StringType())])
-    range_type = T.StructType([_ROW, T.StructField("range", T.IntegerType()), T.StructField("unit", T.IntegerType()), *_PACKED])
+    range_type = T.StructType([_ROW, T.StructField("range", T.IntegerType()), T.StructField("unit", T.IntegerType())])
+    range_type = T.StructType([*range_type.fields, *(T.StructField(n, t) for n, t in _PACKED.items())])
     units = long.select("row", "text").mapInArrow(_units(unit_chars, b_path), unit_type).repartition("row", "unit")
     ranges = stage(units.mapInArrow(_ranges(a_path, b_path, range_bytes), range_type), "token-ranges")
     failed = ranges.where("range < 0").select("row").distinct()
     sound = ranges.where("range >= 0").join(failed.hint("merge"), "row", "left_anti").select(*range_type.fieldNames())
-    level = stage(sound.groupBy("row", "range").applyInArrow(_leaf, _LEVEL), "fragments")
+    level = stage(sound.groupBy("row", "range").applyInArrow(_leaf(a_path, b_path), _LEVEL), "fragments")
     pieces = ["row", "at", *Groups._fields]
     found = level.where("closed").select(pieces)
     last = level.agg(F.max("range")).first()[0] or 0
     while last > 0:
         level = level.where("not closed").withColumn("branch", F.expr(f"range div {FAN}"))
-        level = stage(level.groupBy("row", "branch").applyInArrow(_branch(a_path), _LEVEL), "fragments")
+        level = stage(level.groupBy("row", "branch").applyInArrow(_branch(a_path, b_path), _LEVEL), "fragments")
         found = found.unionAll(level.where("closed").select(pieces))
         last //= FAN
-    first = level.where("not closed").mapInArrow(_last_groups, T.StructType([_ROW, _AT, *_GROUPS]))
+    first = level.where("not closed").mapInArrow(_last_groups(a_path, b_path), T.StructType([_ROW, _AT, *_GROUPS]))
     none = failed.select("row", F.lit(0).cast("long").alias("at"), *(F.array().cast(_IDS).alias(n) for n in Groups._fields))
     found = found.unionAll(first).unionAll(none)
-    return short, found.join(long.select("row", "id").hint("merge"), "row").select("row", "id", "at", *Groups._fields)
+    return found.join(long.select("row", "id").hint("merge"), "row").select("row", "id", "at", *Groups._fields)
 
 
 class _Digest:
@@ -508,15 +539,17 @@ def alignment_digests(
     n_best (links whose count is the highest of their B id's), count_sum (of
     all links' counts) and groups_sha256 (of ``a1,a2|b1;a3|b2,b3``, the ids of
     each group; empty without tokens)."""
-    short, long = align_texts(df, id_col, text_col, a_path, b_path, unit_chars, range_bytes)
+    short, long = _by_length(df, id_col, text_col, unit_chars)
+    long = _align_long(long, a_path, b_path, unit_chars, range_bytes)
     out = T.StructType(
-        [short.schema["id"]]
+        [T.StructField("id", short.schema["id"].dataType)]
         + [T.StructField(n, T.LongType()) for n in ("n_a", "n_b", "n_groups")]
         + [T.StructField("groups_sha256", T.StringType())]
         + [T.StructField(n, T.ArrayType(T.LongType())) for n in ("pairs", "times")]
     )
     streamed = long.repartition("row").sortWithinPartitions("row", "at")
-    texts = short.mapInArrow(_digests(a_path, b_path, out, False), out).unionAll(
+    align, digest = _short(a_path, b_path), _digests(a_path, b_path, out, False)
+    texts = short.mapInArrow(lambda batches: digest(align(batches)), out).unionAll(
         streamed.mapInArrow(_digests(a_path, b_path, out, True), out)
     )
     texts = stage(texts.withColumn("row", F.monotonically_increasing_id()), "aligned-texts")
