@@ -7,11 +7,12 @@ survived columns 1..k-1 (``mode="independent"`` takes all bounds from
 the input instead - a different, order-free result).
 
 Tuning evaluates several multipliers at once.  For column k the
-quartiles of every multiplier are selected together, each restricted by
-that multiplier's earlier bounds, so the cost is one quantile selection
-per column (two jobs on small data) plus one counting job - not one job
-per multiplier and column.  Quartiles are exact
-(:mod:`tripflow.operators.quantile_select`); ``method="approx"`` uses a single
+quartiles of every multiplier, each restricted by that multiplier's
+earlier bounds, come from one conditional histogram
+(:mod:`tripflow.operators.rank_index`), so the cost is one job per column plus
+one counting job for any number of multipliers.  Quartiles are exact;
+bounds of a single filter are selected by
+:mod:`tripflow.operators.quantile_select`; ``method="approx"`` uses a single
 ``percentile_approx`` sketch per quartile instead.
 """
 
@@ -32,6 +33,7 @@ from tripflow.operators.quantile_select import (
     double_sql,
     exact_quantiles,
 )
+from tripflow.operators.rank_index import RankTarget, ranked_values
 from tripflow.sources.io import local_frame, small_result
 
 QUARTILES = (0.25, 0.75)
@@ -123,6 +125,15 @@ def _quartiles(
     return out
 
 
+def _indexed_quartiles(
+    df: DataFrame, column: str, wanted: Sequence[tuple[object, str, Column | None]]
+) -> dict[object, tuple[float | None, float | None]]:
+    """q1, q3 of one column for each (key, column, filter); one job."""
+    found = ranked_values(df, column, [RankTarget((key, p), p, where) for key, _, where in wanted for p in QUARTILES])
+    as_float = lambda v: None if v is None else float(v)
+    return {key: tuple(as_float(found[(key, p)]) for p in QUARTILES) for key, _, _ in wanted}
+
+
 def iqr_bounds(
     df: DataFrame,
     columns: Sequence[str],
@@ -206,13 +217,12 @@ def iqr_candidates(
     """
     ms = tuple(float(m) for m in multipliers)
     bounds: dict[float, list[Bounds]] = {m: [] for m in ms}
-    ranges = column_ranges(df, columns) if method == "exact" else None  # one job for all columns
     for c in columns:
         wanted = []
         for m in ms:
             keep = F.expr(" AND ".join(b.keep_sql() for b in bounds[m])) if bounds[m] else None
             wanted.append((m, c, keep))
-        qs = _quartiles(df, wanted, method, accuracy, ranges)
+        qs = _indexed_quartiles(df, c, wanted) if method == "exact" else _quartiles(df, wanted, method, accuracy)
         for m in ms:
             bounds[m].append(Bounds(c, *qs[m], m))
 
