@@ -42,7 +42,7 @@ from tripflow.plans.report_job import report  # noqa: E402
 from tripflow.plans.silver import build_silver  # noqa: E402
 from tripflow.session import get_session, scratch_root  # noqa: E402
 from tripflow.sources.fixture import load_trips  # noqa: E402
-from tripflow.sources.io import land, write_layer  # noqa: E402
+from tripflow.sources.io import land, read_layer, write_layer  # noqa: E402
 from tripflow.sources.layout import Layout  # noqa: E402
 
 
@@ -66,7 +66,7 @@ def stepwise(spark, bronze_path: str, work: str) -> dict:
     (a count after each step, a filter run per multiplier, a job per table
     and per profile figure) instead of shared passes."""
     out: dict[str, float] = {}
-    df = spark.read.parquet(bronze_path)
+    df = read_layer(spark, bronze_path)
 
     def profile_figures():
         lo, hi, bins = specs.FARE_HISTOGRAM
@@ -105,7 +105,7 @@ def stepwise(spark, bronze_path: str, work: str) -> dict:
         write_layer(done, f"{work}/stepwise_silver")
 
     def gold():
-        rows = spark.read.parquet(f"{work}/stepwise_silver")
+        rows = read_layer(spark, f"{work}/stepwise_silver")
         for name, table in build_gold(rows, one_pass=False).items():
             write_layer(table, f"{work}/stepwise_gold/{name}")
             if name in SHOWN:
@@ -150,7 +150,7 @@ def main() -> None:
     functools.reduce(lambda a, b: a.unionAll(b), parts).write.parquet(raw)
 
     timed(q, "land", lambda: land(spark, raw, layout.bronze, if_exists="replace").collect())
-    bronze = spark.read.parquet(layout.bronze)
+    bronze = read_layer(spark, layout.bronze)
     # silver first: the profile takes its duplicate figures from the copy
     # counts the silver dedupe staged, so bronze is shuffled once
     built = timed(q, "silver", lambda: build_silver(bronze, target=layout.silver))
@@ -158,7 +158,7 @@ def main() -> None:
     timed(q, "funnel", lambda: built.funnel().collect())
     gold = timed(q, "gold", lambda: build_gold(built.silver))
     timed(q, "gold_write", lambda: write_gold(gold, layout))
-    gold_read = {name: spark.read.parquet(layout.gold(name)) for name in gold}
+    gold_read = {name: read_layer(spark, layout.gold(name)) for name in gold}
     timed(q, "report", lambda: collect_all(report(bronze, built.silver, gold_read)))
     total = round(sum(q.values()), 3)
 

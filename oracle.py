@@ -417,12 +417,13 @@ def build() -> dict[str, str]:
     q["land_report"] = _with(
         TRIPS,
         "SELECT 'landed' AS status, count(*) AS rows_read, count(*) AS rows_written, 13 AS columns, "
-        "true AS same_schema FROM trips",
+        "true AS same_schema, true AS same_content FROM trips",
     )
+    q["land_preview"] = _with(TRIPS, "SELECT * FROM trips ORDER BY ALL NULLS FIRST LIMIT 5")
     q["land_skip"] = _with(
         TRIPS,
         "SELECT 'skipped' AS status, CAST(NULL AS BIGINT) AS rows_read, count(*) AS rows_written, 13 AS columns, "
-        "true AS same_schema FROM trips",
+        "true AS same_schema, CAST(NULL AS BOOLEAN) AS same_content FROM trips",
     )
     # profile (bronze)
     q["profile_shape"] = _with(TRIPS, 'SELECT count(*) AS "rows", 13 AS columns FROM trips')

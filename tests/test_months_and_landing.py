@@ -13,7 +13,7 @@ from tripflow.plans.month import run_month
 from tripflow.plans.profile_job import profile
 from tripflow.plans.silver import build_silver
 from tripflow.sources.fixture import load_trips
-from tripflow.sources.io import SchemaError, committed, land, write_layer
+from tripflow.sources.io import SchemaError, committed, land, read_layer, write_layer
 from tripflow.sources.layout import Layout
 from tripflow.streaming import land_incrementally
 
@@ -29,7 +29,7 @@ def test_two_months_keep_their_gold(spark, trips, tmp_path):
     base = str(tmp_path / "lake")
     january, february = Layout(base, "2026_01"), Layout(base, "2026_02")
     run_month(spark, trips, january)
-    total = lambda lay: spark.read.parquet(lay.gold("by_hour")).agg({"total_trips": "sum"}).first()[0]
+    total = lambda lay: read_layer(spark, lay.gold("by_hour")).agg({"total_trips": "sum"}).first()[0]
     before = total(january)
     later = trips.withColumns({c: F.col(c) + F.expr("INTERVAL 31 DAYS") for c in (C.pickup, C.dropoff)})
     run = run_month(spark, later, february, year=2026, month=2)
@@ -44,7 +44,7 @@ def test_files_with_other_columns_lose_nothing(spark, trips, tmp_path):
     trips.limit(10).write.mode("append").parquet(src)
     trips.limit(5).withColumn("extra", F.lit("x")).write.mode("append").parquet(src)
     report = land(spark, src, target).first()
-    back = spark.read.parquet(target)
+    back = read_layer(spark, target)
     assert report["same_schema"] and report["rows_written"] == 15
     assert back.where("extra = 'x'").count() == 5
     clash = str(tmp_path / "clash")
@@ -78,9 +78,9 @@ def test_replace_replaces_all_partitions(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     write_layer(rows, path, partition_by=["k"])
     write_layer(rows.where("k = 'a'"), path, partition_by=["k"])
-    assert [r["k"] for r in spark.read.parquet(path).collect()] == ["a"]
+    assert [r["k"] for r in read_layer(spark, path).collect()] == ["a"]
     write_layer(rows.where("k = 'b'"), path, partition_by=["k"], only_partitions=True)
-    assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == ["a", "b"]
+    assert sorted(r["k"] for r in read_layer(spark, path).collect()) == ["a", "b"]
     assert land(spark, rows.where("k = 'b'"), path, if_exists="replace", partition_by=["k"]).first()["rows_written"] == 1
 
 
@@ -89,7 +89,7 @@ def test_a_failed_overwrite_keeps_the_old_layer(spark, tmp_path):
     write_layer(spark.range(5), path)
     with pytest.raises(Exception):
         write_layer(spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id")), path)
-    assert spark.read.parquet(path).count() == 5
+    assert read_layer(spark, path).count() == 5
     assert os.listdir(tmp_path) == ["t"]
 
 
@@ -129,4 +129,4 @@ def test_month_from_the_command_line(spark, trips, tmp_path, monkeypatch, capsys
     assert main(["month", "--source", raw, "--year", "2026", "--month", "1"]) == 0
     assert "landed" in capsys.readouterr().out
     assert main(["profile", "--year", "2026", "--month", "1"]) == 0
-    assert spark.read.parquet(Layout(str(tmp_path / "lake"), "2026_01").gold("by_hour")).count() == 24
+    assert read_layer(spark, Layout(str(tmp_path / "lake"), "2026_01").gold("by_hour")).count() == 24

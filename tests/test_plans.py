@@ -22,7 +22,7 @@ def plan_of(df):
 def bronze(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("bronze") / "trips")
     write_layer(load_trips(spark, SF_SMALL), path)
-    return spark.read.parquet(path)
+    return read_layer(spark, path)
 
 
 @pytest.fixture(scope="module")
@@ -133,13 +133,13 @@ def test_run_month_end_to_end(spark, tmp_path):
     lay = Layout(str(tmp_path / "lake"), "2026_01")
     first = run_month(spark, load_trips(spark, SF_SMALL), lay)
     assert first.landed.first()["status"] == "landed"
-    funnel = {r["name"]: r["rows_out"] for r in spark.read.parquet(f"{lay.reports}/funnel").collect()}
+    funnel = {r["name"]: r["rows_out"] for r in read_layer(spark, f"{lay.reports}/funnel").collect()}
     # FIXTURES.md 2.1 at sf0.001: raw, dedupe, required, range, time
     assert [funnel[k] for k in ("read", "dedupe", "required", "range", "time")] == [6057, 6000, 5307, 4164, 3211]
-    assert funnel["outliers"] == spark.read.parquet(lay.silver).count()
-    dups = spark.read.parquet(f"{lay.reports}/profile_duplicates").first()
+    assert funnel["outliers"] == read_layer(spark, lay.silver).count()
+    dups = read_layer(spark, f"{lay.reports}/profile_duplicates").first()
     assert (dups["rows"], dups["distinct_rows"]) == (6057, 6000)
-    hours = spark.read.parquet(lay.gold("by_hour"))
+    hours = read_layer(spark, lay.gold("by_hour"))
     assert hours.count() == 24 and hours.agg({"total_trips": "sum"}).first()[0] == funnel["outliers"]
     again = run_month(spark, load_trips(spark, SF_SMALL), lay)
     assert again.landed.first()["status"] == "skipped"

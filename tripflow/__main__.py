@@ -13,6 +13,7 @@ import argparse
 from tripflow.plans.month import run_month
 from tripflow.plans.profile_job import profile
 from tripflow.session import get_session
+from tripflow.sources.io import read_layer
 from tripflow.sources.layout import Layout
 
 
@@ -36,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
         run.reports["funnel"].show(truncate=False)
         run.reports["layers"].show(truncate=False)
     else:
-        for name, figure in profile(spark.read.parquet(layout.bronze), year=args.year, month=args.month).items():
+        for name, figure in profile(read_layer(spark, layout.bronze), year=args.year, month=args.month).items():
             print(name)
             figure.show(50, truncate=False)
     return 0

@@ -21,7 +21,7 @@ from tripflow.operators.rollup import RollUp, derive_all, partials
 from tripflow.operators.summarise import summarise
 from tripflow.plans import specs
 from tripflow.session import scratch_path
-from tripflow.sources.io import write_layer
+from tripflow.sources.io import read_layer, write_layer
 from tripflow.sources.layout import Layout
 
 
@@ -64,7 +64,7 @@ def refresh_gold(silver: DataFrame, layout: Layout, c: TripColumns = TRIP) -> di
 def stored_gold(spark: SparkSession, layout: Layout, c: TripColumns = TRIP) -> dict[str, DataFrame]:
     """The gold tables derived from the stored roll-ups."""
     rollups = gold_rollups(c)
-    states = {r.name: spark.read.parquet(layout.rollup(r.name)) for r in rollups}
+    states = {r.name: read_layer(spark, layout.rollup(r.name)) for r in rollups}
     return derive_all(states, rollups, list(specs.gold_specs(c).values()))
 
 

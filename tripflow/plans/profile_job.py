@@ -17,7 +17,7 @@ from tripflow.operators.quantile_select import DEFAULT_ACCURACY
 from tripflow.operators.summarise import Measure, Summary, summarise_many
 from tripflow.plans import specs
 from tripflow.session import scratch_path
-from tripflow.sources.io import small_result, write_layer
+from tripflow.sources.io import small_result
 
 
 def out_of_month_rows(
@@ -93,7 +93,7 @@ def profile(
     # group rows only (dates + 24 hours + codes + bins): written once to
     # the shared scratch folder, read by each breakdown
     path = scratch_path(df.sparkSession, "profile-breakdowns")
-    write_layer(combined, path)
+    combined.write.parquet(path)
     combined = df.sparkSession.read.parquet(path)
     grouped = {name: make(combined) for name, make in makers.items()}
 

@@ -115,11 +115,12 @@ def _gold_single(name: str) -> Query:
     return lambda spark, sf_dir: summarise(silver(spark, sf_dir), specs.gold_specs()[name])
 
 
-_LAND_COLUMNS = ("status", "rows_read", "rows_written", "columns", "same_schema")
+_LAND_COLUMNS = ("status", "rows_read", "rows_written", "columns", "same_schema", "same_content")
+PREVIEW_ROWS = 5
 
 
 def _land_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = land(spark, trips(spark, sf_dir), scratch_path(spark, "bronze"), if_exists="replace")
+    report = land(spark, trips(spark, sf_dir), scratch_path(spark, "bronze"), if_exists="replace", verify="content")
     return report.select(*_LAND_COLUMNS)
 
 
@@ -130,10 +131,18 @@ def _land_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land(spark, trips(spark, sf_dir), target).select(*_LAND_COLUMNS)
 
 
+def _land_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample rows that landing reports."""
+    source = trips(spark, sf_dir)
+    report = land(spark, source, scratch_path(spark, "bronze"), sample_rows=PREVIEW_ROWS)
+    rows = report.select(F.explode("sample").alias("j")).select(F.from_json("j", source.schema).alias("r"))
+    return rows.select("r.*")
+
+
 def _land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files landed by the incremental (streaming) path, read back."""
     raw = scratch_path(spark, "raw")
-    write_layer(trips(spark, sf_dir), raw)
+    trips(spark, sf_dir).write.parquet(raw)
     target = scratch_path(spark, "bronze-stream")
     land_incrementally(spark, raw, target, scratch_path(spark, "bronze-stream-ckpt"))
     return spark.read.parquet(target)
@@ -142,7 +151,7 @@ def _land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "silver-copy")
     write_layer(silver(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return read_layer(spark, path)
 
 
 def _iqr_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +209,7 @@ def registry() -> dict[str, Query]:
         # sources / sinks
         "scan_trips": trips,
         "land_report": _land_report,
+        "land_preview": _land_preview,
         "land_stream": _land_stream,
         "land_skip": _land_skip,
         # profile

@@ -25,10 +25,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.columns import TRIP, TripColumns
 from tripflow.functions.features import add_features
-from tripflow.operators.outliers import Tuning, bounds_table, tuned_iqr_filter
+from tripflow.operators.outliers import CANDIDATE_COLUMNS, Bounds, Tuning, bounds_table, tuned_iqr_filter
 from tripflow.operators.profile import duplicate_stats_from_copies
 from tripflow.operators.quantile_select import DEFAULT_ACCURACY
 from tripflow.operators.rules import (
@@ -42,7 +43,8 @@ from tripflow.operators.rules import (
 )
 from tripflow.plans import specs
 from tripflow.session import scratch_path
-from tripflow.sources.io import remove, write_layer
+from tripflow.sources.io import committed, local_frame, read_layer, write_layer
+from tripflow.sources.snapshots import remove
 
 
 @dataclass
@@ -50,7 +52,7 @@ class SilverBuild:
     silver: DataFrame
     path: str | None
     staged_path: str
-    staged: DataFrame
+    staged: DataFrame | None  # None once it is discarded
     steps: list[Step]
     tuning: Tuning
     multiplier: float
@@ -66,10 +68,15 @@ class SilverBuild:
     @property
     def passing(self) -> DataFrame:
         """Distinct rows that pass every step before outlier removal."""
-        return passing(self.staged)
+        return passing(self._staged())
+
+    def _staged(self) -> DataFrame:
+        if self.staged is None:
+            raise ValueError(f"{self.staged_path}: the staged table was discarded")
+        return self.staged
 
     def _retagged(self) -> DataFrame:
-        staged = self.staged
+        staged = self._staged()
         outlier = self.steps[-1]
         tag = F.when((F.col(TAG) == 0) & ~outlier.passes(), F.lit(len(self.steps))).otherwise(F.col(TAG))
         return staged.withColumn(TAG, tag)
@@ -77,12 +84,23 @@ class SilverBuild:
     def duplicate_stats(self) -> DataFrame:
         """Whole-row duplicate figures of bronze from the staged copy
         counts (reads one column; no second dedupe shuffle)."""
-        return duplicate_stats_from_copies(self.staged, COPIES)
+        return duplicate_stats_from_copies(self._staged(), COPIES)
+
+    def details(self) -> dict:
+        """What :func:`restore_silver` needs besides the tables."""
+        bounds = {str(m): [[b.column, b.q1, b.q3] for b in bs] for m, bs in self.tuning.bounds.items()}
+        return {
+            "staged_path": self.staged_path,
+            "multiplier": self.multiplier,
+            "bounds": bounds,
+            "candidates": [list(r) for r in self.tuning.table.collect()],  # one row a multiplier
+        }
 
     def discard(self) -> None:
         """Remove the staged table; funnel, rejects and duplicate figures
         can't be read from this build afterwards."""
-        remove(self.staged.sparkSession, self.staged_path)
+        remove(self.silver.sparkSession, self.staged_path)
+        self.staged = None
 
     def funnel(self) -> DataFrame:
         """(step, name, rows_in, rows_out, removed) for read, dedupe, each step."""
@@ -96,7 +114,7 @@ class SilverBuild:
 def stage_tagged(bronze: DataFrame, steps: Sequence[Step], path: str) -> DataFrame:
     """Distinct rows with multiplicity and first failing step, written once."""
     tagged = tag_rows(bronze, steps)
-    write_layer(tagged, path)
+    tagged.write.parquet(path)
     return bronze.sparkSession.read.schema(tagged.schema).parquet(path)
 
 
@@ -127,9 +145,34 @@ def build_silver(
         passing(staged), specs.iqr_columns(c), multipliers, threshold, method, accuracy
     )
     outlier_rules = tuple(Rule(f"iqr {b.column}", b.keep(), "outlier") for b in tuning.bounds[chosen])
-    all_steps = [*steps, Step("outliers", outlier_rules)]
+    all_steps = [*steps, Step("outliers", outlier_rules)]  # as restore_silver has them
     silver = add_features(kept, c)
     if target is not None:
         write_layer(silver, target, partition_by=partition_by)
-        silver = spark.read.schema(silver.schema).parquet(target)
+        silver = read_layer(spark, target)
     return SilverBuild(silver, target, staged_path, staged, all_steps, tuning, chosen)
+
+
+def restore_silver(
+    bronze: DataFrame,
+    details: dict,
+    target: str,
+    c: TripColumns = TRIP,
+    year: int = specs.TARGET_YEAR,
+    month: int = specs.TARGET_MONTH,
+) -> SilverBuild:
+    """The build that left ``details`` and the silver layer ``target``; runs no
+    job.  Its funnel, rejects and duplicate figures need the staged table."""
+    spark = bronze.sparkSession
+    steps = specs.cleaning_steps(bronze, c, year, month)
+    bounds = {float(m): [Bounds(col, q1, q3, float(m)) for col, q1, q3 in bs] for m, bs in details["bounds"].items()}
+    schema = T._parse_datatype_string(CANDIDATE_COLUMNS)
+    table = local_frame(spark, details["candidates"], schema)
+    chosen = float(details["multiplier"])
+    rules = tuple(Rule(f"iqr {b.column}", b.keep(), "outlier") for b in bounds[chosen])
+    path = details["staged_path"]
+    staged = spark.read.schema(tag_rows(bronze, steps).schema).parquet(path) if committed(spark, path) else None
+    return SilverBuild(
+        read_layer(spark, target), target, path, staged, [*steps, Step("outliers", rules)],
+        Tuning(table, bounds, tuple(bounds)), chosen,
+    )

@@ -4,7 +4,9 @@ from tripflow.sources.io import (
     check_schema,
     committed,
     land,
+    content_checksum,
     local_frame,
+    preview,
     read_layer,
     read_merged,
     small_result,
@@ -18,9 +20,11 @@ __all__ = [
     "SchemaError",
     "check_schema",
     "committed",
+    "content_checksum",
     "land",
     "load_trips",
     "local_frame",
+    "preview",
     "read_layer",
     "read_merged",
     "small_result",

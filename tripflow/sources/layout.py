@@ -51,6 +51,11 @@ class Layout:
     def reports(self) -> str:
         return self._join("reports", self.dataset)
 
+    @property
+    def ledger(self) -> str:
+        """Finished steps of a run."""
+        return self._join("ledger", self.dataset)
+
     def rollup(self, name: str) -> str:
         """Stored partial aggregates that gold tables are derived from."""
         return self._join("gold", "rollups", self.dataset, name)
