@@ -3,19 +3,23 @@
 A classifier fitted to the labelled table gives every document a
 probability for each domain.  With n_d tokens, probabilities p_dk and a
 rate r_d (how often a document is expected in the mix), domain k's
-expected tokens are sum_d r_d n_d p_dk.  Of the rates r_d >= 0 for which
-they equal the targets T_k, or come closest, those nearest to 1 are taken
-(in squares weighted by n_d).
-
-These are r_d = max(0, 1 + p_d . v) for one vector v of K numbers, the
-multipliers of the targets.  Newton's method on their convex dual finds v:
-a round is one aggregate over the narrow table of probabilities, of the
-expected tokens and of the K x K sums over documents of rate > 0, and
-nothing per document is carried over.  The error e = T - (expected tokens)
-is measured as e' M^-1 e with M = sum_d n_d p_d p_d'.  A proximal term
-(``PROXIMAL``, lowered when its centre moves) keeps the rounds defined where
-targets are out of reach.  They end when the targets are met, or when the
-duality gap shows that no rates come closer; else ``settle_rates`` raises.
+expected tokens are sum_d r_d n_d p_dk.  Rates r_d >= 0 are wanted for which
+they equal the targets T_k, or come closest.
+
+They are fitted by projected gradient least squares, from a rate of 1.  A
+round is one aggregate over the narrow table of probabilities: expected
+tokens, with the error e = T - (expected tokens), and the K x K sums A of n_d
+p_d p_d' over documents of rate > 0.  The miss is e' A^-1 e, and the step along
+its gradient (in squares weighted by n_d) is r_d <- max(0, r_d + l p_d . A^-1 e);
+l is halved until that miss falls.  Rates are the fold of the steps taken, K
+numbers each: nothing per document is carried over.
+
+Where no rates reach the targets, such steps only creep up to the closest
+rates.  When the miss hardly falls any more, ``fit_rates`` hands over to
+``settle_rates``, which measures it with A at a rate of 1: rates r_d = max(0, 1 + p_d . v) for one vector v of K
+multipliers, found by Newton's method on the convex dual with a proximal term
+(``PROXIMAL``, lowered when its centre moves).  It ends when the targets are
+met, or when the duality gap shows that no rates come closer; else it raises.
 
 Targets: ``weights`` (made to sum to 1) times the mix's tokens, which are
 such that the ``anchor`` domain keeps the tokens it has.
@@ -50,7 +54,11 @@ RANGES = ((0, 1 << 17), (1 << 17, 1 << 13))  # buckets of words and of word shap
 BUCKETS = (1 << 17) + (1 << 13)
 STEPS = 120
 RIDGE = 1e-3
+#: Projected gradient rounds, and how little the miss may fall in one before
+#: targets count as out of reach.
 MAX_ROUNDS = 60
+STALL = 0.02
+LEAST_LENGTH = 1e-3
 TOLERANCE = 1e-7
 #: Newton rounds before ``settle_rates`` gives up, and the weight that its
 #: proximal term starts with, is lowered by and stays above.
@@ -184,22 +192,18 @@ def domain_posteriors(
     return names, rows.mapInArrow(predict, out)
 
 
-def _rate(steps: list[tuple[np.ndarray, float]], k: int, ahead: bool = False) -> Column:
-    """The fold of the steps taken, from a rate of 1; ``ahead``: the point
-    extrapolated from it, at which the next step is measured."""
+def _rate(steps: list[np.ndarray], k: int) -> Column:
+    """The fold of the steps taken, from a rate of 1."""
     if not steps:
         return F.lit(1.0)
-    flat = F.array(*(F.array(*(F.lit(float(x)) for x in (*s, momentum))) for s, momentum in steps))
-    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+    flat = F.array(*(F.array(*(F.lit(float(x)) for x in s)) for s in steps))
 
-    def take(state, s):
-        rate = state["ahead"]
+    def take(rate, s):
         for i in range(k):
             rate = rate + s[i] * F.col("p")[i]
-        rate = F.greatest(F.lit(0.0), rate)
-        return F.struct(rate.alias("rate"), (rate + s[k] * (rate - state["rate"])).alias("ahead"))
+        return F.greatest(F.lit(0.0), rate)
 
-    return F.aggregate(flat, start, take)["ahead" if ahead else "rate"]
+    return F.aggregate(flat, F.lit(1.0), take)
 
 
 def _products(k: int, weight: Column | None = None) -> list[Column]:
@@ -213,20 +217,55 @@ def _squares(sums, k: int) -> np.ndarray:
     return m + np.triu(m, 1).T
 
 
-def settle_rates(members: DataFrame, target: np.ndarray, k: int) -> list[tuple[np.ndarray, float]]:
+def _measure(members: DataFrame, steps: list[np.ndarray], k: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Half the squared rates, expected tokens, products where rate > 0; one
+    row reaches the driver."""
+    n = F.col("n_tokens")
+    held = members.withColumn("rate", _rate(steps, k))
+    weight = F.when(F.col("rate") > 0, n).otherwise(F.lit(0))
+    sums = [F.sum(n * F.col("rate") * F.col("rate")), *(F.sum(n * F.col("rate") * F.col("p")[i]) for i in range(k))]
+    row = [x or 0.0 for x in held.agg(*sums, *_products(k, weight)).first()]
+    return row[0] / 2.0, np.array(row[1 : k + 1]), _squares(row[k + 1 :], k)
+
+
+def _pinv(m: np.ndarray) -> np.ndarray:
+    return np.linalg.pinv(m, rcond=1e-10, hermitian=True)
+
+
+def fit_rates(members: DataFrame, target: np.ndarray, k: int) -> list[np.ndarray]:
+    """Projected gradient steps from a rate of 1 after which the expected
+    domain tokens equal the target within TOLERANCE; the step of
+    ``settle_rates`` where they don't get there."""
+    members = members.where("n_tokens > 0")
+    scale = max(float(np.abs(target).sum()), 1.0)
+    steps: list[np.ndarray] = []
+    _, tokens, products = _measure(members, steps, k)
+    rounds, length = 1, 1.0
+    while rounds < MAX_ROUNDS and length >= LEAST_LENGTH:
+        error = target - tokens
+        if np.abs(error).max() <= TOLERANCE * scale:
+            return steps
+        inverse, length = _pinv(products), 1.0
+        slope = inverse @ error
+        while rounds < MAX_ROUNDS and length >= LEAST_LENGTH:
+            ahead = [*steps, length * slope]
+            _, new_tokens, new_products = _measure(members, ahead, k)
+            rounds += 1
+            left = target - new_tokens
+            if left @ inverse @ left < (1.0 - STALL * length) * (error @ slope):
+                steps, tokens, products = ahead, new_tokens, new_products
+                break
+            length /= 2.0
+    return settle_rates(members, target, k)
+
+
+def settle_rates(members: DataFrame, target: np.ndarray, k: int) -> list[np.ndarray]:
     """The one step from a rate of 1 after which the expected domain tokens
     equal the target, or are within TOLERANCE of the closest to it."""
     members = members.where("n_tokens > 0")
-    n = F.col("n_tokens")
 
     def measure(v):
-        """Half the squared rates, expected tokens, products where rate > 0."""
-        rate = _rate([(v, 0.0)], k)
-        held = members.withColumn("rate", rate)
-        weight = F.when(F.col("rate") > 0, n).otherwise(F.lit(0))
-        sums = [F.sum(n * F.col("rate") * F.col("rate")), *(F.sum(n * F.col("rate") * F.col("p")[i]) for i in range(k))]
-        row = [x or 0.0 for x in held.agg(*sums, *_products(k, weight)).first()]
-        return row[0] / 2.0, np.array(row[1 : k + 1]), _squares(row[k + 1 :], k)
+        return _measure(members, [v], k)
 
     def gap(error, tokens):
         """How far the squared miss, halved, is at most from its least: the
@@ -239,7 +278,7 @@ def settle_rates(members: DataFrame, target: np.ndarray, k: int) -> list[tuple[n
     v = centre = np.zeros(k)
     half, tokens, products = measure(v)
     m = products  # at a rate of 1 all count
-    inverse = np.linalg.pinv(m, rcond=1e-10, hermitian=True)
+    inverse = _pinv(m)
     scale = max(float(np.abs(target).sum()), 1.0)
     least = 0.5 * TOLERANCE**2 * float(target @ inverse @ target)
     proximal = PROXIMAL
@@ -247,12 +286,12 @@ def settle_rates(members: DataFrame, target: np.ndarray, k: int) -> list[tuple[n
     while rounds < MAX_SETTLE:
         error = target - tokens
         if np.abs(error).max() <= TOLERANCE * scale:
-            return [(v, 0.0)]
+            return [v]
         slope = proximal * m @ (v - centre) - error
         if slope @ inverse @ slope <= 1e-6 * (error @ inverse @ error):
             # the proximal problem is solved: is the whole one?
             if gap(error, tokens) <= least:
-                return [(v, 0.0)]
+                return [v]
             centre, proximal, slope = v, max(proximal * PROXIMAL_STEP, PROXIMAL_LEAST), -error
         step = -np.linalg.lstsq(products + proximal * m, slope, rcond=None)[0]
 
@@ -271,29 +310,6 @@ def settle_rates(members: DataFrame, target: np.ndarray, k: int) -> list[tuple[n
     raise ArithmeticError(f"rates did not settle in {MAX_SETTLE} rounds; expected tokens {tokens}, target {target}")
 
 
-def fit_rates(members: DataFrame, target: np.ndarray, k: int) -> list[tuple[np.ndarray, float]]:
-    """Projected gradient steps (and the momentum after each) towards the
-    target, MAX_ROUNDS at most: where many rates are 0 these stop short of
-    it, so the mix takes ``settle_rates``, and tests compare the two."""
-    m = _squares(members.agg(*_products(k)).first(), k)
-    inverse = np.linalg.pinv(m, rcond=1e-10, hermitian=True)
-    steps: list[tuple[np.ndarray, float]] = []
-    before, since, small = np.inf, 0, 0
-    scale = max(float(np.abs(target).sum()), 1.0)
-    while len(steps) < MAX_ROUNDS:
-        rate = _rate(steps, k, ahead=True)
-        sums = members.agg(*(F.sum(F.col("n_tokens") * rate * F.col("p")[i]) for i in range(k))).first()
-        error = target - np.array([x or 0.0 for x in sums])
-        miss = float(error @ inverse @ error)
-        small = small + 1 if abs(before - miss) <= 1e-9 * miss else 0
-        if np.abs(error).max() <= TOLERANCE * scale or small == 3:
-            break
-        since = since + 1 if miss < before else 0  # momentum starts anew after a step that overshot
-        before = miss
-        steps.append((inverse @ error, since / (since + 3.0)))
-    return steps
-
-
 def mix_rates(
     df: DataFrame,
     labels: DataFrame,
@@ -309,7 +325,7 @@ def mix_rates(
     names, members = domain_posteriors(df, labels, id_col, text_col, domain)
     members = stage(members, "domain-posteriors")
     k = len(names)
-    steps: list[tuple[np.ndarray, float]] = []
+    steps: list[np.ndarray] = []
     share = np.array([float(weights.get(x, 0.0)) for x in names])
     if k > 1 and share.sum() > 0:
         share = share / share.sum()
@@ -317,7 +333,7 @@ def mix_rates(
         have = np.array([x or 0.0 for x in have])
         at = names.index(anchor) if anchor in names else -1
         total = have[at] / share[at] if at >= 0 and share[at] > 0 and have[at] > 0 else have.sum()
-        steps = settle_rates(members, share * total, k)
+        steps = fit_rates(members, share * total, k)
     rate = F.round(_rate(steps, k), 9) if steps else F.lit(1.0)
     luck = (F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col("id")), 11).cast("double")) * F.lit(2.0**-53)
     return (
