@@ -110,3 +110,25 @@ def test_empty_table_and_one_hot_id(spark, monkeypatch):
     assert len(got) == 400 and got[0].start == 0
     assert all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:]))
     assert H.ids_round_trip(df.limit(0), "doc_id", "text", PATH, 2).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "decimal(9,2)", "double"])
+def test_ids_of_any_ordered_type_over_several_shards(spark, monkeypatch, kind):
+    monkeypatch.setattr(H, "SHARD_BYTES", 256)
+    expr = {"string": "concat('é', id)", "date": "date_add(date'2020-01-01', CAST(id AS INT))", "timestamp": "timestamp_seconds(id * 977)"}
+    df = spark.range(300).selectExpr(
+        f"CASE WHEN id % 5 != 0 THEN CAST({expr.get(kind, 'id')} AS {kind}) END AS k", "concat('word ', id % 7, ' of many') AS t"
+    ).repartition(3)
+    got = sorted(H.ids_round_trip(df, "k", "t", PATH, 2).collect(), key=lambda r: r.start)
+    assert len(got) == 300 and all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:]))
+    keys = [r.k for r in got]
+    assert keys[:60] == [None] * 60 and keys[60:] == sorted(keys[60:])
+    bounds, nulls, shards = H._bounds(df.select(df["k"].alias("id")), 20)
+    assert len(bounds) + 1 + nulls == shards == 20 and nulls == 4
+
+
+@pytest.mark.parametrize("shards", [1, 6, 64, 190])
+def test_every_shard_has_a_partition_of_its_own(spark, shards):
+    places = H._places(spark, shards)
+    df = spark.createDataFrame([(s, places[s]) for s in range(shards)], "shard int, place int").repartition(shards, "place")
+    assert sorted(map(len, df.rdd.glom().collect())) == [1] * shards

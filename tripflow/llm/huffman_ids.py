@@ -23,7 +23,9 @@ gives an empty dataset; other columns of the input are not looked at.
 
 from __future__ import annotations
 
+import math
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +41,7 @@ from tripflow.session import scratch_path
 LIMIT = 16
 STRIDE = 64
 BLOCK_IDS = 1 << 16
+SAMPLE_PER_SHARD = 40
 SHARD_BYTES = 64 << 20
 SLICE = 256  # rows taken up at a time
 
@@ -203,6 +206,32 @@ _BLOCK = (
 )
 
 
+def _bounds(ids: DataFrame, shards: int) -> tuple[list, int, int]:
+    """Bounds between shards of ids, shards before them for rows without an
+    id, and shards in all.  SAMPLE_PER_SHARD ids a shard reach the driver."""
+    if shards < 2:
+        return [], 0, 1
+    n, nulls = ids.agg(F.count("*"), F.count_if(F.col("id").isNull())).first()
+    null_shards = max(1, round(shards * nulls / n)) if nulls else 0
+    if nulls == n:
+        return [], null_shards - 1, null_shards
+    own = max(1, shards - null_shards)
+    share = min(1.0, SAMPLE_PER_SHARD * own / (n - nulls))
+    some = ids.where("id IS NOT NULL").sample(False, share, seed=29).toArrow().column(0).to_pylist()
+    some = sorted(x for x in some if x == x)
+    bounds = [some[i * len(some) // own] for i in range(1, own)] if some else []
+    return bounds, null_shards, null_shards + len(bounds) + 1
+
+
+def _places(spark: SparkSession, shards: int) -> list[int]:
+    """For each shard a number that hash partitioning puts into a partition
+    of its own."""
+    tried = int(shards * (math.log(shards) + 25))  # misses a partition with a chance of e**-25
+    part = F.pmod(F.hash(F.col("id").cast("int")), F.lit(shards)).alias("part")
+    rows = spark.range(tried).select(part, F.col("id").cast("int").alias("place")).groupBy("part").agg(F.min("place").alias("place"))
+    return [r["place"] for r in sorted(rows.collect(), key=lambda r: r["part"])]
+
+
 def write_ids(df: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, to: str) -> None:
     """Write the ids of every text, in ascending order of ``id_col``, to the
     folder ``to`` in the format above."""
@@ -220,17 +249,14 @@ def write_ids(df: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
     code = spark.createDataFrame([(int(s), int(lengths[s])) for s in used], "token int, bits int")
     code.coalesce(1).write.parquet(f"{to}/code")
 
-    # Bounds of shards of about SHARD_BYTES.  An id so frequent that it fills
-    # several shards is several bounds, and its rows are dealt among those.
+    # Shards of about SHARD_BYTES, by bounds from a sample of the ids.  An id
+    # so frequent that it fills several shards is several bounds, and its rows
+    # are dealt among those; rows without an id have shards of their own.
     bytes_in_all = int((total * lengths).sum()) // 8
     shards = max(1, bytes_in_all // SHARD_BYTES + 1, min(spark.sparkContext.defaultParallelism, bytes_in_all >> 20))
-    bounds = []
-    if shards > 1:
-        at = [i / shards for i in range(1, shards)]
-        known = coded.where(F.col("id").isNotNull())
-        bounds = known.select(F.percentile_approx("id", at, 10_000)).first()[0] or []
-    bounds = np.array(bounds)
-    rule = spark.sparkContext.broadcast((lengths, bounds))  # a byte per vocabulary id, a number per shard
+    bounds, null_shards, shards = _bounds(coded.select("id"), shards)
+    places = _places(spark, shards)
+    rule = spark.sparkContext.broadcast((lengths, bounds, places))  # a byte per vocabulary id, two values per shard
     row = T.StructType(
         [
             T.StructField("shard", T.IntegerType()),
@@ -238,19 +264,25 @@ def write_ids(df: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
             T.StructField("n", T.IntegerType()),
             T.StructField("bits", T.BinaryType()),
             T.StructField("checkpoints", T.BinaryType()),
+            T.StructField("place", T.IntegerType()),
         ]
     )
 
     def to_bits(batches):
-        lengths, bounds = rule.value
+        lengths, bounds, places = rule.value
         coder = Coder(lengths)
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             shard, counts, bits, marks = [], [], [], []
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = _from_planes(raw.as_py())
                 packed, offsets = coder.encode(ids)
-                low, high = (np.searchsorted(bounds, key, side=s) if key is not None else 0 for s in ("left", "right"))
-                shard.append(int(low + zlib.crc32(packed) % (high - low + 1)))
+                if key is None:
+                    low, high = 0, max(null_shards - 1, 0)
+                elif key != key:  # NaN comes last
+                    low = high = len(places) - 1
+                else:
+                    low, high = null_shards + bisect_left(bounds, key), null_shards + bisect_right(bounds, key)
+                shard.append(low + zlib.crc32(packed) % (high - low + 1))
                 counts.append(len(ids))
                 bits.append(packed)
                 marks.append(offsets.astype("<u8" if len(packed) >= 1 << 28 else "<u4").tobytes())
@@ -261,11 +293,12 @@ def write_ids(df: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
                     pa.array(counts, pa.int32()),
                     pa.array(bits, pa.binary()),
                     pa.array(marks, pa.binary()),
+                    pa.array([places[s] for s in shard], pa.int32()),
                 ],
                 row.fieldNames(),
             )
 
-    dealt = coded.mapInArrow(to_bits, row).repartition(shards, "shard").sortWithinPartitions("shard", "id", "bits")
+    dealt = coded.mapInArrow(to_bits, row).repartition(shards, "place").drop("place").sortWithinPartitions("shard", "id", "bits")
     block_type = T._parse_datatype_string(_BLOCK.format(id=id_type.simpleString()))
 
     def to_blocks(batches) -> Iterator[pa.RecordBatch]:
