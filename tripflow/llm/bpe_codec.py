@@ -152,7 +152,7 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, piece_cha
     whole = rows.where(F.length("text") <= piece_chars).mapInArrow(short, out)
 
     # Halved so often that a piece has at most piece_chars characters.  The
-    # text's digest stands for the row; equal rows meet and are told by count.
+    # text's digest stands for the row, and equal rows are one with a count.
     halvings = F.ceil(F.log2(F.length("text") / F.lit(float(piece_chars)))).cast("int")
     cut = (
         rows.where(F.length("text") > piece_chars)
@@ -161,7 +161,9 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, piece_cha
         .withColumn("size", F.ceil(F.length("text") / F.col("n")).cast("int"))
         .select("id", "digest", "size", "text", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("number"))
         .select("id", "digest", "number", F.expr("substring(text, number * size + 1, size)").alias("piece"))
-        .repartition("id", "digest", "number")
+        # equal rows are counted before they meet: a hot text's pieces travel once
+        .groupBy("id", "digest", "number", "piece")
+        .agg(F.count("*").alias("copies"))
     )
     piece_type = T.StructType(
         [*cut.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("begins", T.BinaryType())]
@@ -184,9 +186,7 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, piece_cha
     def join_pieces(group: pa.Table) -> pa.Table:
         enc = encoder(ByteEncoder, path)
         number = group.column("number").to_pylist()
-        copies = number.count(0)
-        first = {k: i for i, k in reversed(list(enumerate(number)))}
-        order = [first[k] for k in sorted(first)]
+        order = sorted(range(len(number)), key=number.__getitem__)
         texts, pieces = [], []
         for i in order:
             ids = np.frombuffer(group.column("ids")[i].as_py(), "<u4")
@@ -195,11 +195,12 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, piece_cha
             pieces.append(Piece(ids, np.cumsum(enc.lengths[ids]), begins))
         ids = join_all(enc, texts, pieces).ids
         key = group.column("id").slice(order[0], 1).combine_chunks()
-        return pa.Table.from_arrays(
-            [pa.concat_arrays([key] * copies) if copies > 1 else key, _id_lists([ids] * copies)], ["id", "ids"]
-        )
+        copies = group.column("copies").slice(order[0], 1).combine_chunks()
+        return pa.Table.from_arrays([key, _id_lists([ids]), copies], ["id", "ids", "copies"])
 
-    joined = cut.mapInArrow(encode_pieces, piece_type).groupBy("id", "digest").applyInArrow(join_pieces, out)
+    counted = T.StructType([*out.fields, T.StructField("copies", T.LongType())])
+    joined = cut.mapInArrow(encode_pieces, piece_type).groupBy("id", "digest").applyInArrow(join_pieces, counted)
+    joined = joined.select("id", "ids", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
     return whole.unionByName(joined).withColumnRenamed("id", id_col)
 
 
