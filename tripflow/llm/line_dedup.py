@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import col, stage
 
 RATIO = 0.05
-MIN_PAGES = 5
+MIN_PAGES = 2
 
 
 def _lines(text: Column) -> Column:
