@@ -7,7 +7,7 @@ Catalyst folds into the surrounding whole-stage-codegen span.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,3 +121,13 @@ def present(df: DataFrame, name: str) -> Column:
 def count_if(pred: Column) -> Column:
     """Rows where ``pred`` is true (null counts as false)."""
     return F.count_if(F.coalesce(pred, F.lit(False)))
+
+
+def row_hash(schema: T.StructType, columns: Sequence[str]) -> Column:
+    """A 64-bit hash of a row's ``columns``.  Which of them are null goes in
+    as well, since a hash passes over nulls."""
+    cols = []
+    for name in columns:
+        c = quoted(name)
+        cols += [F.array_sort(F.map_entries(c)) if isinstance(schema[name].dataType, T.MapType) else c, c.isNull()]
+    return F.xxhash64(*cols)

@@ -51,7 +51,7 @@ from tripflow.sources.snapshots import remove
 class SilverBuild:
     silver: DataFrame
     path: str | None
-    staged_path: str
+    staged_path: str | None
     staged: DataFrame | None  # None once it is discarded
     steps: list[Step]
     tuning: Tuning
@@ -99,8 +99,9 @@ class SilverBuild:
     def discard(self) -> None:
         """Remove the staged table; funnel, rejects and duplicate figures
         can't be read from this build afterwards."""
-        remove(self.silver.sparkSession, self.staged_path)
-        self.staged = None
+        if self.staged_path:
+            remove(self.silver.sparkSession, self.staged_path)
+            self.staged = None
 
     def funnel(self) -> DataFrame:
         """(step, name, rows_in, rows_out, removed) for read, dedupe, each step."""
@@ -140,10 +141,29 @@ def build_silver(
     steps = specs.cleaning_steps(bronze, c, year, month)
     staged_path = scratch_path(spark, "silver-staged")
     staged = stage_tagged(bronze, steps, staged_path)
-    threshold = specs.min_retain_ratio() if min_retain_ratio is None else min_retain_ratio
-    kept, tuning, chosen = tuned_iqr_filter(
-        passing(staged), specs.iqr_columns(c), multipliers, threshold, method, accuracy
+    return finish_silver(
+        passing(staged), staged, staged_path, steps, target, c, multipliers, min_retain_ratio, method, accuracy, partition_by
     )
+
+
+def finish_silver(
+    sound: DataFrame,
+    staged: DataFrame,
+    staged_path: str | None,
+    steps: list[Step],
+    target: str | None,
+    c: TripColumns = TRIP,
+    multipliers: Sequence[float] = specs.IQR_MULTIPLIERS,
+    min_retain_ratio: float | None = None,
+    method: str = "exact",
+    accuracy: int = DEFAULT_ACCURACY,
+    partition_by: Sequence[str] = (),
+) -> SilverBuild:
+    """Silver from the distinct rows that pass every step (``sound``); ``staged``
+    are all distinct rows with their copies and tags."""
+    spark = sound.sparkSession
+    threshold = specs.min_retain_ratio() if min_retain_ratio is None else min_retain_ratio
+    kept, tuning, chosen = tuned_iqr_filter(sound, specs.iqr_columns(c), multipliers, threshold, method, accuracy)
     outlier_rules = tuple(Rule(f"iqr {b.column}", b.keep(), "outlier") for b in tuning.bounds[chosen])
     all_steps = [*steps, Step("outliers", outlier_rules)]  # as restore_silver has them
     silver = add_features(kept, c)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tripflow.functions.expr import quoted
+from tripflow.functions.expr import quoted, row_hash
 from tripflow.sources.snapshots import (
     Manifest,
     current_version,
@@ -136,13 +136,8 @@ _HASH_PARTS = ((0, 22), (22, 22), (44, 20))
 
 
 def _checksum_parts(df: DataFrame) -> list:
-    """Aggregates of an order-free checksum: sums of parts of the rows' hashes.
-    Which values are null goes in as well, since a hash passes over nulls."""
-    cols = []
-    for f in df.schema.fields:
-        c = quoted(f.name)
-        cols += [F.array_sort(F.map_entries(c)) if isinstance(f.dataType, T.MapType) else c, c.isNull()]
-    h = F.xxhash64(*cols)
+    """Aggregates of an order-free checksum: sums of parts of the rows' hashes."""
+    h = row_hash(df.schema, df.columns)
     return [
         F.coalesce(F.sum(F.shiftrightunsigned(h, at).bitwiseAND((1 << width) - 1)), F.lit(0)).alias(f"h{at}")
         for at, width in _HASH_PARTS

@@ -51,6 +51,11 @@ class Layout:
     def reports(self) -> str:
         return self._join("reports", self.dataset)
 
+    @property
+    def parts(self) -> str:
+        """Distinct bronze rows of a month that arrives in parts."""
+        return self._join("bronze", "parts", self.dataset)
+
     @property
     def ledger(self) -> str:
         """Finished steps of a run."""
