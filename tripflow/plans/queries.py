@@ -21,6 +21,8 @@ from tripflow.operators import outliers as O
 from tripflow.operators import profile as P
 from tripflow.operators.report import layer_report
 from tripflow.operators.rules import clean
+from tripflow.operators.heavy import top_groups
+from tripflow.operators.sketches import merged_quantiles, quantile_sketches, within_bound
 from tripflow.operators.summarise import summarise
 from tripflow.plans import report_job as R
 from tripflow.plans import specs
@@ -119,6 +121,18 @@ _LAND_COLUMNS = ("status", "rows_read", "rows_written", "columns", "same_schema"
 PREVIEW_ROWS = 5
 
 
+def _heavy(name: str) -> Query:
+    """A top-k gold table from the candidates of a bounded sketch."""
+    return lambda spark, sf_dir: top_groups(silver(spark, sf_dir), specs.gold_specs()[name], "total_trips")
+
+
+def _sketch_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles merged from sketches by day, held against exact ranks."""
+    rows = silver(spark, sf_dir)
+    days = quantile_sketches(rows, (C.date,), specs.range_columns())
+    return within_bound(rows, merged_quantiles(days, specs.range_columns(), specs.QUANTILE_PROBS))
+
+
 def _land_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = land(spark, trips(spark, sf_dir), scratch_path(spark, "bronze"), if_exists="replace", verify="content")
     return report.select(*_LAND_COLUMNS)
@@ -212,6 +226,10 @@ def registry() -> dict[str, Query]:
         "land_preview": _land_preview,
         "land_stream": _land_stream,
         "land_skip": _land_skip,
+        # bounded sketches
+        "sketch_quantiles": _sketch_quantiles,
+        "heavy_pickups": _heavy("by_pickup_location_top20"),
+        "heavy_routes": _heavy("by_route_top50"),
         # profile
         "profile_shape": _profile(P.shape),
         "profile_describe": _profile(lambda df: P.describe_numeric(df, specs.describe_columns(), 6)),

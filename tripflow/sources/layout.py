@@ -51,6 +51,11 @@ class Layout:
     def reports(self) -> str:
         return self._join("reports", self.dataset)
 
+    @property
+    def sketches(self) -> str:
+        """Quantile sketches of silver by day."""
+        return self._join("silver", "sketches", self.dataset)
+
     @property
     def parts(self) -> str:
         """Distinct bronze rows of a month that arrives in parts."""
