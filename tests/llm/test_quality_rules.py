@@ -75,3 +75,13 @@ def test_a_rule_is_an_ordered_conditional(spark):
     assert (rule.feature, rule.above) == ("words", True) and 3 < rule.threshold < 10
     stats = spark.createDataFrame([(3, 1, 0, 0, 0, 1, 0, 0), (30, 1, 0, 0, 0, 1, 0, 0)], [f"{c}" for c in Q.COUNTS])
     assert [r[0] for r in stats.select(Q.verdict(rules)).collect()] == [True, False]
+
+
+def test_lowest_hashes_with_repeats_and_few_rows(spark):
+    from tripflow.llm.common import lowest
+
+    df = spark.range(3000).selectExpr("id", "xxhash64(id % 500) AS h").unionAll(spark.range(1).selectExpr("id", "9223372036854775807L AS h"))
+    for n in (1, 7, 100, 2999, 5000):
+        want = df.orderBy("h", "id").limit(n).collect()
+        assert lowest(df.repartition(5), n, "h", "id").collect() == want
+    assert lowest(df.where("id < 0"), 5, "h", "id").collect() == []

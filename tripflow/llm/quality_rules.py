@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.llm.common import col, ship_package, stage, text_of
+from tripflow.llm.common import col, lowest, ship_package, stage, text_of
 
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits",
@@ -210,14 +210,12 @@ def fit(statistics: DataFrame, labels: DataFrame, id_col: str, label_col: str) -
     the base rule; at most MAX_LABELLED of them, those whose id hashes
     lowest."""
     known = labels.select(col(id_col).alias(id_col), col(label_col).cast("int").alias("label")).where("label is not null")
-    chosen = (
+    rows = (
         statistics.where(~F.col("base_failed"))
         .join(known, id_col)
         .select(*(x.alias(k) for k, x in features().items()), "label", F.xxhash64(col(id_col)).alias("order"))
-        .orderBy("order", *features(), "label")
-        .limit(MAX_LABELLED)
-        .toPandas()
     )
+    chosen = lowest(rows, MAX_LABELLED, "order", *features(), "label").toPandas()
     if not len(chosen):
         return []
     values = {k: chosen[k].to_numpy(float) for k in features()}
