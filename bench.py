@@ -6,7 +6,7 @@ Prints ONE JSON line:
 
 Phases (library form): land bronze, silver (dedupe + rules + tuned IQR
 + features, written), profile (duplicate figures from silver's staged
-copy counts), gold (one GROUPING SETS pass, 8 tables written), report,
+copy counts), gold (two roll-ups, 8 tables derived and written), report,
 plus single operators.  ``stepwise`` runs the same
 semantics as plain one-action-per-figure Spark code (one count per
 cleaning step, one quantile job per multiplier and column, one scan per

@@ -149,10 +149,10 @@ def test_stream_counts_from_its_log_and_lists_no_old_files(spark, tmp_path, monk
 def test_a_failed_run_goes_on_without_a_second_dedupe(spark, tmp_path, monkeypatch):
     trips, layout = load_trips(spark, SF_SMALL), Layout(str(tmp_path / "lake"), "2026_01")
 
-    def fails(*_):
+    def fails(*_, **__):
         raise RuntimeError("gold failed")
 
-    monkeypatch.setattr(M, "build_gold", fails)
+    monkeypatch.setattr(M, "refresh_gold", fails)
     with pytest.raises(RuntimeError, match="gold failed"):
         run_month(spark, trips, layout)
     monkeypatch.undo()

@@ -51,14 +51,15 @@ def build_gold(silver: DataFrame, c: TripColumns = TRIP, one_pass: bool = True)
     return derive_all(states, rollups, list(table_specs.values()))
 
 
-def refresh_gold(silver: DataFrame, layout: Layout, c: TripColumns = TRIP) -> dict[str, DataFrame]:
+def refresh_gold(silver: DataFrame, layout: Layout, c: TripColumns = TRIP, whole: bool = False) -> dict[str, DataFrame]:
     """Gold tables of all days stored so far, after the states of the days
-    in ``silver`` (all trips of those days) have replaced the stored ones."""
+    in ``silver`` (all trips of those days) have replaced the stored ones;
+    with ``whole``, ``silver`` is all there is and other days go."""
     spark, rollups = silver.sparkSession, gold_rollups(c)
     for r in rollups:
         # few rows a day: one file each
         state = partials(silver, r).repartition(c.date)
-        write_layer(state, layout.rollup(r.name), partition_by=[c.date], only_partitions=True)
+        write_layer(state, layout.rollup(r.name), partition_by=[c.date], only_partitions=not whole)
     return stored_gold(spark, layout, c)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.columns import TRIP, TripColumns
 from tripflow.plans import specs
-from tripflow.plans.gold import build_gold, write_gold
+from tripflow.plans.gold import refresh_gold, write_gold
 from tripflow.plans.ledger import Ledger, fingerprint
 from tripflow.plans.profile_job import profile
 from tripflow.plans.report_job import report
@@ -106,7 +106,7 @@ def run_month(
         return {name: read_layer(spark, layout.gold(name)) for name in specs.gold_specs(c)}
 
     def gold() -> dict:
-        write_gold(build_gold(built.silver, c), layout)
+        write_gold(refresh_gold(built.silver, layout, c, whole=True), layout)
         return {}
 
     def reports() -> dict:
