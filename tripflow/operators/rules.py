@@ -100,7 +100,12 @@ def first_failing_step(steps: Sequence[Step]) -> Column:
 def tag_rows(df: DataFrame, steps: Sequence[Step], dedupe_rows: bool = True) -> DataFrame:
     """Distinct rows (or all rows) with ``_copies`` and ``_reject_step``."""
     base = with_copies(df) if dedupe_rows else df.withColumn(COPIES, F.lit(1).cast("bigint"))
-    return base.withColumn(TAG, first_failing_step(steps))
+    return with_tags(base, steps)
+
+
+def with_tags(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
+    """Rows with the first step that each fails in ``_reject_step``."""
+    return df.withColumn(TAG, first_failing_step(steps))
 
 
 FUNNEL_SCHEMA = "step int, name string, rows_in bigint, rows_out bigint, removed bigint"

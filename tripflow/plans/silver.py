@@ -1,11 +1,13 @@
 """Bronze -> silver: dedupe, required columns, range and time rules,
 self-tuned IQR outlier removal, derived columns.
 
-Plan (one shuffle for the whole job):
+Plan:
 
-1. ``tag``: whole-row dedupe as a hash aggregate that keeps each distinct
-   row's multiplicity, and tags it with the first cleaning step it fails.
-   Written once to the shared scratch folder, unsorted.
+1. ``tag``: whole-row dedupe that keeps each distinct row's multiplicity, and
+   tags it with the first cleaning step it fails.  Hashes of rows are
+   shuffled; of the rows only those whose hash occurs again
+   (``operators/repeats.py``).  Written once to the shared scratch folder,
+   unsorted.
 2. ``tune``: quartiles for all candidate multipliers, read from the
    staged rows that pass every step (the tag is a pushed filter, and only
    it and the three IQR columns are read).
@@ -32,6 +34,7 @@ from tripflow.functions.features import add_features
 from tripflow.operators.outliers import CANDIDATE_COLUMNS, Bounds, Tuning, bounds_table, tuned_iqr_filter
 from tripflow.operators.profile import duplicate_stats_from_copies
 from tripflow.operators.quantile_select import DEFAULT_ACCURACY
+from tripflow.operators.repeats import distinct_with_copies
 from tripflow.operators.rules import (
     COPIES,
     TAG,
@@ -40,6 +43,7 @@ from tripflow.operators.rules import (
     funnel_from_tags,
     rejects_from_tags,
     tag_rows,
+    with_tags,
 )
 from tripflow.plans import specs
 from tripflow.session import scratch_path
@@ -114,7 +118,7 @@ class SilverBuild:
 
 def stage_tagged(bronze: DataFrame, steps: Sequence[Step], path: str) -> DataFrame:
     """Distinct rows with multiplicity and first failing step, written once."""
-    tagged = tag_rows(bronze, steps)
+    tagged = with_tags(distinct_with_copies(bronze), steps)
     tagged.write.parquet(path)
     return bronze.sparkSession.read.schema(tagged.schema).parquet(path)
 
