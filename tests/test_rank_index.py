@@ -12,6 +12,8 @@ from tripflow.operators.outliers import iqr_candidates, iqr_filter
 from tripflow.operators.quantile_select import QuantileTarget, discrete_rank, exact_quantiles
 from tripflow.operators.rank_index import RankTarget, ranked_values
 
+from conftest import plan_text
+
 PROBS = (0.0, 0.25, 0.5, 0.75, 1.0)
 INF = float("inf")
 
@@ -78,3 +80,19 @@ def test_tuning_takes_a_job_per_column_and_one(spark, plain_jobs):
     table = {r["multiplier"]: r["rows_after"] for r in iqr_candidates(df, ["a", "b", "c"], ms).table.collect()}
     assert plain_jobs() - before == 4
     assert table == {m: iqr_filter(df, ["a", "b", "c"], m).count() for m in ms}
+
+
+def test_values_are_shuffled_once(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans, original = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: plans.append(self) or original(self))
+    df = spark.range(3000).selectExpr("id * 7919 % 1009 / 7D AS x", "id % 3 AS g").repartition(3)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked_values(df, "x", [RankTarget(p, p, F.col("g") < 2) for p in (0.25, 0.75)])
+        plan = plan_text(plans[-1]).split("\n\n")[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # values and slices each have one exchange, read again by the levels below
+    assert plan.count("ReusedExchange") >= 2 and plan.count("Range") <= 1

@@ -85,7 +85,10 @@ def ranked_values(df: DataFrame, column: str, targets: Sequence[RankTarget]) ->
     counts = [f"c{j}" for j in range(len(wheres))]
     sums = [F.sum(c).alias(c) for c in counts]
     values = rows.groupBy("x").agg(*[F.expr(f"count_if(f{j})").alias(c) for j, c in enumerate(counts)])
-    values = values.withColumn("cell", F.expr(_cell("x"))).withColumn("slice", F.expr(_slice("x", "cell")))
+    # never null, so that no join below adds a filter of its own: one exchange
+    # of the values serves all three levels
+    values = values.withColumn("cell", F.coalesce(F.expr(_cell("x")), F.lit(0).cast("bigint")))
+    values = values.withColumn("slice", F.coalesce(F.expr(_slice("x", "cell")), F.lit(0.0)))
     slices = values.groupBy("cell", "slice").agg(*sums)
     cells = slices.groupBy("cell").agg(*sums)
 
