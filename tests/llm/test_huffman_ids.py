@@ -132,3 +132,15 @@ def test_every_shard_has_a_partition_of_its_own(spark, shards):
     places = H._places(spark, shards)
     df = spark.createDataFrame([(s, places[s]) for s in range(shards)], "shard int, place int").repartition(shards, "place")
     assert sorted(map(len, df.rdd.glom().collect())) == [1] * shards
+
+
+def test_documents_coded_together_are_coded_as_one_by_one():
+    rng = np.random.default_rng(2)
+    counts = (rng.pareto(0.7, 5000) * 3).astype(int) + 1
+    coder = H.Coder(H.code_lengths(counts))
+    ns = [1, 0, 63, 64, 65, 5000, 0, 2, *rng.integers(1, 400, 50)]
+    docs = [rng.choice(5000, n, p=counts / counts.sum()) for n in ns]
+    bits, marks = coder.encode_all(np.concatenate(docs), np.array(ns))
+    for doc, b, m in zip(docs, bits, marks, strict=True):
+        one, offsets = coder.encode(doc)
+        assert b == one and m.tolist() == offsets.tolist()

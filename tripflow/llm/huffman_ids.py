@@ -115,6 +115,29 @@ class Coder:
             out[k : k + total] += np.bincount(at, part, total).astype(np.uint8)
         return out[:total].tobytes(), begins[::STRIDE]
 
+    def encode_all(self, ids: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], list[np.ndarray]]:
+        """What ``encode`` gives for each of the documents that ``ids`` holds
+        one after another, ``counts`` of them each."""
+        size = self.lengths[ids]
+        bit = np.concatenate([[0], np.cumsum(size)])
+        stop = np.cumsum(counts)
+        start = stop - counts
+        ends = np.cumsum((bit[stop] - bit[start] + 7) // 8)  # documents begin at whole bytes
+        first = np.concatenate([[0], ends[:-1]])
+        begins = bit[:-1] + np.repeat(8 * first - bit[start], counts)
+        out = np.zeros(int(ends[-1]) + 2, np.uint8)
+        if len(ids):
+            spread = self.codes[ids] << (24 - size - (begins & 7)).astype(np.uint32)  # over three bytes
+            at = begins >> 3
+            heads = np.flatnonzero(np.diff(at, prepend=-1))
+            spread, at = np.add.reduceat(spread, heads), at[heads]  # bits of neighbours don't overlap
+            for k in range(3):
+                out[at + k] += (spread >> np.uint32(16 - 8 * k)).astype(np.uint8)
+        whole = out.tobytes()
+        bits = [whole[a:b] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
+        marks = [begins[a:b:STRIDE] - 8 * f for a, b, f in zip(start.tolist(), stop.tolist(), first.tolist(), strict=True)]
+        return bits, marks
+
     def decode(self, raw: bytes, offsets: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """ids of all stretches, one after another: stretch i begins at bit
         offsets[i] and has counts[i] <= STRIDE ids."""
@@ -180,6 +203,27 @@ def _from_planes(raw: bytes) -> np.ndarray:
     return both[0] | (both[1] << 8)
 
 
+def _coded(coder: Coder, batch: pa.RecordBatch) -> Iterator[tuple[object, int, bytes, np.ndarray]]:
+    """Key, number of ids, bits and checkpoints of each document, coded
+    together as far as they are of BLOCK_IDS ids in all."""
+    keys, held, size = [], [], 0
+
+    def flush():
+        counts = np.array([len(x) for x in held])
+        return zip(keys, counts.tolist(), *coder.encode_all(np.concatenate(held), counts), strict=True)
+
+    for key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        ids = _from_planes(raw.as_py())
+        if held and size + len(ids) > BLOCK_IDS:
+            yield from flush()
+            keys, held, size = [], [], 0
+        keys.append(key)
+        held.append(ids)
+        size += len(ids)
+    if held:
+        yield from flush()
+
+
 def id_counts(coded: DataFrame) -> np.ndarray:
     """How often each id occurs, from the tasks' tallies: one row per id
     reaches the driver."""
@@ -273,9 +317,7 @@ def write_ids(df: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
         coder = Coder(lengths)
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             shard, counts, bits, marks = [], [], [], []
-            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = _from_planes(raw.as_py())
-                packed, offsets = coder.encode(ids)
+            for key, n, packed, offsets in _coded(coder, batch):
                 if key is None:
                     low, high = 0, max(null_shards - 1, 0)
                 elif key != key:  # NaN comes last
@@ -283,7 +325,7 @@ def write_ids(df: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
                 else:
                     low, high = null_shards + bisect_left(bounds, key), null_shards + bisect_right(bounds, key)
                 shard.append(low + zlib.crc32(packed) % (high - low + 1))
-                counts.append(len(ids))
+                counts.append(n)
                 bits.append(packed)
                 marks.append(offsets.astype("<u8" if len(packed) >= 1 << 28 else "<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
