@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import sentencepiece
 from pyspark.sql import Row
 from tokenizers import Tokenizer
@@ -172,3 +173,62 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     got = sorted(A.alignment_digests(df, "doc_id", "text", A_PATH, B_PATH).collect(), key=lambda r: (r.doc_id or 0, r.n_a))
     assert [(r.doc_id, r.n_a, r.count_sum) for r in got] == [(None, 2, 6), (1, 2, 6), (1, 2, 6), (2, 0, 0)]
     assert A.alignment_digests(df.where("doc_id > 9"), "doc_id", "text", A_PATH, B_PATH).count() == 0
+
+
+def test_closed_groups_are_dealt_into_rows_of_bounded_size():
+    a, b = A.encoder(A.PlainByteEncoder, A_PATH), A.encoder(A.PieceEncoder, B_PATH)
+    text = "unbelievably xylophonic naïveté 漢字 1234567 antidisestablishmentarianism!? " * 9
+    _, closed, at = A.fragment_of(tokens_of(text))
+    raw = (" " + text).encode()
+    for size in (1, 7, len(closed.a_cuts), 10_000):
+        parts = A.parts_of(closed, at, a.lengths, size)
+        assert len(parts) == -(-len(closed.a_cuts) // size)
+        assert all(0 < len(g.a_cuts) <= size for _, g in parts)
+        a_done = b_done = 0
+        cuts = []
+        for begin, g in parts:
+            own_a, own_b = (b"".join(x.pieces[i] for i in ids) for x, ids in ((a, g.a), (b, g.b)))
+            assert own_a == own_b == raw[begin : begin + len(own_a)]
+            cuts += [(int(i) + a_done, int(j) + b_done) for i, j in zip(g.a_cuts, g.b_cuts, strict=True)]
+            a_done, b_done = a_done + len(g.a), b_done + len(g.b)
+        assert cuts == list(zip(closed.a_cuts.tolist(), closed.b_cuts.tolist(), strict=True))
+        assert np.array_equal(np.concatenate([g.a for _, g in parts]), closed.a)
+        assert np.array_equal(np.concatenate([g.b for _, g in parts]), closed.b)
+
+
+def number_texts(spark, n):
+    rng = random.Random(5)
+    texts = [" ".join(str(rng.randrange(3000)) for _ in range(12_000)) for _ in range(n)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+
+
+def test_rows_of_long_texts_hold_a_bounded_number_of_groups(spark):
+    _, long = A.align_texts(number_texts(spark, 4), "doc_id", "text", A_PATH, B_PATH)
+    rows = long.selectExpr("size(a_cuts) AS n").collect()
+    assert max(r.n for r in rows) <= A.ROW_GROUPS
+    assert sum(r.n for r in rows) > 4 * 10_000
+
+
+def test_staged_tables_of_large_rows_have_small_row_groups(spark, monkeypatch):
+    staged, stage = [], A.stage
+
+    def watched(df, name, *how):
+        staged.append((name, stage(df, name, *how)))
+        return staged[-1][1]
+
+    monkeypatch.setattr(A, "stage", watched)
+    monkeypatch.setattr(A, "GROUP_BYTES", 1 << 14)
+    A.alignment_digests(number_texts(spark, 24), "doc_id", "text", A_PATH, B_PATH, unit_chars=1000, range_bytes=1024)
+    # the writer looks at a group's size after 100 rows, and then now and again
+    for table in ("token-ranges", "fragments"):
+        files = [pq.ParquetFile(f.removeprefix("file://")) for name, df in staged for f in df.inputFiles() if name == table]
+        assert sum(f.metadata.num_rows for f in files) > 1000
+        assert max(f.metadata.row_group(i).num_rows for f in files for i in range(f.num_row_groups)) <= 400
+
+
+def test_one_tokenizer_a_worker_and_special_names_stay_plain_there():
+    from tripflow.llm import encoders
+
+    a = A.encoder(A.PlainByteEncoder, A_PATH)
+    assert a.tok is encoders.load_tokenizer(A_PATH, True)
+    assert a.tok.encode_special_tokens and not encoders.load_tokenizer(A_PATH).encode_special_tokens

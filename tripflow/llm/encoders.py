@@ -29,20 +29,24 @@ import numpy as np
 _UNIT = re.compile(r"[\S\x1c-\x1f]+")
 _FROM_0370 = re.compile("[^\x00-ͯ]")
 
-_loaded: dict[str, object] = {}
+_loaded: dict[tuple[str, bool], object] = {}
 
 
-def load_tokenizer(path: str):
-    """The tokenizer in the file, without truncation or padding."""
-    if path not in _loaded:
+def load_tokenizer(path: str, names_plain: bool = False):
+    """The tokenizer in the file, without truncation or padding.
+
+    names_plain: special tokens' names inside a text are plain text."""
+    if (path, names_plain) not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
         tok.no_truncation()
         tok.no_padding()
-        _loaded[path] = tok
-    return _loaded[path]
+        if names_plain:
+            tok.encode_special_tokens = True
+        _loaded[path, names_plain] = tok
+    return _loaded[path, names_plain]
 
 
 def byte_of_char() -> dict[str, int]:
@@ -119,11 +123,11 @@ class ByteEncoder:
     """A byte-level tokenizer that keeps white space: ids of texts, and the
     bytes of ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, names_plain: bool = False):
         import public_tokenizers
 
         spec = _spec(path)
-        self.tok = load_tokenizer(path)
+        self.tok = load_tokenizer(path, names_plain)
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.plain = (
             spec["normalizer"] is None

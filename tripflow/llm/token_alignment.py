@@ -56,6 +56,8 @@ UNIT_CHARS = 32_768
 RANGE_BYTES = 1 << 14
 FAN = 8
 FREQUENT = 500_000
+ROW_GROUPS = 1024
+GROUP_BYTES = 2 << 20
 
 _SAFE = re.compile(r"(?<=\w) (?=\w)")
 
@@ -64,13 +66,7 @@ class PlainByteEncoder(ByteEncoder):
     """A byte-level tokenizer to which special tokens' names are plain text."""
 
     def __init__(self, path: str):
-        super().__init__(path)
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        self.tok.encode_special_tokens = True
+        super().__init__(path, names_plain=True)
         self.special = []
         #: no normalizer, and every byte a token: the tokens' bytes are the text's
         self.exact = self.plain and not self.merger.unknown[:256].any()
@@ -197,6 +193,18 @@ def compose(x: Fragment, y: Fragment) -> tuple[Fragment, Tokens | None]:
     return Fragment(True, x.prefix, y.suffix), joined(x.suffix, y.prefix)
 
 
+def parts_of(g: Groups, at: int, lengths: np.ndarray, size: int = ROW_GROUPS) -> list[tuple[int, Groups]]:
+    """Groups that begin at a byte, in rows of ``size`` groups at most, and
+    the byte each row begins at; lengths: bytes of A's ids."""
+    out = []
+    for k in range(0, len(g.a_cuts), size):
+        a_cuts, b_cuts = g.a_cuts[k : k + size], g.b_cuts[k : k + size]
+        p, q = (int(g.a_cuts[k - 1]), int(g.b_cuts[k - 1])) if k else (0, 0)
+        out.append((at, Groups(g.a[p : a_cuts[-1]], g.b[q : b_cuts[-1]], a_cuts - p, b_cuts - q)))
+        at += int(lengths[out[-1][1].a].sum())
+    return out
+
+
 def one_group(t: Tokens) -> Groups:
     return Groups(t.a, t.b, np.array([len(t.a)]), np.array([len(t.b)]))
 
@@ -339,7 +347,7 @@ def _leaf(a_path: str, b_path: str):
         parts = sorted(group.to_pylist(), key=lambda r: r["unit"])
         fragment, closed, at = fragment_of(joined(*map(packer.unpack, parts)))
         packed = (fragment.cut, *packer.pack(fragment.prefix), *packer.pack(fragment.suffix))
-        return _level_table(parts[0]["row"], parts[0]["range"], packed, [(at, closed)] if closed else [])
+        return _level_table(parts[0]["row"], parts[0]["range"], packed, parts_of(closed, at, packer.sides[0]) if closed else [])
 
     return run
 
@@ -407,21 +415,21 @@ def _by_length(df: DataFrame, id_col: str, text_col: str, unit_chars: int) -> tu
 
 
 def _align_long(rows: DataFrame, a_path: str, b_path: str, unit_chars: int, range_bytes: int) -> DataFrame:
-    long = stage(rows.withColumn("row", F.monotonically_increasing_id()), "long-texts")
+    long = stage(rows.withColumn("row", F.monotonically_increasing_id()), "long-texts", GROUP_BYTES)
     unit_type = T.StructType([_ROW, T.StructField("unit", T.IntegerType()), _AT, T.StructField("text", T.StringType())])
     range_type = T.StructType([_ROW, T.StructField("range", T.IntegerType()), T.StructField("unit", T.IntegerType())])
     range_type = T.StructType([*range_type.fields, *(T.StructField(n, t) for n, t in _PACKED.items())])
     units = long.select("row", "text").mapInArrow(_units(unit_chars, b_path), unit_type).repartition("row", "unit")
-    ranges = stage(units.mapInArrow(_ranges(a_path, b_path, range_bytes), range_type), "token-ranges")
+    ranges = stage(units.mapInArrow(_ranges(a_path, b_path, range_bytes), range_type), "token-ranges", GROUP_BYTES)
     failed = ranges.where("range < 0").select("row").distinct()
     sound = ranges.where("range >= 0").join(failed.hint("merge"), "row", "left_anti").select(*range_type.fieldNames())
-    level = stage(sound.groupBy("row", "range").applyInArrow(_leaf(a_path, b_path), _LEVEL), "fragments")
+    level = stage(sound.groupBy("row", "range").applyInArrow(_leaf(a_path, b_path), _LEVEL), "fragments", GROUP_BYTES)
     pieces = ["row", "at", *Groups._fields]
     found = level.where("closed").select(pieces)
     last = level.agg(F.max("range")).first()[0] or 0
     while last > 0:
         level = level.where("not closed").withColumn("branch", F.expr(f"range div {FAN}"))
-        level = stage(level.groupBy("row", "branch").applyInArrow(_branch(a_path, b_path), _LEVEL), "fragments")
+        level = stage(level.groupBy("row", "branch").applyInArrow(_branch(a_path, b_path), _LEVEL), "fragments", GROUP_BYTES)
         found = found.unionAll(level.where("closed").select(pieces))
         last //= FAN
     first = level.where("not closed").mapInArrow(_last_groups(a_path, b_path), T.StructType([_ROW, _AT, *_GROUPS]))
@@ -552,7 +560,7 @@ def alignment_digests(
     texts = short.mapInArrow(lambda batches: digest(align(batches)), out).unionAll(
         streamed.mapInArrow(_digests(a_path, b_path, out, True), out)
     )
-    texts = stage(texts.withColumn("row", F.monotonically_increasing_id()), "aligned-texts")
+    texts = stage(texts.withColumn("row", F.monotonically_increasing_id()), "aligned-texts", GROUP_BYTES)
     links = texts.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("l"))
     links = links.select("row", F.col("l.pairs").alias("pair"), F.col("l.times").alias("times"))
     counts, least = link_counts(links.select("pair", "times"), frequent)
